@@ -20,6 +20,11 @@ def weighted_sum(vector: Column, weights: Sequence[float]) -> Column:
     return dot(vector, F.array(*[F.lit(float(weight)) for weight in weights]))
 
 
+def outer(left: Column, right: Column) -> Column:
+    """All products of two short vectors, one inner array per left element."""
+    return F.transform(left, lambda a: F.transform(right, lambda b: a * b))
+
+
 def argmax(vector: Column) -> Column:
     """Position of the first greatest element, counted from zero."""
     return (F.array_position(vector, F.array_max(vector)) - 1).cast("int")

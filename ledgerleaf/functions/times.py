@@ -20,8 +20,9 @@ def epoch_seconds(moment: Column) -> Column:
 
 
 def epoch_millis(text: Column, default: int | None = None) -> Column:
-    """Milliseconds since 1970; blank or unreadable text gives ``default``."""
-    millis = F.unix_millis(_lenient(text))
+    """Milliseconds since 1970 of the whole second; blank or unreadable text
+    gives ``default``."""
+    millis = epoch_seconds(text) * F.lit(1000).cast("bigint")
     return millis if default is None else F.coalesce(millis, F.lit(default).cast("bigint"))
 
 
