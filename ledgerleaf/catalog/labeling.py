@@ -1,0 +1,263 @@
+"""Labels, splits, dictionaries and encoded features."""
+
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from ledgerleaf.catalog.registry import query, table
+from ledgerleaf.operators import dictionary, features, labels
+from ledgerleaf.plans import importing, libsvm
+from ledgerleaf.scratch import fresh_path
+from ledgerleaf.sinks import files
+
+
+def _order_lines(spark, sf_dir):
+    """Order lines with a key of their own and a few missing texts."""
+    line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    price = F.when(F.col("l_linenumber") == 3, "").when(F.col("l_linenumber") == 4, "null")
+    return table(spark, sf_dir, "lineitem").select(
+        line.alias("id"),
+        "l_quantity",
+        price.otherwise(F.col("l_extendedprice").cast("string")).alias("price_text"),
+        "l_discount",
+        "l_tax",
+        "l_partkey",
+        "l_returnflag",
+    )
+
+
+_LINES_SQL = """
+WITH lines AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_quantity,
+    CASE l_linenumber WHEN 3 THEN '' WHEN 4 THEN 'null' ELSE CAST(l_extendedprice AS VARCHAR) END AS price_text,
+    l_discount, l_tax, l_partkey, l_returnflag FROM lineitem),
+numbers AS (SELECT *, coalesce(TRY_CAST(price_text AS DOUBLE), 0.0) AS price FROM lines)
+"""
+
+# Columns a task's label is made of, with their numeric form in SQL.
+_TASK_COLUMNS = {
+    "m1": ("l_quantity", "l_discount"),
+    "m2": ("l_quantity", "price_text", "l_discount", "l_tax"),
+    "m3": ("price_text", "l_tax"),
+}
+
+
+def _tasks():
+    return labels.standing_tasks(**_TASK_COLUMNS)
+
+
+def _label_sql(task):
+    numeric = [c.replace("price_text", "price") for c in _TASK_COLUMNS[task]]
+    ends = ", ".join(f"min({c}) AS lo_{c}, max({c}) AS hi_{c}" for c in numeric)
+    terms = " + ".join(
+        f"{w}::DOUBLE * CASE WHEN hi_{c} = lo_{c} THEN 0.5 ELSE ({c} - lo_{c}) / (hi_{c} - lo_{c}) END"
+        for c, w in zip(numeric, labels.TASK_WEIGHTS[task])
+    )
+    return f"SELECT id, round({terms}, 9) AS label FROM numbers, (SELECT {ends} FROM numbers)"
+
+
+@query("label_minmax_weighted", _LINES_SQL + _label_sql("m2"))
+def label_minmax_weighted(spark, sf_dir):
+    label = labels.weighted_label(_order_lines(spark, sf_dir), "id", _tasks()["m2"])
+    return label.withColumn("label", F.round("label", 9))
+
+
+@query(
+    "label_multi_task",
+    _LINES_SQL + " UNION ALL ".join(f"SELECT *, '{t}' AS task FROM ({_label_sql(t)})" for t in _TASK_COLUMNS),
+)
+def label_multi_task(spark, sf_dir):
+    from ledgerleaf.operators.columns import stacked_by_task
+
+    data = _order_lines(spark, sf_dir)
+    results = {name: labels.weighted_label(data, "id", task) for name, task in _tasks().items()}
+    return stacked_by_task(results).withColumn("label", F.round("label", 9))
+
+
+@query(
+    "label_one_vs_rest",
+    """SELECT CAST(k AS INTEGER) AS class, vec_id, CASE WHEN label = k THEN '1' ELSE '0' END AS class_label
+       FROM embeddings, (SELECT unnest(generate_series(1, 9)) AS k)""",
+)
+def label_one_vs_rest(spark, sf_dir):
+    return labels.label_per_class(table(spark, sf_dir, "embeddings"), "vec_id", "label", 9)
+
+
+_BUCKET = "CAST('0x' || substr(md5(CAST({k} AS VARCHAR)), 1, 8) AS BIGINT) % 100"
+_SPLIT = "CASE WHEN {b} < 70 THEN 'train' WHEN {b} < 90 THEN 'valid' ELSE 'test' END"
+
+
+def _split_sql(key):
+    return _SPLIT.format(b=_BUCKET.format(k=key))
+
+
+@query("split_hash", f"SELECT c_custkey, c_acctbal, {_split_sql('c_custkey')} AS split FROM customer")
+def split_hash(spark, sf_dir):
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
+    shares = dict(zip(("train", "valid", "test"), labels.TRAIN_VALID_TEST))
+    return labels.split_by_hash(customer, "c_custkey", shares)
+
+
+@query("split_random")
+def split_random(spark, sf_dir):
+    customer = table(spark, sf_dir, "customer").select("c_custkey")
+    train, test = labels.split_at_random(customer, labels.TRAIN_TEST, seed=1234)
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
+_TRAIN_COLUMNS = ("id", "l_partkey", "l_returnflag")
+
+
+@query(
+    "job_train_tables",
+    _LINES_SQL
+    + f""", label AS ({_label_sql("m2")}),
+    split AS (SELECT id, l_partkey, l_returnflag, {_split_sql("id")} AS part FROM lines)
+    SELECT 'm2_' || part AS table_name, id, l_partkey, l_returnflag, NULL::DOUBLE AS label FROM split
+    UNION ALL SELECT 'm2_label', id, NULL, NULL, label FROM label""",
+)
+def job_train_tables(spark, sf_dir):
+    tables = importing.train_tables(_order_lines(spark, sf_dir), "id", {"m2": _tasks()["m2"]})
+    tagged = [df.withColumn("table_name", F.lit(name)) for name, df in tables.items()]
+    stacked = tagged[0].withColumn("label", F.round("label", 9))
+    for one in tagged[1:]:
+        stacked = stacked.unionByName(one, allowMissingColumns=True)
+    return stacked
+
+
+@query(
+    "job_predict_tables",
+    _LINES_SQL
+    + """SELECT 'm1_test' AS table_name, id, l_partkey, l_returnflag, price_text, l_tax, NULL::DOUBLE AS l_quantity,
+           NULL::DOUBLE AS l_discount FROM lines
+         UNION ALL SELECT 'm2_test', id, l_partkey, l_returnflag, NULL, NULL, NULL, NULL FROM lines
+         UNION ALL SELECT 'm3_test', id, l_partkey, l_returnflag, NULL, NULL, l_quantity, l_discount FROM lines""",
+)
+def job_predict_tables(spark, sf_dir):
+    tables = importing.predict_tables(_order_lines(spark, sf_dir), _tasks())
+    stacked = None
+    for name, df in tables.items():
+        tagged = df.withColumn("table_name", F.lit(name))
+        stacked = tagged if stacked is None else stacked.unionByName(tagged, allowMissingColumns=True)
+    return stacked
+
+
+def _parts(spark, sf_dir):
+    """Parts as a training table: key, label, then features."""
+    target = F.when(F.col("p_size") > 25, 1.0).otherwise(0.0)
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", target.alias("target"), "p_brand", "p_type", "p_name", "p_size", "p_retailprice"
+    )
+
+
+_TEXTS = ("p_brand", "p_type", "p_name")
+
+
+def _ranks_sql(order):
+    return " UNION ALL ".join(
+        f"""SELECT '{c}' AS field, label, number FROM (SELECT {c} AS label,
+          CAST(row_number() OVER (ORDER BY {order.format(c=c)}) AS INTEGER) AS number FROM part
+          WHERE {c} IS NOT NULL GROUP BY {c}) WHERE number <= 100"""
+        for c in _TEXTS
+    )
+
+
+def _dictionary_sql(order):
+    return f"""WITH ranks AS ({_ranks_sql(order)}),
+      fields(key, fieldType, fieldName) AS (VALUES (0, 'NONE', 'p_partkey'), (0, 'NONE', 'target'),
+        (1, 'STRING', 'p_brand'), (2, 'STRING', 'p_type'), (3, 'STRING', 'p_name'), (4, 'DOUBLE', 'p_size'),
+        (5, 'DOUBLE', 'p_retailprice'))
+      SELECT f.key, f.fieldType, f.fieldName, r.label, r.number FROM fields f LEFT JOIN ranks r ON f.fieldName = r.field"""
+
+
+def _long(fitted):
+    return fitted.select("key", "fieldType", "fieldName", F.explode_outer("fieldMap").alias("label", "number"))
+
+
+@query("feat_dictionary", _dictionary_sql("count(*) DESC, {c}"))
+def feat_dictionary(spark, sf_dir):
+    return _long(dictionary.fit_dictionary(_parts(spark, sf_dir), ignore=["p_partkey", "target"]))
+
+
+@query("feat_dictionary_distinct", _dictionary_sql("{c}"))
+def feat_dictionary_distinct(spark, sf_dir):
+    return _long(dictionary.fit_dictionary(_parts(spark, sf_dir), ignore=["p_partkey", "target"], by="value"))
+
+
+_NUMBER = "coalesce((SELECT number FROM ranks WHERE field = '{c}' AND label = {v}), 0)"
+
+
+def _encode_sql(source, values, extra=""):
+    joins = "".join(
+        f" LEFT JOIN ranks r{i} ON r{i}.field = '{c}' AND r{i}.label = {values[c]}" for i, c in enumerate(_TEXTS)
+    )
+    numbers = ", ".join(f"coalesce(r{i}.number, 0) AS {c}" for i, c in enumerate(_TEXTS))
+    return f"SELECT p.p_partkey, target, {numbers}, CAST(p_size AS DOUBLE) AS p_size, p_retailprice FROM {source} p{joins}{extra}"
+
+
+_TARGET_SQL = "(SELECT *, CASE WHEN p_size > 25 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS target FROM part)"
+_PLAIN = {c: f"p.{c}" for c in _TEXTS}
+_ENCODED_SQL = f"WITH ranks AS ({_ranks_sql('count(*) DESC, {c}')}), " + f"encoded AS ({_encode_sql(_TARGET_SQL, _PLAIN)}) "
+
+
+@query("feat_encode", _ENCODED_SQL + "SELECT * FROM encoded")
+def feat_encode(spark, sf_dir):
+    parts = _parts(spark, sf_dir)
+    return dictionary.encode(parts, dictionary.fit_dictionary(parts, ignore=["p_partkey", "target"]), fill=True)
+
+
+# Later data has brands the training table has never seen.
+_SHIFTED = {**_PLAIN, "p_brand": "CASE WHEN p.p_size % 2 = 0 THEN p.p_brand || '*' ELSE p.p_brand END"}
+
+
+@query(
+    "feat_encode_predict",
+    f"WITH ranks AS ({_ranks_sql('count(*) DESC, {c}')}) {_encode_sql(_TARGET_SQL, _SHIFTED)}",
+)
+def feat_encode_predict(spark, sf_dir):
+    parts = _parts(spark, sf_dir)
+    path = fresh_path(spark, "dictionary")
+    fitted = dictionary.fit_dictionary(parts, ignore=["p_partkey", "target"])
+    files.write_text(dictionary.dictionary_lines(fitted), path)
+    stored = spark.read.schema(dictionary.SCHEMA).json(path)
+    brand = F.when(F.col("p_size") % 2 == 0, F.concat("p_brand", F.lit("*"))).otherwise(F.col("p_brand"))
+    return dictionary.encode(parts.withColumn("p_brand", brand), stored)
+
+
+def _vector_columns(df, width, *keep):
+    return df.withColumn("_v", vector_to_array("features")).select(
+        *keep, *[F.col("_v")[i].alias(f"f{i}") for i in range(width)]
+    )
+
+
+@query(
+    "feat_assemble",
+    "SELECT p_partkey, CAST(p_size AS DOUBLE) AS f0, p_retailprice AS f1 FROM part",
+)
+def feat_assemble(spark, sf_dir):
+    texts = table(spark, sf_dir, "part").withColumn("price_text", F.col("p_retailprice").cast("string"))
+    return _vector_columns(features.assembled(texts, ["p_size", "price_text"]), 2, "p_partkey")
+
+
+@query(
+    "feat_labeled_point",
+    "SELECT l_quantity AS label, l_extendedprice AS f0, l_discount AS f1, l_tax AS f2 FROM lineitem",
+)
+def feat_labeled_point(spark, sf_dir):
+    numbers = table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    return _vector_columns(features.labeled_points(numbers), 3, "label")
+
+
+LINE_SQL = """concat_ws(' ', CAST(target AS VARCHAR),
+  CASE WHEN p_brand <> 0 THEN '1:' || p_brand END, CASE WHEN p_type <> 0 THEN '2:' || p_type END,
+  CASE WHEN p_name <> 0 THEN '3:' || p_name END, CASE WHEN p_size <> 0 THEN '4:' || CAST(p_size AS VARCHAR) END,
+  CASE WHEN p_retailprice <> 0 THEN '5:' || CAST(p_retailprice AS VARCHAR) END)"""
+ENCODED_SQL = _ENCODED_SQL
+parts_to_encode = _parts
+
+
+@query("job_libsvm", _ENCODED_SQL + f"SELECT p_partkey, {LINE_SQL} AS line FROM encoded")
+def job_libsvm(spark, sf_dir):
+    """Train once, then encode with the stored dictionary."""
+    parts = _parts(spark, sf_dir)
+    _, fitted = libsvm.convert(parts, "p_partkey", "target")
+    lines, _ = libsvm.convert(parts, "p_partkey", "target", fitted)
+    return lines
