@@ -1,0 +1,133 @@
+"""Streams over the standard tables."""
+
+from pyspark.sql import functions as F
+
+from ledgerleaf.catalog.registry import query, table
+from ledgerleaf.catalog.scalars import _WORDS_SQL as WORDS_SQL
+from ledgerleaf.functions.text import split_words
+from ledgerleaf.operators.words import word_counts
+from ledgerleaf.scratch import fresh_path
+from ledgerleaf.streaming import jobs, windows
+from ledgerleaf.streaming.sources import as_records, file_stream
+
+
+def _stream(spark, sf_dir, name):
+    return file_stream(spark, f"{sf_dir}/{name}.parquet")
+
+
+def _event_records(spark, sf_dir):
+    """Events in the shape of broker records."""
+    return as_records(
+        _stream(spark, sf_dir, "events"),
+        topic=F.col("event_type"),
+        partition=F.col("user_id") % 4,
+        offset=F.col("event_id"),
+        key=F.col("user_id"),
+        value=F.col("props"),
+    )
+
+
+_RECORDS_SQL = """SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition, event_id AS "offset",
+  CAST(user_id AS VARCHAR) AS key, props AS value FROM events"""
+_RECORD_SCHEMA = "topic string, partition int, offset bigint, key string, value string"
+
+
+@query("stream_records", f"SELECT *, 0::BIGINT AS batch_id FROM ({_RECORDS_SQL})")
+def stream_records(spark, sf_dir):
+    return jobs.run_batches(_event_records(spark, sf_dir), lambda batch: batch, _RECORD_SCHEMA)
+
+
+@query(
+    "stream_offset_ranges",
+    f"""SELECT topic, partition, min("offset") AS from_offset, max("offset") + 1 AS until_offset, 0::BIGINT AS batch_id
+        FROM ({_RECORDS_SQL}) GROUP BY 1, 2""",
+)
+def stream_offset_ranges(spark, sf_dir):
+    schema = "topic string, partition int, from_offset bigint, until_offset bigint"
+    return jobs.run_batches(_event_records(spark, sf_dir), jobs.offset_ranges, schema)
+
+
+_TEXT_WORDS_SQL = WORDS_SQL.format(t="text", s=" ", raw=" ")
+
+
+@query(
+    "stream_word_count_batch",
+    f"SELECT word, count(*) AS n, 0::BIGINT AS batch_id FROM (SELECT unnest({_TEXT_WORDS_SQL}) AS word FROM conversations) GROUP BY 1",
+)
+def stream_word_count_batch(spark, sf_dir):
+    talk = _stream(spark, sf_dir, "conversations").select("text")
+    return jobs.run_batches(talk, lambda batch: word_counts(batch, "text"), "word string, n bigint")
+
+
+@query("stream_tokenize", f"SELECT conv_id, turn, unnest({_TEXT_WORDS_SQL}) AS word FROM conversations")
+def stream_tokenize(spark, sf_dir):
+    talk = _stream(spark, sf_dir, "conversations")
+    words = talk.select("conv_id", "turn", F.explode(split_words(F.col("text"))).alias("word"))
+    return jobs.run_batches(words, lambda batch: batch, "conv_id bigint, turn bigint, word string").drop("batch_id")
+
+
+@query(
+    "stream_subtract",
+    "SELECT c_custkey AS custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+)
+def stream_subtract(spark, sf_dir):
+    """Customers without an order in the same batch."""
+    customers = _stream(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"))
+    orders = _stream(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey"))
+    return jobs.batch_subtract(customers, orders, "custkey").drop("batch_id")
+
+
+def _sliding_sql(length, slide, offset):
+    """Window starts that cover each event, in whole microseconds."""
+    steps = -(-length // slide)
+    starts = " UNION ALL ".join(
+        f"SELECT t, ((t - {offset}) // {slide}) * {slide} + {offset} - {i * slide} AS s FROM e" for i in range(steps)
+    )
+    return f"""WITH e AS (SELECT epoch_us(ts) AS t FROM events), w AS ({starts})
+      SELECT s // 1000000 AS start_second, (s + {length}) // 1000000 AS end_second, count(*) AS n
+      FROM w WHERE t < s + {length} GROUP BY 1, 2"""
+
+
+def _seconds(counts):
+    return counts.select(
+        F.unix_seconds("start").alias("start_second"), F.unix_seconds("end").alias("end_second"), "n"
+    )
+
+
+@query("stream_sliding_3_2", _sliding_sql(3_000_000, 2_000_000, 1_000_000))
+def stream_sliding_3_2(spark, sf_dir):
+    events = _stream(spark, sf_dir, "events").select("ts")
+    return _seconds(windows.run_sliding_counts(events, "ts", "3 seconds", "2 seconds", "1 second"))
+
+
+@query("stream_sliding_2_1", _sliding_sql(2_000_000, 1_000_000, 0))
+def stream_sliding_2_1(spark, sf_dir):
+    events = _stream(spark, sf_dir, "events").select("ts")
+    return _seconds(windows.run_sliding_counts(events, "ts", "2 seconds", "1 second"))
+
+
+@query(
+    "stream_map",
+    "SELECT event_id, event_id * 3 AS tripled, event_id * 2 AS doubled, event_id AS same FROM events",
+)
+def stream_map(spark, sf_dir):
+    number = F.col("event_id")
+    mapped = _stream(spark, sf_dir, "events").select(
+        "event_id", (number * 3).alias("tripled"), (number * 2).alias("doubled"), number.alias("same")
+    )
+    schema = "event_id bigint, tripled bigint, doubled bigint, same bigint"
+    return jobs.run_batches(mapped, lambda batch: batch, schema).drop("batch_id")
+
+
+@query("stream_empty_batch", "SELECT event_id * 3 AS tripled FROM events")
+def stream_empty_batch(spark, sf_dir):
+    """A batch without rows, then the events, in one resumed stream."""
+    events = table(spark, sf_dir, "events").select("event_id")
+    inbox, output = fresh_path(spark, "inbox"), fresh_path(spark, "batches")
+    checkpoint = fresh_path(spark, "progress")
+    for arriving in (events.filter(F.lit(False)), events):
+        arriving.write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(events.schema).parquet(inbox)
+        tripled = stream.select((F.col("event_id") * 3).alias("tripled"))
+        jobs.start_batches(tripled, lambda batch: batch, output, checkpoint).awaitTermination()
+    return jobs.stored_batches(spark, output, "tripled bigint").drop("batch_id")

@@ -1,0 +1,132 @@
+"""Models over the embeddings and order lines. Scores depend on the learner,
+so these queries have no SQL; the tests check their properties."""
+
+from pyspark.ml.classification import GBTClassificationModel
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import functions as F
+
+from ledgerleaf.catalog.registry import query, table
+from ledgerleaf.operators import evaluate, models
+from ledgerleaf.operators.labels import split_by_hash
+from ledgerleaf.scratch import fresh_path
+
+_SHARES = {"train": 0.4, "valid": 0.2, "test": 0.4}
+
+
+def _vectors(spark, sf_dir):
+    """Embeddings with a two-class label and a hashed split."""
+    rows = table(spark, sf_dir, "embeddings").select(
+        "vec_id",
+        F.when(F.col("label") >= 5, 1.0).otherwise(0.0).alias("label"),
+        array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
+    )
+    return split_by_hash(rows, "vec_id", _SHARES).withColumn("is_valid", F.col("split") == "valid")
+
+
+def _lines(spark, sf_dir):
+    """Order lines with the price (in thousands) as the target."""
+    line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    rows = table(spark, sf_dir, "lineitem").select(
+        line.alias("id"),
+        (F.col("l_extendedprice") / 1000).alias("label"),
+        array_to_vector(F.array("l_quantity", "l_discount", "l_tax", F.col("l_linenumber").cast("double"))).alias(
+            "features"
+        ),
+    )
+    return split_by_hash(rows, "id", _SHARES).withColumn("is_valid", F.col("split") == "valid")
+
+
+def _training(rows):
+    return rows.filter("split <> 'test'")
+
+
+def _scored_vectors(model, rows):
+    return models.scored(model, rows, "vec_id", "split", "label")
+
+
+@query("ml_random_forest")
+def ml_random_forest(spark, sf_dir):
+    rows = _vectors(spark, sf_dir)
+    return _scored_vectors(models.random_forest(_training(rows)), rows)
+
+
+@query("ml_gbt_classifier_valid")
+def ml_gbt_classifier_valid(spark, sf_dir):
+    rows = _vectors(spark, sf_dir)
+    return _scored_vectors(models.boosted_classifier_validated(_training(rows), "is_valid", maxIter=20), rows)
+
+
+def _errors_per_part(model, rows):
+    scored = models.scored(model, rows, "id", "split", "label")
+    error = F.col("label") - F.col("prediction")
+    return scored.groupBy("split").agg(F.sqrt(F.avg(error * error)).alias("rmse"), F.count(F.lit(1)).alias("rows"))
+
+
+@query("ml_gbt_regressor")
+def ml_gbt_regressor(spark, sf_dir):
+    rows = _lines(spark, sf_dir)
+    return _errors_per_part(models.boosted_regressor_validated(_training(rows), "is_valid"), rows)
+
+
+@query("ml_gbt_classifier")
+def ml_gbt_classifier(spark, sf_dir):
+    rows = _vectors(spark, sf_dir)
+    model = models.boosted_classifier(rows.filter("split <> 'test'"))
+    scored = _scored_vectors(model, rows.filter("split = 'test'"))
+    accuracy = evaluate.accuracy(scored, "prediction", "label").select(
+        F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")
+    )
+    area = evaluate.auc_exact(scored.select(F.col("probability").alias("score"), "label"))
+    return accuracy.union(area.select(F.lit("auc"), "auc"))
+
+
+@query("ml_boost_classifier")
+def ml_boost_classifier(spark, sf_dir):
+    rows = _vectors(spark, sf_dir)
+    return _scored_vectors(models.gradient_classifier(_training(rows)), rows)
+
+
+@query("ml_boost_regressor")
+def ml_boost_regressor(spark, sf_dir):
+    rows = _lines(spark, sf_dir)
+    return _errors_per_part(models.gradient_regressor(rows.filter("split = 'train'"), maxIter=60), rows)
+
+
+@query("ml_kmeans")
+def ml_kmeans(spark, sf_dir):
+    rows = _vectors(spark, sf_dir)
+    model = models.clusters(rows)
+    return models.scored(model, rows, "vec_id").withColumn("within_error", F.lit(model.summary.trainingCost))
+
+
+@query("ml_logistic")
+def ml_logistic(spark, sf_dir):
+    rows = _vectors(spark, sf_dir)
+    model = models.logistic(rows)
+    return _scored_vectors(model, rows).withColumn("area_under_roc", F.lit(model.summary.areaUnderROC))
+
+
+def _saved_classifier(spark, rows):
+    path = fresh_path(spark, "model")
+    model = models.boosted_classifier(_training(rows), maxIter=3)
+    models.save_model(model, path)
+    return model, models.load_model(GBTClassificationModel, path)
+
+
+@query("ml_save_load", "SELECT vec_id, TRUE AS same FROM embeddings")
+def ml_save_load(spark, sf_dir):
+    """Scores of the model kept in memory and of the model read back."""
+    rows = _vectors(spark, sf_dir)
+    kept, loaded = _saved_classifier(spark, rows)
+    before = models.scored(kept, rows, "vec_id").withColumnRenamed("probability", "before")
+    after = models.scored(loaded, rows, "vec_id").withColumnRenamed("probability", "after")
+    both = before.select("vec_id", "before").join(after.select("vec_id", "after"), "vec_id")
+    return both.select("vec_id", (F.col("before") == F.col("after")).alias("same"))
+
+
+@query("ml_batch_score")
+def ml_batch_score(spark, sf_dir):
+    """A stored model applied to the whole table; the key stays beside the score."""
+    rows = _vectors(spark, sf_dir)
+    _, loaded = _saved_classifier(spark, rows)
+    return models.scored(loaded, rows, "vec_id")
