@@ -17,6 +17,7 @@ FAMILIES = (
     "grouping",
     "scalars",
     "labeling",
+    "importing",
     "training",
     "evaluating",
     "vectors",

@@ -5,6 +5,7 @@ from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from ledgerleaf.catalog.evaluating import scored_lines
 from ledgerleaf.catalog.registry import query, table
 from ledgerleaf.operators import evaluate, models
 from ledgerleaf.operators.labels import split_by_hash
@@ -20,59 +21,73 @@ def _vectors(spark, sf_dir):
         F.when(F.col("label") >= 5, 1.0).otherwise(0.0).alias("label"),
         array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
     )
-    return split_by_hash(rows, "vec_id", _SHARES).withColumn("is_valid", F.col("split") == "valid")
+    return split_by_hash(rows, "vec_id", _SHARES)
 
 
-def _lines(spark, sf_dir):
-    """Order lines with the price (in thousands) as the target."""
-    line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+def _split(rows):
+    return split_by_hash(rows, "id", _SHARES).withColumn("is_valid", F.col("split") == "valid")
+
+
+def _returns(spark, sf_dir):
+    """Order lines with "returned" as the label."""
+    lines = scored_lines(spark, sf_dir, "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
+    return _split(
+        lines.select(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+            "label",
+            array_to_vector(F.array("score", "l_quantity", "l_discount", "l_tax")).alias("features"),
+        )
+    )
+
+
+def _revenue(spark, sf_dir):
+    """Order lines with the discounted price (in thousands) as the target."""
+    price, discount = F.col("l_extendedprice"), F.col("l_discount")
     rows = table(spark, sf_dir, "lineitem").select(
-        line.alias("id"),
-        (F.col("l_extendedprice") / 1000).alias("label"),
-        array_to_vector(F.array("l_quantity", "l_discount", "l_tax", F.col("l_linenumber").cast("double"))).alias(
-            "features"
-        ),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),
+        (price * (1 - discount) / 1000).alias("label"),
+        array_to_vector(F.array("l_extendedprice", "l_discount", "l_quantity", "l_tax")).alias("features"),
     )
-    return split_by_hash(rows, "id", _SHARES).withColumn("is_valid", F.col("split") == "valid")
+    return _split(rows)
 
 
 def _training(rows):
     return rows.filter("split <> 'test'")
 
 
-def _scored_vectors(model, rows):
-    return models.scored(model, rows, "vec_id", "split", "label")
+def _scored(model, rows):
+    return models.scored(model, rows, "id", "split", "label")
 
 
 @query("ml_random_forest")
 def ml_random_forest(spark, sf_dir):
-    rows = _vectors(spark, sf_dir)
-    return _scored_vectors(models.random_forest(_training(rows)), rows)
+    rows = _returns(spark, sf_dir)
+    return _scored(models.random_forest(_training(rows)), rows)
 
 
 @query("ml_gbt_classifier_valid")
 def ml_gbt_classifier_valid(spark, sf_dir):
-    rows = _vectors(spark, sf_dir)
-    return _scored_vectors(models.boosted_classifier_validated(_training(rows), "is_valid", maxIter=20), rows)
+    rows = _returns(spark, sf_dir)
+    return _scored(models.boosted_classifier_validated(_training(rows), "is_valid"), rows)
 
 
 def _errors_per_part(model, rows):
-    scored = models.scored(model, rows, "id", "split", "label")
     error = F.col("label") - F.col("prediction")
-    return scored.groupBy("split").agg(F.sqrt(F.avg(error * error)).alias("rmse"), F.count(F.lit(1)).alias("rows"))
+    return _scored(model, rows).groupBy("split").agg(
+        F.sqrt(F.avg(error * error)).alias("rmse"), F.count(F.lit(1)).alias("rows")
+    )
 
 
 @query("ml_gbt_regressor")
 def ml_gbt_regressor(spark, sf_dir):
-    rows = _lines(spark, sf_dir)
+    rows = _revenue(spark, sf_dir)
     return _errors_per_part(models.boosted_regressor_validated(_training(rows), "is_valid"), rows)
 
 
 @query("ml_gbt_classifier")
 def ml_gbt_classifier(spark, sf_dir):
-    rows = _vectors(spark, sf_dir)
-    model = models.boosted_classifier(rows.filter("split <> 'test'"))
-    scored = _scored_vectors(model, rows.filter("split = 'test'"))
+    rows = _returns(spark, sf_dir)
+    scored = _scored(models.boosted_classifier(_training(rows)), rows.filter("split = 'test'"))
     accuracy = evaluate.accuracy(scored, "prediction", "label").select(
         F.lit("accuracy").alias("metric"), F.col("accuracy").alias("value")
     )
@@ -82,14 +97,15 @@ def ml_gbt_classifier(spark, sf_dir):
 
 @query("ml_boost_classifier")
 def ml_boost_classifier(spark, sf_dir):
-    rows = _vectors(spark, sf_dir)
-    return _scored_vectors(models.gradient_classifier(_training(rows)), rows)
+    rows = _returns(spark, sf_dir)
+    return _scored(models.gradient_classifier(_training(rows)), rows)
 
 
 @query("ml_boost_regressor")
 def ml_boost_regressor(spark, sf_dir):
-    rows = _lines(spark, sf_dir)
-    return _errors_per_part(models.gradient_regressor(rows.filter("split = 'train'"), maxIter=60), rows)
+    """All standing settings but the number of rounds, which is 400 there."""
+    rows = _revenue(spark, sf_dir)
+    return _errors_per_part(models.gradient_regressor(rows.filter("split = 'train'"), maxIter=40), rows)
 
 
 @query("ml_kmeans")
@@ -101,9 +117,9 @@ def ml_kmeans(spark, sf_dir):
 
 @query("ml_logistic")
 def ml_logistic(spark, sf_dir):
-    rows = _vectors(spark, sf_dir)
+    rows = _returns(spark, sf_dir)
     model = models.logistic(rows)
-    return _scored_vectors(model, rows).withColumn("area_under_roc", F.lit(model.summary.areaUnderROC))
+    return _scored(model, rows).withColumn("area_under_roc", F.lit(model.summary.areaUnderROC))
 
 
 def _saved_classifier(spark, rows):
