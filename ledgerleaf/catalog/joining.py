@@ -39,7 +39,10 @@ def join_fold_left(spark, sf_dir):
     for name, df in tables.items():
         df.createOrReplaceTempView(f"{name}_{run}")
     names = [f"{name}_{run}" for name in ("base", "counts", "absent", "totals")]
-    return joins.join_catalog(spark, names, "c_custkey")
+    joined = joins.join_catalog(spark, names, "c_custkey")
+    for name in tables:
+        spark.catalog.dropTempView(f"{name}_{run}")
+    return joined
 
 
 def _typed_join(how):

@@ -65,11 +65,8 @@ def label_minmax_weighted(spark, sf_dir):
     _LINES_SQL + " UNION ALL ".join(f"SELECT *, '{t}' AS task FROM ({_label_sql(t)})" for t in _TASK_COLUMNS),
 )
 def label_multi_task(spark, sf_dir):
-    from ledgerleaf.operators.columns import stacked_by_task
-
-    data = _order_lines(spark, sf_dir)
-    results = {name: labels.weighted_label(data, "id", task) for name, task in _tasks().items()}
-    return stacked_by_task(results).withColumn("label", F.round("label", 9))
+    stacked = labels.stacked_labels(_order_lines(spark, sf_dir), "id", _tasks())
+    return stacked.withColumn("label", F.round("label", 9))
 
 
 @query(

@@ -51,8 +51,8 @@ def _revenue(spark, sf_dir):
     return _split(rows)
 
 
-def _training(rows):
-    return rows.filter("split <> 'test'")
+def _training(rows, key="id"):
+    return models.balanced(rows.filter("split <> 'test'"), key)
 
 
 def _scored(model, rows):
@@ -67,8 +67,9 @@ def ml_random_forest(spark, sf_dir):
 
 @query("ml_gbt_classifier_valid")
 def ml_gbt_classifier_valid(spark, sf_dir):
+    """All standing settings but the number of rounds, which is 100 there."""
     rows = _returns(spark, sf_dir)
-    return _scored(models.boosted_classifier_validated(_training(rows), "is_valid"), rows)
+    return _scored(models.boosted_classifier_validated(_training(rows), "is_valid", maxIter=20), rows)
 
 
 def _errors_per_part(model, rows):
@@ -105,26 +106,26 @@ def ml_boost_classifier(spark, sf_dir):
 def ml_boost_regressor(spark, sf_dir):
     """All standing settings but the number of rounds, which is 400 there."""
     rows = _revenue(spark, sf_dir)
-    return _errors_per_part(models.gradient_regressor(rows.filter("split = 'train'"), maxIter=40), rows)
+    return _errors_per_part(models.gradient_regressor(models.balanced(rows.filter("split = 'train'"), "id"), maxIter=40), rows)
 
 
 @query("ml_kmeans")
 def ml_kmeans(spark, sf_dir):
     rows = _vectors(spark, sf_dir)
-    model = models.clusters(rows)
+    model = models.clusters(models.balanced(rows, "vec_id"))
     return models.scored(model, rows, "vec_id").withColumn("within_error", F.lit(model.summary.trainingCost))
 
 
 @query("ml_logistic")
 def ml_logistic(spark, sf_dir):
     rows = _returns(spark, sf_dir)
-    model = models.logistic(rows)
+    model = models.logistic(models.balanced(rows, "id"))
     return _scored(model, rows).withColumn("area_under_roc", F.lit(model.summary.areaUnderROC))
 
 
 def _saved_classifier(spark, rows):
     path = fresh_path(spark, "model")
-    model = models.boosted_classifier(_training(rows), maxIter=3)
+    model = models.boosted_classifier(_training(rows, "vec_id"), maxIter=3)
     models.save_model(model, path)
     return model, models.load_model(GBTClassificationModel, path)
 

@@ -22,7 +22,10 @@ def split_words(text: Column, separator: str = " ") -> Column:
     An empty text has one empty word; a text of separators only has none.
     """
     pattern = _quoted(separator)
-    trimmed = F.regexp_replace(text, f"(?:{pattern})+$", "")
+    if len(separator) == 1:
+        trimmed = F.rtrim(text, F.lit(separator))
+    else:
+        trimmed = F.regexp_replace(text, f"(?:{pattern})+$", "")
     no_words = F.array().cast("array<string>")
     return F.when((trimmed == "") & (text != ""), no_words).otherwise(F.split(trimmed, pattern, -1))
 

@@ -64,33 +64,48 @@ def mode(df: DataFrame, key: str, column: str) -> DataFrame:
     return counted.groupBy(key).agg(best.alias("_best")).select(key, F.col("_best.value").alias(column))
 
 
-def modes(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """Most frequent value of each column per key, in one pass over ``df``.
+def modes_and_sums(
+    df: DataFrame, key: str, mode_columns: Sequence[str], sum_columns: Sequence[str] = (), scale: int | None = None
+) -> DataFrame:
+    """Most frequent value of each mode column, then ``sum_c`` and ``avg_c`` of
+    each sum column, per key and in one pass over ``df``.
 
-    The columns are laid under each other, counted together, and the winners
-    put back side by side: two shuffles for any number of columns.
+    The mode columns are laid under each other and counted together; the
+    numbers ride along with the first of them. The winners are put back side
+    by side in the second group, so there are two shuffles of combined rows
+    for any number of columns, and no join.
     """
     types = dict(df.dtypes)
-    cells = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(i).alias("slot"), F.col(name).cast("string").alias("text"))
-                for i, name in enumerate(columns)
-            ]
-        )
-    )
-    counted = (
-        df.select(key, cells.alias("cell"))
-        .groupBy(key, "cell.slot", "cell.text")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    best = []
-    for i, name in enumerate(columns):
+
+    def cell(slot: int, name: str) -> Column:
+        numbers = [
+            (F.col(c).try_cast("double") if slot == 0 else F.lit(None).cast("double")).alias(f"v{j}")
+            for j, c in enumerate(sum_columns)
+        ]
+        return F.struct(F.lit(slot).alias("slot"), F.col(name).cast("string").alias("text"), *numbers)
+
+    cells = F.explode(F.array(*[cell(i, name) for i, name in enumerate(mode_columns)]))
+    partial = [F.count(F.lit(1)).alias("_n")]
+    for j, _ in enumerate(sum_columns):
+        partial += [F.sum(f"cell.v{j}").alias(f"_s{j}"), F.count(f"cell.v{j}").alias(f"_c{j}")]
+    counted = df.select(key, cells.alias("cell")).groupBy(key, "cell.slot", "cell.text").agg(*partial)
+
+    results, shown = [], []
+    for i, name in enumerate(mode_columns):
         value = F.col("text").cast(types[name])
         candidate = F.when(F.col("slot") == i, _rank_of_mode(F.col("_n"), value, value))
-        best.append(F.min(candidate).alias(f"_best{i}"))
-    picked = [F.col(f"_best{i}.value").alias(name) for i, name in enumerate(columns)]
-    return counted.groupBy(key).agg(*best).select(key, *picked)
+        results.append(F.min(candidate).alias(f"_best{i}"))
+        shown.append(F.col(f"_best{i}.value").alias(name))
+    for j, name in enumerate(sum_columns):
+        total = F.sum(f"_s{j}") if scale is None else F.round(F.sum(f"_s{j}"), scale)
+        results += [total.alias(f"sum_{name}"), F.try_divide(total, F.sum(f"_c{j}")).alias(f"avg_{name}")]
+        shown += [F.col(f"sum_{name}"), F.col(f"avg_{name}")]
+    return counted.groupBy(key).agg(*results).select(key, *shown)
+
+
+def modes(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
+    """Most frequent value of each column per key, in one pass over ``df``."""
+    return modes_and_sums(df, key, columns)
 
 
 def top_row(df: DataFrame, key: str | Sequence[str], order_by: Sequence[Column | str]) -> DataFrame:

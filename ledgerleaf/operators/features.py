@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.functions.arrays import as_doubles
 from ledgerleaf.functions.numbers import is_finite, plain_number
-from ledgerleaf.operators.aggregates import modes, sums_and_averages
+from ledgerleaf.operators.aggregates import modes_and_sums
 from ledgerleaf.operators.joins import join_tables
 
 
@@ -50,12 +50,9 @@ def customer_features(
 ) -> DataFrame:
     """One row per customer: most frequent values, then sums and averages.
 
-    Both halves are grouped by the customer, so they join without another
-    shuffle of the transactions.
+    The transactions (and any join that enriches them) are read once.
     """
-    most_frequent = modes(transactions, key, mode_columns)
-    totals = sums_and_averages(transactions, key, sum_columns, scale)
-    return join_tables([most_frequent, totals], key)
+    return modes_and_sums(transactions, key, mode_columns, sum_columns, scale)
 
 
 def assembled_base(base: DataFrame, key: str, *feature_tables: DataFrame, target: str | None = None) -> DataFrame:

@@ -42,28 +42,45 @@ def _scaled(value: Column, low: Column, high: Column) -> Column:
     return F.when(high == low, F.lit(0.5)).otherwise((value - low) / (high - low))
 
 
-def weighted_label(df: DataFrame, key: str, task: LabelTask, output: str = "label") -> DataFrame:
-    """(key, label): each column scaled to [0, 1], then summed by weight.
+def weighted_labels(df: DataFrame, key: str, tasks: Mapping[str, LabelTask]) -> DataFrame:
+    """(key, one label per task): each column scaled to [0, 1], then summed by
+    weight.
 
     Missing and unreadable values count as 0. A constant column scales to 0.5.
-    The extremes are one aggregate, read through a scalar subquery.
+    The extremes of all columns are one aggregate, read through a scalar
+    subquery, so the table is scanned twice for any number of tasks.
     """
-    cleaned = fill_for_labels(df.select(key, *task.columns), task.columns)
+    names = list(dict.fromkeys(name for task in tasks.values() for name in task.columns))
+    cleaned = fill_for_labels(df.select(key, *names), names)
     numbers = cleaned.select(
-        key, *[F.coalesce(F.col(name).try_cast("double"), F.lit(0.0)).alias(name) for name in task.columns]
+        key, *[F.coalesce(F.col(name).try_cast("double"), F.lit(0.0)).alias(name) for name in names]
     )
     ends = [
         value.alias(f"{side}{i}")
-        for i, name in enumerate(task.columns)
+        for i, name in enumerate(names)
         for side, value in (("low", F.min(name)), ("high", F.max(name)))
     ]
     extremes = numbers.agg(F.struct(*ends).alias("extremes")).scalar()
-    scaled = [
-        _scaled(F.col(name), F.col(f"_x.low{i}"), F.col(f"_x.high{i}")) for i, name in enumerate(task.columns)
+    scaled = {
+        name: _scaled(F.col(name), F.col(f"_x.low{i}"), F.col(f"_x.high{i}")) for i, name in enumerate(names)
+    }
+    labels = [
+        weighted_sum(F.array(*[scaled[name] for name in task.columns]), task.weights).alias(output)
+        for output, task in tasks.items()
     ]
-    return numbers.withColumn("_x", extremes).select(
-        key, weighted_sum(F.array(*scaled), task.weights).alias(output)
-    )
+    return numbers.withColumn("_x", extremes).select(key, *labels)
+
+
+def weighted_label(df: DataFrame, key: str, task: LabelTask, output: str = "label") -> DataFrame:
+    """(key, label) of one task."""
+    return weighted_labels(df, key, {output: task})
+
+
+def stacked_labels(df: DataFrame, key: str, tasks: Mapping[str, LabelTask]) -> DataFrame:
+    """(key, task, label) of several tasks, computed together."""
+    wide = weighted_labels(df, key, tasks)
+    cells = [F.struct(F.lit(name).alias("task"), F.col(name).alias("label")) for name in tasks]
+    return wide.select(key, F.explode(F.array(*cells)).alias("_c")).select(key, "_c.*")
 
 
 def label_per_class(df: DataFrame, key: str, label: str, classes: int) -> DataFrame:

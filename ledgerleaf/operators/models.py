@@ -23,6 +23,16 @@ LOGISTIC = {"maxIter": 10, "regParam": 0.3, "elasticNetParam": 0.8}
 CLUSTERS = {"k": 2, "seed": 1}
 
 
+def balanced(data: DataFrame, key: str) -> DataFrame:
+    """Training rows spread evenly by their unique key.
+
+    A learner passes over its rows many times, so one shuffle pays when the
+    rows lie in few or uneven files. Spark picks the number of partitions from
+    the size of the data.
+    """
+    return data.repartition(F.col(key))
+
+
 def _ready(data: DataFrame, estimator) -> Model:
     # Boosting builds a long lineage; checkpoints in the shared folder cut it.
     ensure_checkpoint_dir(data.sparkSession)

@@ -1,9 +1,18 @@
-"""Compare registered queries with their SQL: python tests/check_oracle.py [sf] [key-prefix ...]"""
-import os, sys, time, datetime, decimal, math
+"""Compare registered queries with their SQL: python tests/oracle.py [sf] [key-prefix ...]"""
+
+import datetime
+import decimal
+import math
+import os
+import sys
+import time
+
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-import duckdb
-from ledgerleaf import catalog
-from ledgerleaf.session import build_session
+
+import duckdb  # noqa: E402
+
+from ledgerleaf import catalog  # noqa: E402
+from ledgerleaf.session import build_session  # noqa: E402
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
@@ -50,7 +59,10 @@ def compare(df, con, sql):
     want_cols, want = rows_of_sql(con, sql)
     if cols != want_cols:
         return f"columns {cols} != {want_cols}"
-    key = lambda row: tuple((x is None, type(x).__name__, x if not isinstance(x, float) else x) if x is not None else (True, "", 0) for x in row)
+
+    def key(row):
+        return tuple((True, "", 0) if x is None else (False, type(x).__name__, x) for x in row)
+
     g, w = sorted(got, key=key), sorted(want, key=key)
     if len(g) != len(w):
         return f"rows {len(g)} != {len(w)}; first got {g[:2]} want {w[:2]}"
