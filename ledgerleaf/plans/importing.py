@@ -13,7 +13,7 @@ from ledgerleaf.operators.columns import without
 from ledgerleaf.operators.joins import join_catalog
 from ledgerleaf.operators.labels import TRAIN_VALID_TEST, LabelTask, split_by_hash, weighted_label
 from ledgerleaf.sinks.tables import replace_table
-from ledgerleaf.sources.delimited import read_csv, read_packed, read_text_with_header_file
+from ledgerleaf.sources.delimited import path_exists, read_csv, read_packed, read_text_with_header_file
 
 STEPS = ("import_business", "import_info", "import_all", "import_sample", "skip_import")
 GOALS = ("train", "predict")
@@ -35,8 +35,9 @@ class Input:
 class ImportJob:
     """What to import, how to join it and which labels to make.
 
-    The first input is the order history, the others are information tables
-    with one row per key.
+    Inputs whose header or data file is missing are left out. The first of the
+    others is the order history, the rest are information tables with one row
+    per key.
     """
 
     key: str
@@ -49,9 +50,14 @@ class ImportJob:
     location: Callable[[str], str | None] = lambda name: None
 
 
+def existing_inputs(spark: SparkSession, job: ImportJob) -> list[Input]:
+    """Inputs whose header and data are both there."""
+    return [one for one in job.inputs if path_exists(spark, one.header) and path_exists(spark, one.data)]
+
+
 def import_orders(spark: SparkSession, job: ImportJob) -> DataFrame:
     """Order lines as counts and averages per customer, stored as a table."""
-    first = job.inputs[0]
+    first = existing_inputs(spark, job)[0]
     lines = read_text_with_header_file(spark, first.header, first.data, first.header_sep, first.sep)
     summary = history(lines, [job.key, job.original_key], job.averages, scale=job.scale)
     return replace_table(summary, first.name, job.location(first.name))
@@ -60,7 +66,7 @@ def import_orders(spark: SparkSession, job: ImportJob) -> DataFrame:
 def import_information(spark: SparkSession, job: ImportJob) -> list[DataFrame]:
     """The other inputs, their malformed lines set aside."""
     stored = []
-    for one in job.inputs[1:]:
+    for one in existing_inputs(spark, job)[1:]:
         rejects = one.rejects or f"{one.data}.rejects"
         table = read_packed(spark, one.header, one.data, rejects, one.header_sep, one.sep)
         stored.append(replace_table(table.drop(job.original_key), one.name, job.location(one.name)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def _writer(df: DataFrame, path: str | None):
@@ -23,6 +24,25 @@ def create_table(df: DataFrame, name: str, path: str | None = None) -> DataFrame
     return df.sparkSession.table(name)
 
 
+def _spread_by_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Rows brought together by bucket, large buckets split over several tasks.
+
+    The rows of each bucket are counted first; a bucket above twice the mean
+    size is cut into pieces of about the mean size. The pieces are files of
+    the same bucket.
+    """
+    bucket = F.pmod(F.hash(key), F.lit(buckets))
+    sizes = {row[0]: row[1] for row in df.groupBy(bucket.alias("b")).agg(F.count(F.lit(1))).collect()}
+    mean = max(1, sum(sizes.values()) // buckets)
+    pieces = {b: -(-n // mean) for b, n in sizes.items() if n > 2 * mean}
+    if not pieces:
+        return df.repartition(buckets, bucket)
+    row = F.xxhash64(*df.columns) + F.spark_partition_id()
+    count = F.create_map(*[F.lit(item) for pair in pieces.items() for item in pair])
+    piece = F.pmod(row, F.coalesce(F.try_element_at(count, bucket), F.lit(1)))
+    return df.repartition(buckets + sum(pieces.values()), bucket, piece)
+
+
 def replace_keyed_table(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> DataFrame:
     """As :func:`replace_table`, stored in buckets of the key.
 
@@ -30,6 +50,6 @@ def replace_keyed_table(df: DataFrame, name: str, key: str, buckets: int, path:
     """
     spark = df.sparkSession
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    clustered = df.repartition(buckets, key)
+    clustered = _spread_by_bucket(df, key, buckets)
     _writer(clustered, path).mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
     return spark.table(name)

@@ -76,6 +76,14 @@ def test_bucketed_table_joins_without_shuffle(spark):
     assert "Exchange" not in plan and a.join(b, "k").count() == 2000
 
 
+def test_large_bucket_is_written_in_pieces(spark, tmp_path):
+    rows = spark.range(4000).withColumn("k", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")))
+    stored = tables.replace_keyed_table(rows.repartition(6), "t_keyed_hot", "k", 16, str(tmp_path / "hot"))
+    assert stored.exceptAll(rows).count() == 0 and rows.exceptAll(stored).count() == 0
+    sizes = [r["count"] for r in stored.groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) < 4000 / 6 and len(sizes) > 16
+
+
 def test_text_and_points(spark, tmp_path):
     lines = spark.range(100).select(F.col("id").cast("string").alias("value")).repartition(5)
     files.write_text(lines, str(tmp_path / "many"))
