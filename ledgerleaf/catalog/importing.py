@@ -1,6 +1,7 @@
 """Import jobs on files written from the standard tables."""
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -90,13 +91,10 @@ _BUCKET = "CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) % 100"
     SELECT CASE WHEN {_BUCKET} < 70 THEN 'train' WHEN {_BUCKET} < 90 THEN 'valid' ELSE 'test' END AS part,
       id, count_id, avg_pay_amount, nation, segment, NULL::DOUBLE AS label FROM joined
     UNION ALL SELECT 'label', id, NULL, NULL, NULL, NULL,
-      round(0.5::DOUBLE * (a - la) / (ha - la) + 0.5::DOUBLE * (b - lb) / (hb - lb), 9) FROM n, x""",
+      0.5::DOUBLE * ((a - la) / (ha - la)) + 0.5::DOUBLE * ((b - lb) / (hb - lb)) FROM n, x""",
 )
 def job_import_join(spark, sf_dir):
     job, run = _job(spark, sf_dir)
     tables = importing.run_import_job(spark, job, step="import_all", goal="train")
     parts = [df.withColumn("part", F.lit(name.rsplit("_", 1)[1])) for name, df in tables.items()]
-    stacked = parts[0].withColumn("label", F.round("label", 9))
-    for one in parts[1:]:
-        stacked = stacked.unionByName(one, allowMissingColumns=True)
-    return stacked
+    return reduce(lambda top, one: top.unionByName(one, allowMissingColumns=True), parts)

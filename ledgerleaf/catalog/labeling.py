@@ -1,5 +1,7 @@
 """Labels, splits, dictionaries and encoded features."""
 
+from functools import reduce
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -51,13 +53,12 @@ def _label_sql(task):
         f"{w}::DOUBLE * CASE WHEN hi_{c} = lo_{c} THEN 0.5 ELSE ({c} - lo_{c}) / (hi_{c} - lo_{c}) END"
         for c, w in zip(numeric, labels.TASK_WEIGHTS[task])
     )
-    return f"SELECT id, round({terms}, 9) AS label FROM numbers, (SELECT {ends} FROM numbers)"
+    return f"SELECT id, {terms} AS label FROM numbers, (SELECT {ends} FROM numbers)"
 
 
 @query("label_minmax_weighted", _LINES_SQL + _label_sql("m2"))
 def label_minmax_weighted(spark, sf_dir):
-    label = labels.weighted_label(_order_lines(spark, sf_dir), "id", _tasks()["m2"])
-    return label.withColumn("label", F.round("label", 9))
+    return labels.weighted_label(_order_lines(spark, sf_dir), "id", _tasks()["m2"])
 
 
 @query(
@@ -65,8 +66,7 @@ def label_minmax_weighted(spark, sf_dir):
     _LINES_SQL + " UNION ALL ".join(f"SELECT *, '{t}' AS task FROM ({_label_sql(t)})" for t in _TASK_COLUMNS),
 )
 def label_multi_task(spark, sf_dir):
-    stacked = labels.stacked_labels(_order_lines(spark, sf_dir), "id", _tasks())
-    return stacked.withColumn("label", F.round("label", 9))
+    return labels.stacked_labels(_order_lines(spark, sf_dir), "id", _tasks())
 
 
 @query(
@@ -100,9 +100,6 @@ def split_random(spark, sf_dir):
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
-_TRAIN_COLUMNS = ("id", "l_partkey", "l_returnflag")
-
-
 @query(
     "job_train_tables",
     _LINES_SQL
@@ -114,10 +111,7 @@ _TRAIN_COLUMNS = ("id", "l_partkey", "l_returnflag")
 def job_train_tables(spark, sf_dir):
     tables = importing.train_tables(_order_lines(spark, sf_dir), "id", {"m2": _tasks()["m2"]})
     tagged = [df.withColumn("table_name", F.lit(name)) for name, df in tables.items()]
-    stacked = tagged[0].withColumn("label", F.round("label", 9))
-    for one in tagged[1:]:
-        stacked = stacked.unionByName(one, allowMissingColumns=True)
-    return stacked
+    return reduce(lambda top, one: top.unionByName(one, allowMissingColumns=True), tagged)
 
 
 @query(
@@ -130,11 +124,8 @@ def job_train_tables(spark, sf_dir):
 )
 def job_predict_tables(spark, sf_dir):
     tables = importing.predict_tables(_order_lines(spark, sf_dir), _tasks())
-    stacked = None
-    for name, df in tables.items():
-        tagged = df.withColumn("table_name", F.lit(name))
-        stacked = tagged if stacked is None else stacked.unionByName(tagged, allowMissingColumns=True)
-    return stacked
+    tagged = [df.withColumn("table_name", F.lit(name)) for name, df in tables.items()]
+    return reduce(lambda top, one: top.unionByName(one, allowMissingColumns=True), tagged)
 
 
 def _parts(spark, sf_dir):
@@ -179,15 +170,12 @@ def feat_dictionary_distinct(spark, sf_dir):
     return _long(dictionary.fit_dictionary(_parts(spark, sf_dir), ignore=["p_partkey", "target"], by="value"))
 
 
-_NUMBER = "coalesce((SELECT number FROM ranks WHERE field = '{c}' AND label = {v}), 0)"
-
-
-def _encode_sql(source, values, extra=""):
+def _encode_sql(source, values):
     joins = "".join(
         f" LEFT JOIN ranks r{i} ON r{i}.field = '{c}' AND r{i}.label = {values[c]}" for i, c in enumerate(_TEXTS)
     )
     numbers = ", ".join(f"coalesce(r{i}.number, 0) AS {c}" for i, c in enumerate(_TEXTS))
-    return f"SELECT p.p_partkey, target, {numbers}, CAST(p_size AS DOUBLE) AS p_size, p_retailprice FROM {source} p{joins}{extra}"
+    return f"SELECT p.p_partkey, target, {numbers}, CAST(p_size AS DOUBLE) AS p_size, p_retailprice FROM {source} p{joins}"
 
 
 _TARGET_SQL = "(SELECT *, CASE WHEN p_size > 25 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS target FROM part)"

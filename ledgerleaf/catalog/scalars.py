@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from ledgerleaf.catalog.registry import query, table
 from ledgerleaf.functions import maps, numbers, text, times
 from ledgerleaf.operators import words
+from ledgerleaf.scratch import fresh_path
+from ledgerleaf.sinks.files import write_text
 
 # Twenty common words of the provided texts.
 STOP_WORDS = (
@@ -106,7 +108,9 @@ def _barred(spark, sf_dir):
       FROM documents""",
 )
 def fn_stopwords(spark, sf_dir):
-    stops = spark.createDataFrame([(word,) for word in STOP_WORDS], "word string")
+    path = fresh_path(spark, "stop-words")
+    write_text(spark.createDataFrame([(word,) for word in STOP_WORDS], "value string"), path)
+    stops = spark.read.text(path)
     return words.remove_stop_words(_barred(spark, sf_dir), "fact", stops, "doc_id").drop("fact")
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerleaf.functions.arrays import weighted_sum
 from ledgerleaf.functions.numbers import hash_bucket
 from ledgerleaf.operators.clean import fill_for_labels
 
@@ -64,8 +65,9 @@ def weighted_labels(df: DataFrame, key: str, tasks: Mapping[str, LabelTask]) ->
     scaled = {
         name: _scaled(F.col(name), F.col(f"_x.low{i}"), F.col(f"_x.high{i}")) for i, name in enumerate(names)
     }
+    # Plain sums of known columns compile; array functions would be interpreted.
     labels = [
-        weighted_sum(F.array(*[scaled[name] for name in task.columns]), task.weights).alias(output)
+        reduce(add, [F.lit(float(w)) * scaled[name] for name, w in zip(task.columns, task.weights)]).alias(output)
         for output, task in tasks.items()
     ]
     return numbers.withColumn("_x", extremes).select(key, *labels)

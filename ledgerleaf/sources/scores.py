@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerleaf.functions.numbers import clamp, hashed_gaussian
+from ledgerleaf.functions.numbers import clamp, hashed_gaussian, hashed_uniform
 
 # Mean and variance of negatives and positives per population.
 POPULATIONS = {
@@ -49,3 +49,25 @@ def generate_regression_pairs(
         clamp(hashed_gaussian(key, f"x/{seed}", *first)).alias("score"),
         clamp(hashed_gaussian(key, f"y/{seed}", *second)).alias("label"),
     )
+
+
+def uniform_labels(rows: DataFrame, key: str, output: str = "label", salt: str = "label") -> DataFrame:
+    """(key, uniform label), one per given row and fixed by its key."""
+    return rows.select(key, hashed_uniform(F.col(key), salt).alias(output))
+
+
+def generate_uniform_scores(spark: SparkSession, rows: int, seed: int = 0) -> DataFrame:
+    """(index, uniform score, label 0 or 1), independent of each other."""
+    key = F.col("id")
+    label = (hashed_uniform(key, f"label/{seed}") * 2).cast("int")
+    return spark.range(rows).select(
+        key.alias("index"), hashed_uniform(key, f"score/{seed}").alias("score"), label.alias("label")
+    )
+
+
+def generate_matrix(spark: SparkSession, rows: int, width: int, high: float = 10.0, seed: int = 0) -> DataFrame:
+    """Uniform numbers in (0, high), one column per matrix column."""
+    key = F.col("id")
+    return spark.range(rows).select(
+        *[(hashed_uniform(key, f"{i}/{seed}") * high).alias(f"c{i}") for i in range(width)]
+    )

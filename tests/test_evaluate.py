@@ -164,6 +164,33 @@ def test_bands(scored, pairs):
     assert rows[-1].cum_pos == sum(1 for _, y in pairs if y == 1)
 
 
+@pytest.mark.parametrize(
+    "population,auc,error", [("good", 0.8621, 0.4218), ("mid", 0.6912, 0.5567), ("bad", 0.5831, 0.6303)]
+)
+def test_published_measures_of_the_generated_populations(spark, population, auc, error):
+    """100,000 negatives and 2,000 positives; the published draw had no seed.
+
+    The gap of two normal distributions with the same variance is greatest
+    half-way between their means, which gives the expected KS.
+    """
+    (low, variance), (high, _) = scores.POPULATIONS[population]
+    gap = math.erf((high - low) / (2 * math.sqrt(2 * variance)))
+    table = scores.generate_scores(spark, population).cache()
+    assert evaluate.auc_rounded(table).first()[0] == pytest.approx(auc, abs=0.02)
+    assert evaluate.ks(table).first()[0] == pytest.approx(gap, abs=0.03)
+    assert evaluate.rmse(table).first()[0] == pytest.approx(error, abs=0.01)
+    table.unpersist()
+
+
+def test_uniform_fixtures(spark):
+    table = scores.generate_uniform_scores(spark, 4000)
+    row = table.agg(F.avg("score"), F.avg("label"), F.min("label"), F.max("label")).first()
+    assert abs(row[0] - 0.5) < 0.02 and abs(row[1] - 0.5) < 0.03 and (row[2], row[3]) == (0, 1)
+    matrix = scores.generate_matrix(spark, 100, 11)
+    assert len(matrix.columns) == 11 and matrix.filter("c3 < 0 or c3 > 10").count() == 0
+    assert scores.uniform_labels(spark.range(5), "id").filter("label > 0 and label < 1").count() == 5
+
+
 def test_generated_populations_are_ordered_by_quality(spark):
     areas = [
         evaluate.auc_rounded(scores.generate_scores(spark, name, 5000, 500)).first()[0]
