@@ -113,7 +113,7 @@ def agg_summary_weighted(spark, sf_dir):
 
 @query("agg_observe_counter", "SELECT count(*) AS rows, CAST(sum(l_linenumber) AS BIGINT) AS total FROM lineitem")
 def agg_observe_counter(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select("l_linenumber")
+    lines = table(spark.newSession(), sf_dir, "lineitem").select("l_linenumber")
     counted, seen = aggregates.counted_beside(lines, "line counter", F.col("l_linenumber"))
     counted.write.format("noop").mode("overwrite").save()
     return spark.createDataFrame([(seen.get["rows"], seen.get["total"])], "rows bigint, total bigint")

@@ -154,9 +154,11 @@ def collected_in_chunks(
     spans ``width`` positions, so no array has more than ``width`` elements
     however large the key is. Pieces are ordered by ``chunk``.
     """
+    at = F.col(position).cast("bigint")
+    start = at - F.pmod(at, F.lit(width).cast("bigint"))
     pieces = df.select(
         key,
-        F.floor(F.col(position) / width).cast("bigint").alias("chunk"),
+        F.call_function("div", start, F.lit(width).cast("bigint")).alias("chunk"),
         F.struct(F.col(position).alias("at"), value.alias("value")).alias("_item"),
     )
     ordered = F.sort_array(F.collect_list("_item"))
@@ -208,7 +210,12 @@ def column_statistics(
 
 
 def counted_beside(df: DataFrame, name: str, value: Column) -> tuple[DataFrame, Observation]:
-    """The same rows, and a counter that is filled while a job reads them."""
+    """The same rows, and a counter that is filled while a job reads them.
+
+    Spark keeps the counter in the session of ``df``, and learners cannot send
+    such a session to their tasks: read ``df`` in a ``spark.newSession()`` when
+    the program also fits or applies models.
+    """
     observation = Observation(name)
     return df.observe(observation, F.count(F.lit(1)).alias("rows"), F.sum(value).alias("total")), observation
 

@@ -37,16 +37,17 @@ def running(
     ``totals`` maps a new column to the column summed so far, ``overall`` to
     the column summed over the whole table. The order must be total within a
     group (add a unique column at the end of ``order_by``). A group of any
-    size is spread over as many parts as its rows need.
+    size is spread over as many parts as its rows need. There are at most as
+    many parts as shuffle partitions, fewer for small tables, or ``parts``.
     """
     totals = dict(totals or {})
     overall = dict(overall or {})
-    spark = df.sparkSession
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     groups = [F.col(name) for name in group_by]
     order = [_column(item) for item in order_by]
 
-    ranged = df.repartitionByRange(parts, *groups, *order).withColumn(_PART, F.spark_partition_id())
+    keys = [*groups, *order]
+    ranged = df.repartitionByRange(parts, *keys) if parts else df.repartitionByRange(*keys)
+    ranged = ranged.withColumn(_PART, F.spark_partition_id())
     # Range bounds come from a sample, so they are fixed on disk before use.
     staged = materialize(ranged, "ordered")
 
@@ -55,8 +56,8 @@ def running(
         sums[_ROWS] = F.count(F.lit(1))
     per_part = staged.groupBy(*groups, _PART).agg(*[value.alias(name) for name, value in sums.items()])
 
-    # One row per part and group; a window over it never exceeds `parts` rows
-    # for one group.
+    # One row per part and group; a window over it never exceeds the number of
+    # parts for one group.
     earlier = Window.partitionBy(*groups).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
     before = per_part.select(
         *[F.col(name).alias(f"_g{i}") for i, name in enumerate(group_by)],
@@ -65,7 +66,7 @@ def running(
         *[F.sum(name).over(earlier).alias(f"_before_{name}") for name in sums],
     ).filter(F.col("_prior") > 0)
     # At most one group per part began in an earlier part, so `before` holds
-    # at most `parts` rows and can always be broadcast.
+    # at most one row per part and can always be broadcast.
     same = F.col(_PART) == F.col("_p")
     for i, name in enumerate(group_by):
         same = same & F.col(name).eqNullSafe(F.col(f"_g{i}"))

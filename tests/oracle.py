@@ -78,7 +78,7 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     prefixes = tuple(sys.argv[2:])
     sf_dir = f"/root/testdata/sf{sf}"
-    spark = build_session(master="local[8]", spark__sql__shuffle__partitions=8, spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="8g",
+    spark = build_session(master="local[8]", spark__sql__shuffle__partitions=os.environ.get("PARTITIONS", "8"), spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="8g",
                           spark__sql__warehouse__dir="/tmp/ledgerleaf-warehouse")
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
