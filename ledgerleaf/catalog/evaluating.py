@@ -138,7 +138,7 @@ def eval_ks(spark, sf_dir):
     return evaluate.ks(scored_lines(spark, sf_dir))
 
 
-_ROC_SQL = (
+ROC_SQL = (
     _SCORES_SQL
     + f""", {_TOTALS_SQL},
     th AS (SELECT DISTINCT CAST(round(CAST(score AS DECIMAL(18, 6)), 3) * 1000000 AS BIGINT) AS t FROM s),
@@ -157,12 +157,12 @@ _AREA_SQL = """, walk AS (SELECT x, y, lag(x, 1, 0.0) OVER o AS bx, lag(y, 1, 0.
     SELECT round(sum((y + prev_y) * abs(x - bx) / 2), 9) AS area FROM walk"""
 
 
-@query("eval_roc_points", _ROC_SQL + "SELECT * FROM pts")
+@query("eval_roc_points", ROC_SQL + "SELECT * FROM pts")
 def eval_roc_points(spark, sf_dir):
     return evaluate.roc_points(scored_lines(spark, sf_dir))
 
 
-@query("eval_auc_rounded", _ROC_SQL + _AREA_SQL.format(points="pts"))
+@query("eval_auc_rounded", ROC_SQL + _AREA_SQL.format(points="pts"))
 def eval_auc_rounded(spark, sf_dir):
     return evaluate.auc_rounded(scored_lines(spark, sf_dir)).select(F.round("area", 9).alias("area"))
 

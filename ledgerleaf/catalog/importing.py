@@ -5,24 +5,18 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from ledgerleaf.catalog.reading import PACK, write_header
 from ledgerleaf.catalog.registry import query, table
 from ledgerleaf.operators.labels import LabelTask
 from ledgerleaf.plans import importing
 from ledgerleaf.scratch import fresh_path
 from ledgerleaf.sinks.files import write_text
 
-_PACK = "\x02"
 _ORDER_COLUMNS = ("id", "user_id", "before_amount", "paid_amount")
 _INFO_COLUMNS = ("id", "user_id", "nation", "balance", "segment")
 _AVERAGES = {"before_amount": "avg_prefr_amount", "paid_amount": "avg_pay_amount"}
 
 
-def _header(spark, names):
-    path = fresh_path(spark, "header")
-    write_text(spark.createDataFrame([(",".join(names),)], "value string"), path, one_file=True)
-    return path
-
-
 def _job(spark, sf_dir):
     """Order lines as tab-separated text and customers as packed text, every
     seventh customer line too wide."""
@@ -33,15 +27,15 @@ def _job(spark, sf_dir):
     )
     write_text(table(spark, sf_dir, "orders").select(line.alias("value")), orders)
     key = F.col("c_custkey")
-    packed = F.concat_ws(_PACK, "c_nationkey", "c_acctbal", "c_mktsegment")
-    wide = F.when(key % 7 == 0, F.concat_ws(_PACK, packed, F.lit("extra"))).otherwise(packed)
+    packed = F.concat_ws(PACK, "c_nationkey", "c_acctbal", "c_mktsegment")
+    wide = F.when(key % 7 == 0, F.concat_ws(PACK, packed, F.lit("extra"))).otherwise(packed)
     customers = table(spark, sf_dir, "customer").select(
         F.concat_ws("\t", key, F.concat(F.lit("U"), key), wide).alias("value")
     )
     write_text(customers, info)
     inputs = [
-        importing.Input(f"orders_{run}", _header(spark, _ORDER_COLUMNS), orders),
-        importing.Input(f"info_{run}", _header(spark, _INFO_COLUMNS), info, sep=_PACK),
+        importing.Input(f"orders_{run}", write_header(spark, _ORDER_COLUMNS), orders),
+        importing.Input(f"info_{run}", write_header(spark, _INFO_COLUMNS), info, sep=PACK),
     ]
     return importing.ImportJob(
         key="id",

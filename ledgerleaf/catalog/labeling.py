@@ -128,7 +128,7 @@ def job_predict_tables(spark, sf_dir):
     return reduce(lambda top, one: top.unionByName(one, allowMissingColumns=True), tagged)
 
 
-def _parts(spark, sf_dir):
+def parts_to_encode(spark, sf_dir):
     """Parts as a training table: key, label, then features."""
     target = F.when(F.col("p_size") > 25, 1.0).otherwise(0.0)
     return table(spark, sf_dir, "part").select(
@@ -148,7 +148,7 @@ def _ranks_sql(order):
     )
 
 
-def _dictionary_sql(order):
+def dictionary_sql(order):
     return f"""WITH ranks AS ({_ranks_sql(order)}),
       fields(key, fieldType, fieldName) AS (VALUES (0, 'NONE', 'p_partkey'), (0, 'NONE', 'target'),
         (1, 'STRING', 'p_brand'), (2, 'STRING', 'p_type'), (3, 'STRING', 'p_name'), (4, 'DOUBLE', 'p_size'),
@@ -160,14 +160,14 @@ def _long(fitted):
     return fitted.select("key", "fieldType", "fieldName", F.explode_outer("fieldMap").alias("label", "number"))
 
 
-@query("feat_dictionary", _dictionary_sql("count(*) DESC, {c}"))
+@query("feat_dictionary", dictionary_sql("count(*) DESC, {c}"))
 def feat_dictionary(spark, sf_dir):
-    return _long(dictionary.fit_dictionary(_parts(spark, sf_dir), ignore=["p_partkey", "target"]))
+    return _long(dictionary.fit_dictionary(parts_to_encode(spark, sf_dir), ignore=["p_partkey", "target"]))
 
 
-@query("feat_dictionary_distinct", _dictionary_sql("{c}"))
+@query("feat_dictionary_distinct", dictionary_sql("{c}"))
 def feat_dictionary_distinct(spark, sf_dir):
-    return _long(dictionary.fit_dictionary(_parts(spark, sf_dir), ignore=["p_partkey", "target"], by="value"))
+    return _long(dictionary.fit_dictionary(parts_to_encode(spark, sf_dir), ignore=["p_partkey", "target"], by="value"))
 
 
 def _encode_sql(source, values):
@@ -180,12 +180,12 @@ def _encode_sql(source, values):
 
 _TARGET_SQL = "(SELECT *, CASE WHEN p_size > 25 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS target FROM part)"
 _PLAIN = {c: f"p.{c}" for c in _TEXTS}
-_ENCODED_SQL = f"WITH ranks AS ({_ranks_sql('count(*) DESC, {c}')}), " + f"encoded AS ({_encode_sql(_TARGET_SQL, _PLAIN)}) "
+ENCODED_SQL = f"WITH ranks AS ({_ranks_sql('count(*) DESC, {c}')}), " + f"encoded AS ({_encode_sql(_TARGET_SQL, _PLAIN)}) "
 
 
-@query("feat_encode", _ENCODED_SQL + "SELECT * FROM encoded")
+@query("feat_encode", ENCODED_SQL + "SELECT * FROM encoded")
 def feat_encode(spark, sf_dir):
-    parts = _parts(spark, sf_dir)
+    parts = parts_to_encode(spark, sf_dir)
     return dictionary.encode(parts, dictionary.fit_dictionary(parts, ignore=["p_partkey", "target"]), fill=True)
 
 
@@ -198,7 +198,7 @@ _SHIFTED = {**_PLAIN, "p_brand": "CASE WHEN p.p_size % 2 = 0 THEN p.p_brand || '
     f"WITH ranks AS ({_ranks_sql('count(*) DESC, {c}')}) {_encode_sql(_TARGET_SQL, _SHIFTED)}",
 )
 def feat_encode_predict(spark, sf_dir):
-    parts = _parts(spark, sf_dir)
+    parts = parts_to_encode(spark, sf_dir)
     path = fresh_path(spark, "dictionary")
     fitted = dictionary.fit_dictionary(parts, ignore=["p_partkey", "target"])
     files.write_text(dictionary.dictionary_lines(fitted), path)
@@ -235,14 +235,12 @@ LINE_SQL = """concat_ws(' ', CAST(target AS VARCHAR),
   CASE WHEN p_brand <> 0 THEN '1:' || p_brand END, CASE WHEN p_type <> 0 THEN '2:' || p_type END,
   CASE WHEN p_name <> 0 THEN '3:' || p_name END, CASE WHEN p_size <> 0 THEN '4:' || CAST(p_size AS VARCHAR) END,
   CASE WHEN p_retailprice <> 0 THEN '5:' || CAST(p_retailprice AS VARCHAR) END)"""
-ENCODED_SQL = _ENCODED_SQL
-parts_to_encode = _parts
 
 
-@query("job_libsvm", _ENCODED_SQL + f"SELECT p_partkey, {LINE_SQL} AS line FROM encoded")
+@query("job_libsvm", ENCODED_SQL + f"SELECT p_partkey, {LINE_SQL} AS line FROM encoded")
 def job_libsvm(spark, sf_dir):
     """Train once, then encode with the stored dictionary."""
-    parts = _parts(spark, sf_dir)
+    parts = parts_to_encode(spark, sf_dir)
     _, fitted = libsvm.convert(parts, "p_partkey", "target")
     lines, _ = libsvm.convert(parts, "p_partkey", "target", fitted)
     return lines

@@ -23,7 +23,7 @@ def _customer(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(*_CUSTOMER)
 
 
-@query("src_csv_typed", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+@query("src_csv_typed", "SELECT CAST(c_custkey AS INTEGER) AS c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def src_csv_typed(spark, sf_dir):
     path = fresh_path(spark, "csv")
     _customer(spark, sf_dir).write.option("header", True).option("sep", "|").csv(path)
@@ -71,7 +71,8 @@ def src_text_raw(spark, sf_dir):
     return delimited.read_text_rows(spark, path, _CUSTOMER)
 
 
-def _write_header(spark, names):
+def write_header(spark, names):
+    """A one-line header file."""
     path = fresh_path(spark, "header")
     write_text(spark.createDataFrame([(",".join(names),)], "value string"), path, one_file=True)
     return path
@@ -81,19 +82,19 @@ def _write_header(spark, names):
 def src_text_split_header(spark, sf_dir):
     path = fresh_path(spark, "rows")
     write_text(_spoiled_lines(spark, sf_dir, "\t"), path)
-    return delimited.read_text_with_header_file(spark, _write_header(spark, _CUSTOMER), path)
+    return delimited.read_text_with_header_file(spark, write_header(spark, _CUSTOMER), path)
 
 
 # Fields of the packed part of a line are split by this control character.
-_PACK = "\x02"
+PACK = "\x02"
 
 
 def write_packed_customers(spark, sf_dir):
     """Packed customer lines: some too wide, some without a packed part."""
     key = F.col("c_custkey")
-    packed = F.concat_ws(_PACK, "c_nationkey", "c_acctbal", "c_mktsegment")
+    packed = F.concat_ws(PACK, "c_nationkey", "c_acctbal", "c_mktsegment")
     line = (
-        F.when(key % 7 == 0, F.concat_ws("\t", key, "c_name", F.concat_ws(_PACK, packed, F.lit("extra"))))
+        F.when(key % 7 == 0, F.concat_ws("\t", key, "c_name", F.concat_ws(PACK, packed, F.lit("extra"))))
         .when(key % 11 == 0, F.concat_ws("\t", key, "c_name"))
         .otherwise(F.concat_ws("\t", key, "c_name", packed))
     )
@@ -104,8 +105,8 @@ def write_packed_customers(spark, sf_dir):
 
 @query("src_quarantine_valid", _CUSTOMER_TEXT_SQL + _WELL_FORMED)
 def src_quarantine_valid(spark, sf_dir):
-    data, header = write_packed_customers(spark, sf_dir), _write_header(spark, _CUSTOMER)
-    return delimited.read_packed(spark, header, data, fresh_path(spark, "rejects"), sep=_PACK)
+    data, header = write_packed_customers(spark, sf_dir), write_header(spark, _CUSTOMER)
+    return delimited.read_packed(spark, header, data, fresh_path(spark, "rejects"), sep=PACK)
 
 
 @query(
@@ -116,9 +117,9 @@ def src_quarantine_valid(spark, sf_dir):
        FROM customer WHERE c_custkey % 7 = 0 OR c_custkey % 11 = 0""",
 )
 def src_quarantine_rejects(spark, sf_dir):
-    data, header = write_packed_customers(spark, sf_dir), _write_header(spark, _CUSTOMER)
+    data, header = write_packed_customers(spark, sf_dir), write_header(spark, _CUSTOMER)
     rejects = fresh_path(spark, "rejects")
-    delimited.read_packed(spark, header, data, rejects, sep=_PACK)
+    delimited.read_packed(spark, header, data, rejects, sep=PACK)
     return spark.read.text(rejects)
 
 

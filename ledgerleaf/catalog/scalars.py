@@ -91,9 +91,9 @@ def fn_digit_flags(spark, sf_dir):
 
 
 # Trailing separators do not count as words.
-_WORDS_SQL = """CASE WHEN {t} <> '' AND regexp_replace({t}, '{s}+$', '') = '' THEN CAST([] AS VARCHAR[])
+WORDS_SQL = """CASE WHEN {t} <> '' AND regexp_replace({t}, '{s}+$', '') = '' THEN CAST([] AS VARCHAR[])
    ELSE string_split(regexp_replace({t}, '{s}+$', ''), '{raw}') END"""
-_BARRED_SQL = _WORDS_SQL.format(t="replace(text, ' ', '|')", s="\\|", raw="|")
+_BARRED_SQL = WORDS_SQL.format(t="replace(text, ' ', '|')", s="\\|", raw="|")
 
 
 def _barred(spark, sf_dir):
@@ -126,7 +126,7 @@ def fn_trim_digit_words(spark, sf_dir):
 
 @query(
     "fn_tokenize",
-    f"""SELECT word, count(*) AS n FROM (SELECT unnest({_WORDS_SQL.format(t="text", s=" ", raw=" ")}) AS word
+    f"""SELECT word, count(*) AS n FROM (SELECT unnest({WORDS_SQL.format(t="text", s=" ", raw=" ")}) AS word
       FROM documents) GROUP BY 1""",
 )
 def fn_tokenize(spark, sf_dir):

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from ledgerleaf.catalog.registry import query, table
-from ledgerleaf.catalog.scalars import _WORDS_SQL as WORDS_SQL
+from ledgerleaf.catalog.scalars import WORDS_SQL
 from ledgerleaf.functions.text import split_words
 from ledgerleaf.operators.words import word_counts
 from ledgerleaf.scratch import fresh_path

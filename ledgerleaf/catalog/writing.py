@@ -5,9 +5,8 @@ import uuid
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from ledgerleaf.catalog.evaluating import _ROC_SQL as ROC_SQL
-from ledgerleaf.catalog.evaluating import scored_lines
-from ledgerleaf.catalog.labeling import ENCODED_SQL, LINE_SQL, _dictionary_sql, parts_to_encode
+from ledgerleaf.catalog.evaluating import ROC_SQL, scored_lines
+from ledgerleaf.catalog.labeling import ENCODED_SQL, LINE_SQL, dictionary_sql, parts_to_encode
 from ledgerleaf.catalog.reading import event_cells
 from ledgerleaf.catalog.registry import query, table
 from ledgerleaf.operators import dictionary, evaluate, features
@@ -71,7 +70,7 @@ def sink_libsvm_index(spark, sf_dir):
     return first.union(rest[0]).union(rest[1])
 
 
-@query("dict_json_roundtrip", _dictionary_sql("count(*) DESC, {c}"))
+@query("dict_json_roundtrip", dictionary_sql("count(*) DESC, {c}"))
 def dict_json_roundtrip(spark, sf_dir):
     path = fresh_path(spark, "dictionary")
     fitted = dictionary.fit_dictionary(parts_to_encode(spark, sf_dir), ignore=["p_partkey", "target"])

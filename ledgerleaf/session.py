@@ -21,6 +21,8 @@ def build_session(name: str = "ledgerleaf", master: str | None = None, **conf) -
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Split a hot key even where that costs one more shuffle.
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     }
     settings.update({key.replace("__", "."): str(value) for key, value in conf.items()})
     for key, value in settings.items():
