@@ -75,6 +75,8 @@ def modes_and_sums(
     by side in the second group, so there are two shuffles of combined rows
     for any number of columns, and no join.
     """
+    if not mode_columns:
+        raise ValueError("no mode columns; use sums_and_averages")
     types = dict(df.dtypes)
 
     def cell(slot: int, name: str) -> Column:

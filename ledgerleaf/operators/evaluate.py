@@ -315,7 +315,8 @@ def ndcg(
 ) -> DataFrame:
     """Gain divided by the gain of the best order; null where that is 0."""
     actual = dcg(df, query, relevance, order_by)
-    ideal = dcg(df, query, relevance, [F.desc(relevance), F.asc(unique)], name="ideal_dcg")
+    graded = df.select(query, relevance, unique)
+    ideal = dcg(graded, query, relevance, [F.desc(relevance), F.asc(unique)], name="ideal_dcg")
     ratio = F.try_divide("dcg", "ideal_dcg")
     return actual.join(ideal, query).select(
         query, (ratio if scale is None else F.round(ratio, scale)).alias("ndcg")

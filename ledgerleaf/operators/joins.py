@@ -16,7 +16,11 @@ BROADCAST_ROWS = 100_000
 
 
 def join_tables(tables: Sequence[DataFrame], key: str | Sequence[str], how: str = "left") -> DataFrame:
-    """First table joined with each further one on ``key``."""
+    """First table joined with each further one on ``key``.
+
+    Meant for tables with one row per key, which stay where their grouping put
+    them. Rows that repeat a key are joined with :func:`enrich`.
+    """
     if how not in JOIN_TYPES:
         raise ValueError(f"join type must be one of {JOIN_TYPES}, not {how!r}")
     keys = [key] if isinstance(key, str) else list(key)
@@ -36,9 +40,21 @@ def join_catalog(spark: SparkSession, names: Sequence[str], key: str, how: str =
     return join_tables([spark.table(name) for name in found], key, how)
 
 
+def join_unique(rows: DataFrame, unique: DataFrame, key: str, how: str) -> DataFrame:
+    """Rows of any skew joined with a table that has one row per key.
+
+    A table grouped by the key is already placed by it, and a join that uses
+    that placement cannot be split at run time. The null-safe comparison asks
+    for a shuffle of its own, so that adaptive execution may cut a key that
+    holds much of the rows into several tasks. Missing keys match nothing.
+    """
+    renamed = unique.filter(F.col(key).isNotNull()).withColumnRenamed(key, "_key")
+    return rows.join(renamed, F.col(key).eqNullSafe(F.col("_key")), how).drop("_key")
+
+
 def enrich(facts: DataFrame, dimension: DataFrame, key: str, drop: Sequence[str] = ()) -> DataFrame:
     """Facts with the columns of a dimension that has one row per key."""
-    return facts.join(dimension.drop(*drop), key, "left")
+    return join_unique(facts, dimension.drop(*drop), key, "left")
 
 
 def with_strategy(
@@ -60,12 +76,11 @@ def with_strategy(
 def repeated_rows(df: DataFrame, key: str, count_name: str = "key_count") -> DataFrame:
     """Rows whose key occurs more than once, with the number of occurrences.
 
-    Counts are combined before the shuffle and joined back, so a key that
-    holds much of the table is split by the skew join and not windowed in one
-    task.
+    Counts are combined before the shuffle and joined back, so that a key which
+    holds much of the table is split and not windowed in one task.
     """
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias(count_name)).filter(F.col(count_name) > 1)
-    return df.join(counts, key, "inner")
+    return join_unique(df, counts, key, "inner")
 
 
 def side_by_side(

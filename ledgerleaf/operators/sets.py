@@ -14,8 +14,8 @@ def union(*tables: DataFrame) -> DataFrame:
 
 
 def intersection(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct rows found in both."""
-    return left.intersect(right)
+    """Distinct rows found in both; repeats go before the shuffle."""
+    return left.distinct().intersect(right.distinct())
 
 
 def subtract(left: DataFrame, right: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

@@ -20,13 +20,16 @@ def remove_stop_words(
     ``stop_words`` has one column. Its size is checked: a short list becomes a
     literal, a longer one is joined against the distinct words of the texts.
     """
-    stops = stop_words.toDF("_stop").distinct()
+    stops = stop_words.toDF("_stop").filter(F.col("_stop").isNotNull()).distinct()
     sample = stops.limit(literal_limit + 1).collect()
     if len(sample) <= literal_limit:
         kept = drop_stop_words(split_words(F.col(text), separator), [row[0] for row in sample])
         return df.withColumn(output, F.array_join(kept, separator))
     words = df.select(key, F.posexplode(split_words(F.col(text), separator)).alias("_at", "_word"))
-    kept = words.filter(~has_digit(F.col("_word"))).join(stops, F.col("_word") == F.col("_stop"), "left_anti")
+    # Null-safe, so that the join has a shuffle of its own and a very common
+    # word can be split.
+    same = F.col("_word").eqNullSafe(F.col("_stop"))
+    kept = words.filter(~has_digit(F.col("_word"))).join(stops, same, "left_anti")
     # The list of one text is as long as that text, which is one row anyway.
     ordered = F.sort_array(F.collect_list(F.struct("_at", "_word")))
     lines = kept.groupBy(key).agg(F.array_join(F.transform(ordered, lambda w: w["_word"]), separator).alias(output))

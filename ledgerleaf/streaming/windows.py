@@ -28,3 +28,24 @@ def run_sliding_counts(
     counts = sliding_counts(stream, at, length, slide, offset)
     changed = run_batches(counts, lambda batch: batch, "start timestamp, end timestamp, n bigint", mode="update")
     return changed.groupBy("start", "end").agg(F.max("n").alias("n"))
+
+
+def windowed_subtract(
+    left: DataFrame, right: DataFrame, at: str, column: str, length: str, lateness: str
+) -> DataFrame:
+    """Left rows whose value the right stream does not have in the same window
+    of event time, as a stream (start, end, value).
+
+    A row comes out once the watermarks of both streams have passed its
+    window; how the streams are cut into batches does not matter.
+    """
+
+    def windowed(stream: DataFrame, window: str, value: str) -> DataFrame:
+        timed = stream.select(F.col(at).cast("timestamp").alias("_at"), F.col(column).alias(value))
+        return timed.withWatermark("_at", lateness).select(F.window("_at", length).alias(window), value)
+
+    a, b = windowed(left, "w", column), windowed(right, "_rw", "_right")
+    joined = a.join(b, (F.col("w") == F.col("_rw")) & (F.col(column) == F.col("_right")), "left_outer")
+    return joined.filter(F.col("_rw").isNull()).select(
+        F.col("w.start").alias("start"), F.col("w.end").alias("end"), column
+    )

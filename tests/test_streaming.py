@@ -108,6 +108,22 @@ def test_stream_equals_batch_over_several_files(spark, rows):
     assert rows(streamed) == rows(batch)
 
 
+def test_subtract_per_window_of_event_time(spark):
+    """The known batches, one second apart; a late row closes the windows."""
+
+    def timed(*batches):
+        rows = [[(second, value) for value in batch] for second, batch in enumerate(batches)]
+        stream = feed(spark, [*rows, [(100, "end")]], "second int, value string")
+        return stream.select(F.timestamp_seconds("second").alias("at"), "value")
+
+    left = timed(["hi", "pandas"], ["hi holden"], ["bye"])
+    right = timed(["hi"], ["pandas"], ["byes"])
+    kept = windows.windowed_subtract(left, right, "at", "value", "1 second", "0 seconds")
+    got = jobs.run_batches(kept, lambda b: b, "start timestamp, end timestamp, value string")
+    rows = sorted((r.second, r.value) for r in got.select(F.unix_seconds("start").alias("second"), "value").collect())
+    assert rows == [(0, "pandas"), (1, "hi holden"), (2, "bye")]
+
+
 def test_offset_ranges(spark):
     records = [[("t", 0, 5), ("t", 0, 6), ("t", 1, 0)], [("t", 0, 7)]]
     stream = feed(spark, records, "topic string, partition int, offset bigint")
