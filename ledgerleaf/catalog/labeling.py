@@ -241,6 +241,5 @@ LINE_SQL = """concat_ws(' ', CAST(target AS VARCHAR),
 def job_libsvm(spark, sf_dir):
     """Train once, then encode with the stored dictionary."""
     parts = parts_to_encode(spark, sf_dir)
-    _, fitted = libsvm.convert(parts, "p_partkey", "target")
-    lines, _ = libsvm.convert(parts, "p_partkey", "target", fitted)
-    return lines
+    fitted = libsvm.fit(parts, "p_partkey", "target")
+    return libsvm.convert(parts, "p_partkey", "target", fitted)[0]

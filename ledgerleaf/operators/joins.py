@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 JOIN_TYPES = ("left", "right", "full")
 STRATEGIES = ("broadcast", "shuffle_hash", "merge")
-# Rows up to which a side counts as small.
+# Rows and bytes (as JSON text) up to which a side counts as small.
 BROADCAST_ROWS = 100_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def join_tables(tables: Sequence[DataFrame], key: str | Sequence[str], how: str = "left") -> DataFrame:
@@ -57,18 +58,26 @@ def enrich(facts: DataFrame, dimension: DataFrame, key: str, drop: Sequence[str]
     return join_unique(facts, dimension.drop(*drop), key, "left")
 
 
+def is_small(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Whether a table is within both limits, measured by reading it (no
+    further than the row limit)."""
+    text = F.length(F.to_json(F.struct(*df.columns)))
+    found = df.limit(rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum(text), F.lit(0))).first()
+    return found[0] <= rows and found[1] <= size
+
+
 def with_strategy(
     left: DataFrame, right: DataFrame, key: str | Sequence[str], strategy: str, how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
+    broadcast_rows: int = BROADCAST_ROWS, broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Join with a physical strategy asked for on the right side.
 
-    The right side is counted before it is broadcast; above the limit the
+    The right side is measured before it is broadcast; above the limits the
     sides are shuffled and merged instead.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, not {strategy!r}")
-    if strategy == "broadcast" and right.limit(broadcast_rows + 1).count() > broadcast_rows:
+    if strategy == "broadcast" and not is_small(right, broadcast_rows, broadcast_bytes):
         strategy = "merge"
     return left.join(right.hint(strategy), key, how)
 

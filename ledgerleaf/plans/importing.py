@@ -15,6 +15,7 @@ from ledgerleaf.operators.labels import TRAIN_VALID_TEST, LabelTask, split_by_ha
 from ledgerleaf.sinks.tables import replace_table
 from ledgerleaf.sources.delimited import path_exists, read_csv, read_packed, read_text_with_header_file
 
+# Names of the import steps and of what the tables are for.
 STEPS = ("import_business", "import_info", "import_all", "import_sample", "skip_import")
 GOALS = ("train", "predict")
 

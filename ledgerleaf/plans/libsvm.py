@@ -12,18 +12,22 @@ from ledgerleaf.scratch import materialize
 from ledgerleaf.sinks.files import write_libsvm, write_text
 
 
+def fit(data: DataFrame, key: str, label: str) -> DataFrame:
+    """The stored dictionary of a training table, fitted after its missing
+    values are filled."""
+    return materialize(fit_dictionary(fill_zero(data), ignore=[key, label]), "dictionary")
+
+
 def convert(
     data: DataFrame, key: str, label: str, dictionary: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """(key, line) table and the dictionary used.
 
-    Missing values are filled first. Without a dictionary one is fitted and
-    stored; prediction data is given the dictionary of its training table.
+    Without a dictionary one is fitted; prediction data is given the
+    dictionary of its training table.
     """
-    cleaned = fill_zero(data)
-    if dictionary is None:
-        dictionary = materialize(fit_dictionary(cleaned, ignore=[key, label]), "dictionary")
-    return libsvm_table(encode(cleaned, dictionary), key, label), dictionary
+    used = fit(data, key, label) if dictionary is None else dictionary
+    return libsvm_table(encode(fill_zero(data), used), key, label), used
 
 
 def convert_labeled(

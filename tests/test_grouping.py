@@ -136,6 +136,8 @@ def test_broadcast_is_given_up_for_a_large_side(spark):
     small = joins.with_strategy(a, b, "id", "broadcast")._jdf.queryExecution().optimizedPlan().toString()
     large = joins.with_strategy(a, b, "id", "broadcast", broadcast_rows=10)._jdf.queryExecution().optimizedPlan().toString()
     assert "strategy=broadcast" in small and "strategy=merge" in large
+    wide = b.withColumn("pad", F.repeat(F.lit("x"), 1000))
+    assert joins.is_small(wide) and not joins.is_small(wide, size=40_000) and not joins.is_small(wide, rows=49)
 
 
 def test_column_tools(spark):
