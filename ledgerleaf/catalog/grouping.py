@@ -7,10 +7,17 @@ from ledgerleaf.operators import aggregates, sets
 from ledgerleaf.operators.ordered import numbered
 
 
+def mean_text_sql(column):
+    """The mean of two-digit numbers, rounded half up to six digits in whole
+    numbers, as text."""
+    cents, rows = f"CAST(round(sum({column}) * 100) AS HUGEINT)", f"count({column})"
+    return f"CAST(CAST((2 * {cents} * 10000 + {rows}) // (2 * {rows}) AS DOUBLE) / 1000000 AS VARCHAR)"
+
+
 def _history_sql(keys):
     means = {"l_extendedprice": "avg_prefr_amount", "l_quantity": "avg_pay_amount"}
     shown = ", ".join(
-        f"CAST(round(round(sum({c}), 2) / count({c}), 8) AS VARCHAR) AS {name}" for c, name in means.items()
+        f"{mean_text_sql(c)} AS {name}" for c, name in means.items()
     )
     return f"SELECT {keys}, CAST(count(*) AS VARCHAR) AS count_id, {shown} FROM lineitem GROUP BY {keys}"
 

@@ -5,6 +5,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
+from ledgerleaf.catalog.grouping import mean_text_sql
 from ledgerleaf.catalog.reading import PACK, write_header
 from ledgerleaf.catalog.registry import query, table
 from ledgerleaf.operators.labels import LabelTask
@@ -49,10 +50,10 @@ def _job(spark, sf_dir):
     ), run
 
 
-_IMPORTED_SQL = """
+_IMPORTED_SQL = f"""
 WITH history AS (SELECT CAST(o_custkey AS VARCHAR) AS id, 'U' || o_custkey AS user_id, CAST(count(*) AS VARCHAR) AS count_id,
-    CAST(round(round(sum(o_totalprice), 2) / count(*), 8) AS VARCHAR) AS avg_prefr_amount,
-    CAST(round(sum(CAST(substr(o_orderpriority, 1, 1) AS DOUBLE)) / count(*), 8) AS VARCHAR) AS avg_pay_amount
+    {mean_text_sql("o_totalprice")} AS avg_prefr_amount,
+    {mean_text_sql("CAST(substr(o_orderpriority, 1, 1) AS INTEGER)")} AS avg_pay_amount
   FROM orders GROUP BY o_custkey),
 info AS (SELECT CAST(c_custkey AS VARCHAR) AS id, CAST(c_nationkey AS VARCHAR) AS nation,
     CAST(c_acctbal AS VARCHAR) AS balance, c_mktsegment AS segment FROM customer WHERE c_custkey % 7 <> 0)

@@ -18,18 +18,19 @@ def history(
     """Rows and averages per key, all results as text.
 
     ``averages`` maps a source column to the result name. With ``scale`` sums
-    are rounded to that many digits and averages to six more, so that the text
+    are rounded to that many digits and averages to four more, so that the text
     does not depend on the order in which partial sums meet.
     """
     rows = F.count(F.lit(1))
     means = []
     for source, name in averages.items():
         value = F.col(source).try_cast("double")
-        mean = (
-            F.avg(value)
-            if scale is None
-            else F.round(F.try_divide(F.round(F.sum(value), scale), F.count(value)), scale + 6)
-        )
+        if scale is None:
+            mean = F.avg(value)
+        else:
+            # Divided as decimals, so that a tie in the last digit is a tie.
+            total = F.round(F.sum(value), scale).cast(f"decimal(28,{scale})")
+            mean = F.round(F.try_divide(total, F.count(value).cast("decimal(20,0)")), scale + 4).cast("double")
         means.append(mean.cast("string").alias(name))
     return df.groupBy(*keys).agg(rows.cast("string").alias(count_name), *means)
 
