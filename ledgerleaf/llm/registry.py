@@ -11,7 +11,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 MODULES = (
     "exact_dedup",
+    "fingerprints",
     "source_mixing",
+    "byte_bpe",
 )
 
 _queries: dict[str, Query] = {}

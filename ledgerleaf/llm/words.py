@@ -143,3 +143,27 @@ def distinct_per_text(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarr
     keep[1:] = (values[1:] != values[:-1]) | (owner[1:] != owner[:-1])
     values, owner = values[keep], owner[keep]
     return values, np.searchsorted(owner, np.arange(len(offsets))).astype(np.int64)
+
+
+BYTES = mix((np.arange(256, dtype=np.uint64) + np.uint64(1)) * _ODD)
+
+
+def hash_strings(strings: list[bytes]) -> np.ndarray:
+    """A 64-bit hash of each byte string; upper and lower case differ."""
+    lengths = np.fromiter(map(len, strings), np.int64, len(strings))
+    full = np.flatnonzero(lengths)
+    out = np.zeros(len(strings), np.uint64)
+    if len(full):
+        text = np.frombuffer(b"".join(strings), np.uint8)
+        starts = np.cumsum(lengths) - lengths
+        place = np.arange(len(text)) - np.repeat(starts, lengths)
+        value = BYTES[text] * _power_table(int(lengths.max()))[place]
+        out[full] = np.add.reduceat(value, starts[full])
+    return mix(out + lengths.astype(np.uint64))
+
+
+def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Byte strings as one array and its offsets."""
+    offsets = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)), out=offsets[1:])
+    return np.frombuffer(b"".join(texts), np.uint8), offsets
