@@ -36,13 +36,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerleaf.llm import words as W
+from ledgerleaf.llm.mapping import map_texts
 from ledgerleaf.llm.registry import query, table
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 #: Merged pre-tokens that a worker remembers.
 REMEMBERED = 400_000
-#: Texts are handled in groups of about so many bytes.
-GROUP_BYTES = 1 << 21
 
 
 def read_ranks(path: str) -> list[bytes]:
@@ -187,6 +186,8 @@ class ByteBPE:
 
     def decode(self, ids: list[bytes]) -> list[bytes]:
         """The bytes behind each list of ids."""
+        if not ids:
+            return []
         every = np.frombuffer(b"".join(ids), "<u4")
         sizes = np.diff(self.offsets)[every]
         ends = np.cumsum(sizes)
@@ -207,40 +208,20 @@ def load(spark: SparkSession, path: str | None = None, pattern: str = public_tok
     return spark.sparkContext.broadcast(_coder(path or public_tokenizers.path(RANK_FILE), pattern))
 
 
-def _groups(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    """Runs of texts of bounded size, with the place of their first."""
-    column = W.text_array(column)
-    _, offsets = W.buffers(column)
-    raw = column.cast(pa.large_binary())
-    for first, last in W.blocks(offsets, GROUP_BYTES):
-        yield first, [t.decode("utf-8", "surrogateescape") for t in raw.slice(first, last - first).to_pylist()]
-
-
-def _mapped(docs: DataFrame, text: str, carried: list[str], made: list[T.StructField], report) -> DataFrame:
-    """Rows (row, and the columns that ``report`` makes of each group of texts)."""
-    row = F.struct(*[docs[f"`{name}`"] for name in carried]).alias("row")
-    kept = T.StructType([docs.schema[name] for name in carried])
-    schema = T.StructType([T.StructField("row", kept), *made])
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, group in _groups(batch.column(1)):
-                rows = batch.column(0).slice(first, len(group))
-                yield pa.RecordBatch.from_arrays([rows, *report(group)], schema.names)
-
-    return docs.select(row, docs[f"`{text}`"].alias("content")).mapInArrow(work, schema)
+def _text(group: list[bytes]) -> list[str]:
+    return [t.decode("utf-8", "surrogateescape") for t in group]
 
 
 def encode_column(docs: DataFrame, text: str = "text", into: str = "token_ids", **model) -> DataFrame:
     """The rows with the ids of their text as one more column, ``array<int>``."""
     coder = load(docs.sparkSession, **model)
 
-    def report(group: list[str]) -> list[pa.Array]:
-        ids = coder.value.encode(group)
+    def report(group: list[bytes]) -> list[pa.Array]:
+        ids = coder.value.encode(_text(group))
         offsets = np.append(0, np.cumsum([len(x) // 4 for x in ids])).astype(np.int32)
         return [pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(ids), "<i4")))]
 
-    made = _mapped(docs, text, docs.columns, [T.StructField("ids", T.ArrayType(T.IntegerType()))], report)
+    made = map_texts(docs, text, docs.columns, [T.StructField("ids", T.ArrayType(T.IntegerType()))], report)
     return made.select("row.*", F.col("ids").alias(into))
 
 
@@ -263,8 +244,8 @@ def token_digests(docs: DataFrame, text: str = "text", row_id: str = "doc_id", *
     """Encodes, decodes again, and gives number and digests of both."""
     coder = load(docs.sparkSession, **model)
 
-    def report(group: list[str]) -> list[pa.Array]:
-        ids = coder.value.encode(group)
+    def report(group: list[bytes]) -> list[pa.Array]:
+        ids = coder.value.encode(_text(group))
         back = coder.value.decode(ids)
         return [
             pa.array([len(x) // 4 for x in ids], pa.int64()),
@@ -277,7 +258,7 @@ def token_digests(docs: DataFrame, text: str = "text", row_id: str = "doc_id", *
         T.StructField("ids_sha256", T.StringType()),
         T.StructField("decoded_sha256", T.StringType()),
     ]
-    return _mapped(docs, text, [row_id], fields, report).select("row.*", *[f.name for f in fields])
+    return map_texts(docs, text, [row_id], fields, report).select("row.*", *[f.name for f in fields])
 
 
 @query("op10_byte_bpe")

@@ -10,7 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 
 MODULES = (
+    "license_scan",
     "exact_dedup",
+    "secret_scan",
+    "chat_format",
+    "toxicity",
     "fingerprints",
     "source_mixing",
     "byte_bpe",
