@@ -153,8 +153,8 @@ def with_successors(plain: DataFrame) -> DataFrame:
         # By hash, so that the choice is the same in every run.
         ids = ids.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * wanted / count))
     sample = sorted((r.id for r in ids.distinct().collect()), reverse=True)
-    step = max(1, len(sample) // parts)
-    bounds = sample[step::step][: parts - 1]
+    places = sorted({len(sample) * k // parts for k in range(1, parts)} - {0})
+    bounds = [sample[k] for k in places]
     last = len(bounds)
     part = F.when(F.col("id").isNull(), last).otherwise(_steps_down(F.col("id"), bounds, kind))
     opens = F.col("id").isin(bounds) if bounds else F.lit(False)

@@ -17,6 +17,7 @@ MODULES = (
     "toxicity",
     "fingerprints",
     "source_mixing",
+    "jaccard_join",
     "byte_bpe",
 )
 
