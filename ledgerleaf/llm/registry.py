@@ -11,6 +11,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 MODULES = (
     "license_scan",
+    "html_extraction",
     "exact_dedup",
     "secret_scan",
     "chat_format",
