@@ -4,17 +4,20 @@ A-Z count as a-z, words are runs of ``[^\x20\x09-\x0D]``; a text with fewer
 than five words has its whole sequence as its one shingle. Two documents link
 when 100 * |A & B| >= 75 * |A | B|, and a component is what links connect.
 
-1. Each text becomes its set, once. A set of n tokens that links to another
-   shares one of its first n - ceil(0.75 n) + 1 tokens with it, in any order of
-   tokens that is the same for all. Here tokens known to be frequent come last,
-   by frequency, all others by hash. Which are frequent is estimated from a
-   fixed share of the documents: that decides how much work there is, never the
-   result. Texts that repeat within a task send their tokens once.
-2. Documents that share such a token are put together by edges to the smallest
-   of them: rare tokens meet in one shuffle, frequent ones (at most
-   ``FREQUENT``) by a broadcast of one row per token. So no group of documents,
-   however large, is listed as pairs. Their components are the neighbourhoods
-   outside of which no link can lie.
+1. Each text becomes its set; equal sets are one class, known by a digest.
+2. In any order of tokens that is the same for all, the first k common tokens of
+   two linked sets stand among the first n - ceil(0.75 n) + k of either. So a set
+   sends that many, k being a seventh of n, and a class is dropped unless
+   as many of its tokens are shared as a linked set must share: this removes
+   texts that have a passage in common and nothing else. Tokens known to be
+   frequent come last in the order, by frequency, all others by hash. Which are
+   frequent is estimated from a fixed share of the documents: that decides how
+   much work there is, never the result.
+   Classes left that share a token are put together by edges to the smallest of
+   them: rare tokens meet in one shuffle, frequent ones (at most ``FREQUENT``) by
+   a broadcast of one row per token. So no group of documents, however large, is
+   listed as pairs. Their components are the neighbourhoods outside of which no
+   link can lie.
 3. Inside a neighbourhood signature trees find the links (signature_tree.py).
    A neighbourhood beyond ``UNIT_TOKENS`` is dealt over several tasks: chunks
    first, then one document of each group of each chunk, and at last whatever
@@ -53,6 +56,10 @@ SAMPLE_ONE_IN = 16
 SEEN_LEAST = 3
 #: Frequent tokens that are told apart.
 FREQUENT = 1 << 16
+#: Frequent tokens are spread over so many tasks each.
+SALTS = 16
+#: One common token in so many is asked for (k in the docstring).
+ASKED_ONE_IN = 7
 #: Tokens that one task compares at once.
 UNIT_TOKENS = 1 << 22
 
@@ -98,9 +105,14 @@ def token_sets(group: list[bytes], order: Order | None = None) -> tuple[np.ndarr
     return tokens[keep], kept[at]
 
 
+def asked(n: np.ndarray) -> np.ndarray:
+    """Common tokens that are looked for in a set of n."""
+    return np.maximum(n // ASKED_ONE_IN, 1)
+
+
 def prefix_lengths(n: np.ndarray) -> np.ndarray:
-    """Tokens of which a linked set must share one."""
-    return np.where(n > 0, n - -(-SHARE[0] * n // SHARE[1]) + 1, 0)
+    """Tokens among which a linked set has at least ``asked`` common ones."""
+    return np.where(n > 0, np.minimum(n, n - -(-SHARE[0] * n // SHARE[1]) + asked(n)), 0)
 
 
 def digests(tokens: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -132,50 +144,86 @@ def frequent_tokens(plain: DataFrame) -> np.ndarray:
     return rows["token"].to_numpy(np.int64)[::-1].view(np.uint64) if len(rows) else np.zeros(0, np.uint64)
 
 
-def document_sets(plain: DataFrame, order: Order) -> DataFrame:
-    """(rec, id, n, d1, d2, rare, frequent): what is known of each document's
-    set; the prefix tokens only for the first of equal sets in a task."""
-    sent = plain.sparkSession.sparkContext.broadcast(order)
+def document_sets(plain: DataFrame) -> DataFrame:
+    """(rec, id, n, d1, d2): size and digest of each document's set."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, group in text_groups(batch.column(1)):
+                tokens, at = token_sets(group)
+                both = digests(tokens, at)
+                columns = [batch.column(0).slice(first, len(group)), pa.array(np.diff(at)), pa.array(both[:, 0]), pa.array(both[:, 1])]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "d1", "d2"])
+
+    kind = plain.schema["id"].dataType.simpleString()
+    made = plain.mapInArrow(work, f"id {kind}, n bigint, d1 bigint, d2 bigint")
+    # Numbers are fixed by being written.
+    return materialize(made.withColumn("rec", F.monotonically_increasing_id()), "document-sets")
 
-    def lists(tokens: np.ndarray, counts: np.ndarray, there: np.ndarray) -> pa.Array:
-        offsets = np.append(0, np.cumsum(counts)).astype(np.int32)
-        values = pa.array(tokens.view(np.int64))
-        return pa.ListArray.from_arrays(pa.array(offsets), values, mask=pa.array(~there))
+
+def prefix_tokens(plain: DataFrame, order: Order) -> DataFrame:
+    """(token, node): the first tokens of each set under its digest, once per
+    task; frequent tokens as negative numbers."""
+    sent = plain.sparkSession.sparkContext.broadcast(order)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[tuple[int, int]] = set()
         for batch in batches:
-            for first, group in text_groups(batch.column(1)):
+            for _, group in text_groups(batch.column(0)):
                 keys, at = token_sets(group, sent.value)
                 n = np.diff(at)
                 both = digests(sent.value.tokens(keys), at)
-                new = np.zeros(len(n), bool)
+                length = prefix_lengths(n)
                 for k, pair in enumerate(map(tuple, both.tolist())):
-                    if n[k] and pair not in known:
-                        known.add(pair)
-                        new[k] = True
-                length = np.where(new, prefix_lengths(n), 0)
-                inside = np.arange(len(keys)) - np.repeat(at[:-1], n) < np.repeat(length, n)
-                late = keys >= _HIGH
-                owner = np.repeat(np.arange(len(n)), n)
-                parts = []
-                for chosen in (inside & ~late, inside & late):
-                    counts = np.bincount(owner[chosen], minlength=len(n))
-                    parts.append(lists(keys[chosen] & ~_HIGH, counts, new))
-                columns = [batch.column(0).slice(first, len(group)), pa.array(n), pa.array(both[:, 0]), pa.array(both[:, 1]), *parts]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n", "d1", "d2", "rare", "frequent"])
+                    if pair in known:
+                        length[k] = 0
+                    known.add(pair)
+                chosen = np.arange(len(keys)) - np.repeat(at[:-1], n) < np.repeat(length, n)
+                keys, node = keys[chosen], np.repeat(both[:, 0], n)[chosen]
+                token = np.where(keys >= _HIGH, -1 - (keys & ~_HIGH).astype(np.int64), keys.astype(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(token), pa.array(node)], ["token", "node"])
+
+    return plain.select("content").mapInArrow(work, "token bigint, node bigint")
+
+
+def _by_token(rows: DataFrame) -> DataFrame:
+    salt = F.when(F.col("token") < 0, F.pmod("node", F.lit(SALTS))).otherwise(0)
+    return rows.repartition("token", salt).sortWithinPartitions("token", "node")
 
-    kind = plain.schema["id"].dataType.simpleString()
-    made = plain.mapInArrow(work, f"id {kind}, n bigint, d1 bigint, d2 bigint, rare array<bigint>, frequent array<bigint>")
-    # Numbers are fixed by being written.
-    return materialize(made.withColumn("rec", F.monotonically_increasing_id()), "document-sets")
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose token has another node too (frequent tokens: all rows), each
+    once; rows sorted by token and node. The last token of a batch is held."""
+    held = np.zeros((0, 2), np.int64)
+
+    def kept(rows: np.ndarray) -> pa.RecordBatch:
+        new = np.ones(len(rows), bool)
+        new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
+        rows = rows[new]
+        starts = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0])) if len(rows) else np.zeros(0, np.int64)
+        sizes = np.repeat(np.diff(np.append(starts, len(rows))), np.diff(np.append(starts, len(rows))))
+        rows = rows[(sizes > 1) | (rows[:, 0] < 0)]
+        return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], ["token", "node"])
+
+    for batch in batches:
+        rows = np.stack([c.to_numpy() for c in batch.columns], axis=1)
+        if not len(rows):
+            continue
+        cut = int(np.searchsorted(rows[:, 0], rows[-1, 0], "left"))
+        if cut or (len(held) and held[0, 0] != rows[0, 0]):
+            yield kept(np.concatenate([held, rows[:cut]]))
+            held = rows[cut:]
+        else:
+            # One token over many batches: only its distinct nodes are kept.
+            held = np.unique(np.concatenate([held, rows]), axis=0)
+    yield kept(held)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges from each document to the first of its token; rows sorted by token."""
+    """Edges from each node to the first of its token; rows sorted by token."""
     last_token = last_first = None
     for batch in batches:
-        token, rec = (c.to_numpy() for c in batch.columns)
+        token, node = (c.to_numpy() for c in batch.columns)
         if not len(token):
             continue
         new = np.ones(len(token), bool)
@@ -183,20 +231,28 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if last_token is not None and token[0] == last_token:
             new[0] = False
         begins = np.maximum.accumulate(np.where(new, np.arange(len(token)), -1))
-        first = np.where(begins >= 0, rec[begins], -1 if last_first is None else last_first)
+        first = np.where(begins >= 0, node[begins], 0 if last_first is None else last_first)
         last_token, last_first = token[-1], first[-1]
-        edges = np.unique(np.stack([rec, first], axis=1)[rec != first], axis=0)
+        edges = np.unique(np.stack([node, first], axis=1)[node != first], axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], ["a", "b"])
 
 
-def neighbourhood_edges(sets: DataFrame) -> DataFrame:
-    """Edges (a, b) of records: every two that share a prefix token are connected."""
-    rare = sets.select(F.explode("rare").alias("token"), "rec").repartition("token").sortWithinPartitions("token", "rec")
-    by_rank = sets.select(F.explode("frequent").alias("rank"), "rec")
+def neighbourhood_edges(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """Edges (a, b) of digests: linked sets are always connected."""
+    shared = materialize(_by_token(rows).mapInArrow(_shared, "token bigint, node bigint"), "shared-tokens")
+    counts = shared.groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
+    sizes = sets.filter("n > 0").groupBy(F.col("d1").alias("node")).agg(F.min("n").alias("n"))
+    # What the smallest set that can link to one of n asks for.
+    smallest = F.ceil(F.col("n") * SHARE[0] / F.lit(SHARE[1]))
+    enough = F.col("shared") >= F.greatest(F.floor(smallest / ASKED_ONE_IN), F.lit(1))
+    left = materialize(counts.join(sizes, "node").filter(enough).select("node"), "sharing-nodes")
+    rows = materialize(shared.join(left, "node", "left_semi").select("token", "node"), "sharing-rows")
+    rare = _by_token(rows.filter("token >= 0")).select("token", "node").mapInArrow(_runs, "a bigint, b bigint")
+    late = rows.filter("token < 0")
     # One row per frequent token: at most FREQUENT.
-    firsts = by_rank.groupBy("rank").agg(F.min("rec").alias("b"))
-    linked = by_rank.join(F.broadcast(firsts), "rank").filter("rec != b").select(F.col("rec").alias("a"), "b")
-    return rare.mapInArrow(_runs, "a bigint, b bigint").union(linked).distinct()
+    firsts = late.groupBy("token").agg(F.min("node").alias("b"))
+    linked = late.join(F.broadcast(firsts), "token").filter("node != b").select(F.col("node").alias("a"), "b")
+    return rare.union(linked).distinct()
 
 
 def _link_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,11 +298,11 @@ def _linked(dealt: DataFrame) -> DataFrame:
     return materialize(links, "links")
 
 
-def find_links(plain: DataFrame, sets: DataFrame, unit_tokens: int = UNIT_TOKENS) -> DataFrame:
-    """Links (a, b) of records that connect exactly what all links connect."""
-    homes = connected_components(neighbourhood_edges(sets)).withColumnsRenamed({"node": "rec", "root": "home"})
-    members = homes.join(sets.select("rec", "id", "n", "d1", "d2"), "rec")
-    members = materialize(members, "neighbourhoods")
+def find_links(plain: DataFrame, classes: DataFrame, edges: DataFrame, unit_tokens: int = UNIT_TOKENS) -> DataFrame:
+    """Links (a, b) of class records that connect exactly what all links connect."""
+    homes = connected_components(edges).withColumnsRenamed({"node": "d1", "root": "home"})
+    leads = classes.select("rec", F.col("lead.id").alias("id"), "n", "d1", "d2")
+    members = materialize(homes.join(leads, "d1"), "neighbourhoods")
     sizes = members.groupBy("home").agg(F.sum("n").alias("tokens"))
     wide = materialize(sizes.filter(F.col("tokens") > unit_tokens), "wide-neighbourhoods")
     chunks = F.coalesce(F.ceil(F.col("tokens") * 2 / F.lit(unit_tokens)), F.lit(1)).cast("bigint")
@@ -300,18 +356,22 @@ def _grouped(texts: DataFrame, links: DataFrame) -> DataFrame:
 def jaccard_records(docs: DataFrame, text: str = "text", row_id: str = "doc_id", unit_tokens: int = UNIT_TOKENS) -> DataFrame:
     """(rec, id, n, d1, d2, component, least_id, least_rec) of every row."""
     plain = _plain(docs, text, row_id)
-    sets = document_sets(plain, Order(frequent_tokens(plain)))
-    roots = connected_components(find_links(plain, sets, unit_tokens))
+    sets = document_sets(plain)
     least = F.min(F.struct(F.col("id").isNull().alias("late"), "id", "rec"))
-    # Equal sets are one class: one row each, combined before the shuffle.
-    classes = sets.filter("n > 0").groupBy("d1", "d2", "n").agg(F.min("rec").alias("lead"), least.alias("least"))
-    rooted = roots.join(sets.select("rec", "d1", "d2", "n"), roots["node"] == F.col("rec")).groupBy("d1", "d2", "n").agg(F.min("root").alias("root"))
-    classes = classes.join(rooted, ["d1", "d2", "n"], "left").withColumn("component", F.coalesce("root", "lead"))
-    classes = materialize(classes, "classes")
+    # Equal sets are one class: one row each, combined before the shuffle. The
+    # record of its first row stands for it.
+    classes = sets.filter("n > 0").groupBy("d1", "d2", "n").agg(
+        F.min(F.struct("rec", "id")).alias("lead"), least.alias("least")
+    )
+    classes = materialize(classes.withColumn("rec", F.col("lead.rec")), "classes")
+    edges = neighbourhood_edges(prefix_tokens(plain, Order(frequent_tokens(plain))), sets)
+    roots = connected_components(find_links(plain, classes, edges, unit_tokens))
+    classes = classes.join(roots, classes["rec"] == roots["node"], "left").withColumn("component", F.coalesce("root", "rec"))
+    classes = materialize(classes.select("d1", "d2", "n", "least", "component"), "rooted-classes")
     best = classes.groupBy("component").agg(F.min("least").alias("best"))
     named = materialize(classes.select("d1", "d2", "n", "component").join(best, "component"), "class-components")
     # Both sides are read from disk, so a class of very many rows can be split.
-    return sets.drop("rare", "frequent").join(named, ["d1", "d2", "n"], "left").select(
+    return sets.join(named, ["d1", "d2", "n"], "left").select(
         "rec",
         "id",
         "n",
