@@ -6,8 +6,10 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from ledgerleaf.catalog.grouping import mean_text_sql
+from ledgerleaf.catalog.labeling import split_sql
 from ledgerleaf.catalog.reading import PACK, write_header
 from ledgerleaf.catalog.registry import query, table
+from ledgerleaf.operators import labels
 from ledgerleaf.operators.labels import LabelTask
 from ledgerleaf.plans import importing
 from ledgerleaf.scratch import fresh_path
@@ -18,6 +20,14 @@ _INFO_COLUMNS = ("id", "user_id", "nation", "balance", "segment")
 _AVERAGES = {"before_amount": "avg_prefr_amount", "paid_amount": "avg_pay_amount"}
 
 
+# Columns a task's label is made of.
+_TASK_COLUMNS = {
+    "m1": ("avg_prefr_amount", "balance"),
+    "m2": ("avg_prefr_amount", "avg_pay_amount", "balance", "count_id"),
+    "m3": ("avg_pay_amount", "count_id"),
+}
+
+
 def _job(spark, sf_dir):
     """Order lines as tab-separated text and customers as packed text, every
     seventh customer line too wide."""
@@ -43,7 +53,7 @@ def _job(spark, sf_dir):
         original_key="user_id",
         inputs=inputs,
         result=f"all_{run}",
-        tasks={f"m1_{run}": LabelTask(("avg_prefr_amount", "balance"), (0.5, 0.5))},
+        tasks={f"{task}_{run}": LabelTask(columns, labels.TASK_WEIGHTS[task]) for task, columns in _TASK_COLUMNS.items()},
         averages=_AVERAGES,
         scale=2,
         location=lambda name: fresh_path(spark, name),
@@ -74,22 +84,36 @@ def job_import(spark, sf_dir):
     return orders.unionByName(info, allowMissingColumns=True)
 
 
-_BUCKET = "CAST('0x' || substr(md5(id), 1, 8) AS BIGINT) % 100"
+def _join_sql():
+    rows = []
+    for task, used in _TASK_COLUMNS.items():
+        every = ("count_id", "avg_prefr_amount", "avg_pay_amount", "nation", "balance", "segment")
+        kept = ", ".join(f"NULL AS {c}" if c in used else c for c in every)
+        terms = " + ".join(
+            f"{w}::DOUBLE * (({c}_n - low_{c}) / (high_{c} - low_{c}))" for c, w in zip(used, labels.TASK_WEIGHTS[task])
+        )
+        rows.append(f"SELECT '{task}_' || part AS part, id, {kept}, NULL::DOUBLE AS label FROM joined")
+        rows.append(f"SELECT '{task}_label', id, NULL, NULL, NULL, NULL, NULL, NULL, {terms} FROM n, x")
+    used = sorted({c for columns in _TASK_COLUMNS.values() for c in columns})
+    numbers = ", ".join(f"coalesce(CAST({c} AS DOUBLE), 0.0) AS {c}_n" for c in used)
+    ends = ", ".join(f"min({c}_n) AS low_{c}, max({c}_n) AS high_{c}" for c in used)
+    shares = dict(zip(("train", "valid", "test"), labels.TRAIN_VALID_TEST))
+    return (
+        _IMPORTED_SQL
+        + f""", joined AS (SELECT h.*, i.nation, i.balance, i.segment, {split_sql("h.id", shares)} AS part
+            FROM history h LEFT JOIN info i USING (id)),
+          n AS (SELECT id, {numbers} FROM joined), x AS (SELECT {ends} FROM n) """
+        + " UNION ALL ".join(rows)
+    )
 
 
-@query(
-    "job_import_join",
-    _IMPORTED_SQL
-    + f""", joined AS (SELECT h.*, i.nation, i.balance, i.segment FROM history h LEFT JOIN info i USING (id)),
-    n AS (SELECT id, CAST(avg_prefr_amount AS DOUBLE) AS a, coalesce(CAST(balance AS DOUBLE), 0.0) AS b FROM joined),
-    x AS (SELECT min(a) AS la, max(a) AS ha, min(b) AS lb, max(b) AS hb FROM n)
-    SELECT CASE WHEN {_BUCKET} < 70 THEN 'train' WHEN {_BUCKET} < 90 THEN 'valid' ELSE 'test' END AS part,
-      id, count_id, avg_pay_amount, nation, segment, NULL::DOUBLE AS label FROM joined
-    UNION ALL SELECT 'label', id, NULL, NULL, NULL, NULL,
-      0.5::DOUBLE * ((a - la) / (ha - la)) + 0.5::DOUBLE * ((b - lb) / (hb - lb)) FROM n, x""",
-)
+@query("job_import_join", _join_sql())
 def job_import_join(spark, sf_dir):
-    job, run = _job(spark, sf_dir)
+    """All three tasks."""
+    job, _ = _job(spark, sf_dir)
     tables = importing.run_import_job(spark, job, step="import_all", goal="train")
-    parts = [df.withColumn("part", F.lit(name.rsplit("_", 1)[1])) for name, df in tables.items()]
+    parts = []
+    for name, df in tables.items():
+        task, _, kind = name.split("_")
+        parts.append(df.withColumn("part", F.lit(f"{task}_{kind}")))
     return reduce(lambda top, one: top.unionByName(one, allowMissingColumns=True), parts)

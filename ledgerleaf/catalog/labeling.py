@@ -13,8 +13,8 @@ from ledgerleaf.sinks import files
 
 
 def _order_lines(spark, sf_dir):
-    """Order lines with a key of their own and a few missing texts."""
-    line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    """Order lines with a key of their own, some keys and texts missing."""
+    line = F.when(F.col("l_orderkey") % 97 != 0, F.col("l_orderkey") * 10 + F.col("l_linenumber"))
     price = F.when(F.col("l_linenumber") == 3, "").when(F.col("l_linenumber") == 4, "null")
     return table(spark, sf_dir, "lineitem").select(
         line.alias("id"),
@@ -28,7 +28,7 @@ def _order_lines(spark, sf_dir):
 
 
 _LINES_SQL = """
-WITH lines AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_quantity,
+WITH lines AS (SELECT CASE WHEN l_orderkey % 97 <> 0 THEN l_orderkey * 10 + l_linenumber END AS id, l_quantity,
     CASE l_linenumber WHEN 3 THEN '' WHEN 4 THEN 'null' ELSE CAST(l_extendedprice AS VARCHAR) END AS price_text,
     l_discount, l_tax, l_partkey, l_returnflag FROM lineitem),
 numbers AS (SELECT *, coalesce(TRY_CAST(price_text AS DOUBLE), 0.0) AS price FROM lines)
@@ -78,40 +78,72 @@ def label_one_vs_rest(spark, sf_dir):
     return labels.label_per_class(table(spark, sf_dir, "embeddings"), "vec_id", "label", 9)
 
 
-_BUCKET = "CAST('0x' || substr(md5(CAST({k} AS VARCHAR)), 1, 8) AS BIGINT) % 100"
-_SPLIT = "CASE WHEN {b} < 70 THEN 'train' WHEN {b} < 90 THEN 'valid' ELSE 'test' END"
+def split_sql(key, shares, salt=""):
+    """The part of a key as SQL; ``shares`` maps names to shares."""
+    bucket = f"CAST('0x' || substr(md5(coalesce(CAST({key} AS VARCHAR), '') || '{salt}'), 1, 8) AS BIGINT)"
+    *firsts, last = shares
+    bounds = labels.split_bounds(list(shares.values()))
+    cases = " ".join(f"WHEN {bucket} < {bound} THEN '{name}'" for name, bound in zip(firsts, bounds))
+    return f"CASE {cases} ELSE '{last}' END"
 
 
-def _split_sql(key):
-    return _SPLIT.format(b=_BUCKET.format(k=key))
+_STANDING = dict(zip(("train", "valid", "test"), labels.TRAIN_VALID_TEST))
+# One part is half a percent of the rows.
+_UNEVEN = {"train": 0.7, "valid": 0.295, "rest": 0.005}
 
 
-@query("split_hash", f"SELECT c_custkey, c_acctbal, {_split_sql('c_custkey')} AS split FROM customer")
+@query(
+    "split_hash",
+    f"""SELECT key, c_acctbal, {split_sql('key', _STANDING)} AS split, {split_sql('key', _UNEVEN)} AS uneven
+    FROM (SELECT CASE WHEN c_custkey % 50 <> 0 THEN c_custkey END AS key, c_acctbal FROM customer)""",
+)
 def split_hash(spark, sf_dir):
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
-    shares = dict(zip(("train", "valid", "test"), labels.TRAIN_VALID_TEST))
-    return labels.split_by_hash(customer, "c_custkey", shares)
+    key = F.when(F.col("c_custkey") % 50 != 0, F.col("c_custkey"))
+    customer = table(spark, sf_dir, "customer").select(key.alias("key"), "c_acctbal")
+    return labels.split_by_hash(labels.split_by_hash(customer, "key", _STANDING), "key", _UNEVEN, "uneven")
 
 
-@query("split_random")
+@query(
+    "split_random",
+    f"SELECT c_custkey, {split_sql('c_custkey', dict(zip(('train', 'test'), labels.TRAIN_TEST)), '/1234')} AS part FROM customer",
+)
 def split_random(spark, sf_dir):
     customer = table(spark, sf_dir, "customer").select("c_custkey")
-    train, test = labels.split_at_random(customer, labels.TRAIN_TEST, seed=1234)
+    train, test = labels.split_at_random(customer, "c_custkey", labels.TRAIN_TEST, seed=1234)
     return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
+def _train_sql():
+    parts = []
+    for task, used in _TASK_COLUMNS.items():
+        kept = [c if c not in used else f"NULL AS {c}" for c in ("l_quantity", "price_text", "l_discount", "l_tax")]
+        parts.append(f"SELECT '{task}_' || part AS table_name, id, l_partkey, l_returnflag, {', '.join(kept)}, NULL::DOUBLE AS label FROM split")
+        parts.append(f"SELECT '{task}_label', id, NULL, NULL, NULL, NULL, NULL, NULL, label FROM ({_label_sql(task)})")
+    return " UNION ALL ".join(parts)
+
+
+def _stacked(tables):
+    tagged = [df.withColumn("table_name", F.lit(name)) for name, df in tables.items()]
+    return reduce(lambda top, one: top.unionByName(one, allowMissingColumns=True), tagged)
+
+
+@query("job_train_tables", _LINES_SQL + f", split AS (SELECT *, {split_sql('id', _STANDING)} AS part FROM lines) " + _train_sql())
+def job_train_tables(spark, sf_dir):
+    """All three tasks."""
+    return _stacked(importing.train_tables(_order_lines(spark, sf_dir), "id", _tasks()))
+
+
 @query(
-    "job_train_tables",
+    "job_train_tables_full_test",
     _LINES_SQL
-    + f""", label AS ({_label_sql("m2")}),
-    split AS (SELECT id, l_partkey, l_returnflag, {_split_sql("id")} AS part FROM lines)
-    SELECT 'm2_' || part AS table_name, id, l_partkey, l_returnflag, NULL::DOUBLE AS label FROM split
-    UNION ALL SELECT 'm2_label', id, NULL, NULL, label FROM label""",
+    + f""", split AS (SELECT *, {split_sql('id', _STANDING)} AS part FROM lines)
+    SELECT 'm2_' || part AS table_name, id, l_partkey, l_returnflag, NULL::DOUBLE AS label FROM split WHERE part <> 'test'
+    UNION ALL SELECT 'm2_test', id, l_partkey, l_returnflag, NULL FROM lines
+    UNION ALL SELECT 'm2_label', id, NULL, NULL, label FROM ({_label_sql("m2")})""",
 )
-def job_train_tables(spark, sf_dir):
-    tables = importing.train_tables(_order_lines(spark, sf_dir), "id", {"m2": _tasks()["m2"]})
-    tagged = [df.withColumn("table_name", F.lit(name)) for name, df in tables.items()]
-    return reduce(lambda top, one: top.unionByName(one, allowMissingColumns=True), tagged)
+def job_train_tables_full_test(spark, sf_dir):
+    """The test table is the whole table."""
+    return _stacked(importing.train_tables(_order_lines(spark, sf_dir), "id", {"m2": _tasks()["m2"]}, test_is_full=True))
 
 
 @query(
@@ -123,9 +155,7 @@ def job_train_tables(spark, sf_dir):
          UNION ALL SELECT 'm3_test', id, l_partkey, l_returnflag, NULL, NULL, l_quantity, l_discount FROM lines""",
 )
 def job_predict_tables(spark, sf_dir):
-    tables = importing.predict_tables(_order_lines(spark, sf_dir), _tasks())
-    tagged = [df.withColumn("table_name", F.lit(name)) for name, df in tables.items()]
-    return reduce(lambda top, one: top.unionByName(one, allowMissingColumns=True), tagged)
+    return _stacked(importing.predict_tables(_order_lines(spark, sf_dir), _tasks()))
 
 
 def parts_to_encode(spark, sf_dir):
@@ -139,17 +169,18 @@ def parts_to_encode(spark, sf_dir):
 _TEXTS = ("p_brand", "p_type", "p_name")
 
 
-def _ranks_sql(order):
+def _ranks_sql(order, limit=None):
+    within = "" if limit is None else f" WHERE number <= {limit}"
     return " UNION ALL ".join(
         f"""SELECT '{c}' AS field, label, number FROM (SELECT {c} AS label,
           CAST(row_number() OVER (ORDER BY {order.format(c=c)}) AS INTEGER) AS number FROM part
-          WHERE {c} IS NOT NULL GROUP BY {c}) WHERE number <= 100"""
+          WHERE {c} IS NOT NULL GROUP BY {c}){within}"""
         for c in _TEXTS
     )
 
 
-def dictionary_sql(order):
-    return f"""WITH ranks AS ({_ranks_sql(order)}),
+def dictionary_sql(order, limit=None):
+    return f"""WITH ranks AS ({_ranks_sql(order, limit)}),
       fields(key, fieldType, fieldName) AS (VALUES (0, 'NONE', 'p_partkey'), (0, 'NONE', 'target'),
         (1, 'STRING', 'p_brand'), (2, 'STRING', 'p_type'), (3, 'STRING', 'p_name'), (4, 'DOUBLE', 'p_size'),
         (5, 'DOUBLE', 'p_retailprice'))
@@ -165,6 +196,17 @@ def feat_dictionary(spark, sf_dir):
     return _long(dictionary.fit_dictionary(parts_to_encode(spark, sf_dir), ignore=["p_partkey", "target"]))
 
 
+# Fewer than the labels of p_brand and p_name.
+_SHORT = 20
+
+
+@query("feat_dictionary_top", dictionary_sql("count(*) DESC, {c}", _SHORT))
+def feat_dictionary_top(spark, sf_dir):
+    """The most frequent labels only; the usual limit is ``TOP_LABELS``."""
+    parts = parts_to_encode(spark, sf_dir)
+    return _long(dictionary.fit_dictionary(parts, ignore=["p_partkey", "target"], limit=_SHORT))
+
+
 @query("feat_dictionary_distinct", dictionary_sql("{c}"))
 def feat_dictionary_distinct(spark, sf_dir):
     return _long(dictionary.fit_dictionary(parts_to_encode(spark, sf_dir), ignore=["p_partkey", "target"], by="value"))

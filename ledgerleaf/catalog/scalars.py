@@ -101,17 +101,32 @@ def _barred(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.replace("text", F.lit(" "), F.lit("|")).alias("fact"))
 
 
+# A list of the usual stop words and of 12,000 others.
+_MORE_STOP_WORDS = 12_000
+
+
 @query(
     "fn_stopwords",
-    f"""SELECT doc_id, array_to_string(list_filter({_BARRED_SQL},
-        lambda w: NOT (w IN ({", ".join(f"'{w}'" for w in STOP_WORDS)}) OR regexp_matches(w, '\\p{{Nd}}'))), '|') AS words
-      FROM documents""",
+    f"""WITH stops AS (SELECT unnest([{", ".join(f"'{w}'" for w in STOP_WORDS)}]) AS w
+        UNION SELECT 'w' || unnest(generate_series(1, {_MORE_STOP_WORDS}))),
+      rows AS (SELECT row_number() OVER () AS n, k, text FROM (SELECT doc_id % 50 AS k, text FROM documents
+        UNION ALL SELECT NULL, text FROM documents WHERE doc_id % 9 = 0)),
+      split AS (SELECT n, {_BARRED_SQL} AS ws FROM rows),
+      words AS (SELECT n, unnest(ws) AS w, unnest(generate_series(1, len(ws))) AS place FROM split),
+      lines AS (SELECT n, string_agg(w, '|' ORDER BY place) AS line FROM words
+        WHERE w NOT IN (SELECT w FROM stops) AND NOT regexp_matches(w, '\\p{{Nd}}') GROUP BY n)
+      SELECT k, coalesce(line, '') AS words FROM rows LEFT JOIN lines USING (n)""",
 )
 def fn_stopwords(spark, sf_dir):
+    """A long list from a file; keys repeat and some are missing."""
     path = fresh_path(spark, "stop-words")
-    write_text(spark.createDataFrame([(word,) for word in STOP_WORDS], "value string"), path)
-    stops = spark.read.text(path)
-    return words.remove_stop_words(_barred(spark, sf_dir), "fact", stops, "doc_id").drop("fact")
+    usual = spark.createDataFrame([(word,) for word in STOP_WORDS], "value string")
+    more = spark.range(1, _MORE_STOP_WORDS + 1).select(F.concat(F.lit("w"), F.col("id").cast("string")).alias("value"))
+    write_text(usual.union(more), path)
+    texts = _barred(spark, sf_dir)
+    keyed = texts.select((F.col("doc_id") % 50).alias("k"), "fact")
+    missing = texts.filter("doc_id % 9 = 0").select(F.lit(None).cast("bigint").alias("k"), "fact")
+    return words.remove_stop_words(keyed.union(missing), "fact", spark.read.text(path)).drop("fact")
 
 
 @query(
@@ -187,10 +202,9 @@ def fn_cartesian(spark, sf_dir):
         F.concat_ws(",", "p_brand", "p_type"),
         F.concat_ws(",", F.col("p_size").cast("string"), F.lit("x")),
     )
-    combined = F.explode(text.list_product(lists)).alias("c")
-    return table(spark, sf_dir, "part").select("p_partkey", combined).select(
-        "p_partkey", F.array_join("c", ",").alias("combination")
-    )
+    parts = table(spark, sf_dir, "part").select("p_partkey", lists.alias("lists"))
+    combined = words.list_combinations(parts, "lists", "c")
+    return combined.select("p_partkey", F.array_join("c", ",").alias("combination"))
 
 
 @query(

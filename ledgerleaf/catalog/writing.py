@@ -19,11 +19,13 @@ def _name(label):
     return f"{label}_{uuid.uuid4().hex}"
 
 
-@query("sink_table_overwrite", "SELECT c_custkey, c_acctbal FROM customer")
+@query("sink_table_overwrite", "SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey % 3 = 0")
 def sink_table_overwrite(spark, sf_dir):
+    """Replaced by other rows, then by a part of its own rows."""
     name, customer = _name("replaced"), table(spark, sf_dir, "customer")
     tables.replace_table(customer.select("c_custkey", "c_name"), name, fresh_path(spark, "old"))
-    return tables.replace_table(customer.select("c_custkey", "c_acctbal"), name, fresh_path(spark, "new"))
+    stored = tables.replace_table(customer.select("c_custkey", "c_acctbal"), name, fresh_path(spark, "new"))
+    return tables.replace_table(stored.filter("c_custkey % 3 = 0"), name, fresh_path(spark, "own"))
 
 
 @query("sink_table_create", "SELECT c_custkey, c_name FROM customer")

@@ -71,6 +71,8 @@ def hashed_gaussian(key: Column, salt: str, mean: Column | float = 0.0, variance
     return radius * F.cos(angle) * spread + mean
 
 
-def hash_bucket(key: Column, buckets: int = 100) -> Column:
-    """Bucket of a key by its md5, the same in every engine and on every run."""
-    return F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint") % buckets
+def hash_bucket(key: Column, buckets: int = 1 << 32, salt: str = "") -> Column:
+    """Bucket of a key by its md5, the same in every engine and on every run;
+    a missing key has the bucket of the empty text."""
+    text = F.concat(F.coalesce(key.cast("string"), F.lit("")), F.lit(salt))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("bigint") % buckets

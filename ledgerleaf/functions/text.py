@@ -53,21 +53,3 @@ def drop_stop_words(words: Column, stop_words: Iterable[str]) -> Column:
     if not stops:
         return drop_digit_words(words)
     return F.filter(words, lambda word: ~(word.isin(*stops) | has_digit(word)))
-
-
-def list_product(text: Column, list_separator: str = "|", item_separator: str = ",") -> Column:
-    """All combinations of the lists in ``a,b|c,d``: one array per combination.
-
-    Empty lists are skipped.
-    """
-    lists = F.transform(split_words(text, list_separator), lambda one: split_words(one, item_separator))
-    start = F.array().cast("array<array<string>>")
-
-    def extend(done: Column, items: Column) -> Column:
-        first = F.transform(items, lambda item: F.array(item))
-        longer = F.flatten(
-            F.transform(done, lambda head: F.transform(items, lambda item: F.concat(head, F.array(item))))
-        )
-        return F.when(F.size(done) == 0, first).when(F.size(items) == 0, done).otherwise(longer)
-
-    return F.aggregate(lists, start, extend)

@@ -9,15 +9,16 @@ from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerleaf.functions.maps import label_number
 from ledgerleaf.functions.times import epoch_seconds
+from ledgerleaf.operators.ordered import numbered
+from ledgerleaf.scratch import materialize
 
-# Field type tags and the longest label list of a field.
+# Field type tags and the length of a shortened label list.
 NO_TYPE = "NONE"
 NUMERIC_TYPE = "DOUBLE"
 STRING_TYPE = "STRING"
 DATE_TYPE = "DATE"
-MAX_LABELS = 100
+TOP_LABELS = 100
 
 SCHEMA = T.StructType(
     [
@@ -37,13 +38,14 @@ def field_type(kind: T.DataType) -> str:
     return NUMERIC_TYPE
 
 
-def rank_labels(df: DataFrame, columns: Sequence[str], limit: int = MAX_LABELS, by: str = "frequency") -> DataFrame:
+def rank_labels(df: DataFrame, columns: Sequence[str], limit: int | None = None, by: str = "frequency") -> DataFrame:
     """(fieldName, label, number): the labels of each text column.
 
     ``by="frequency"`` numbers them by falling count (ties by text),
-    ``by="value"`` by text. Labels beyond ``limit`` get no number. All columns
-    are counted in one pass, and each task keeps at most ``limit`` labels per
-    column before the shuffle.
+    ``by="value"`` by text. All columns are counted in one pass. All labels are
+    numbered, spread over as many tasks as they need; with a ``limit`` labels
+    beyond it get no number, and each task keeps at most so many per column
+    before the shuffle.
     """
     cells = F.explode(
         F.array(*[F.struct(F.lit(name).alias("fieldName"), F.col(name).alias("label")) for name in columns])
@@ -56,6 +58,9 @@ def rank_labels(df: DataFrame, columns: Sequence[str], limit: int = MAX_LABELS,
         .agg(F.count(F.lit(1)).alias("_n"))
     )
     order = [F.desc("_n"), F.asc("label")] if by == "frequency" else [F.asc("label")]
+    if limit is None:
+        ranked = numbered(counted, order, name="number", group_by=["fieldName"])
+        return ranked.select("fieldName", "label", F.col("number").cast("int").alias("number"))
     number = F.row_number().over(Window.partitionBy("fieldName").orderBy(*order))
     return (
         counted.withColumn("number", number).filter(F.col("number") <= limit).select("fieldName", "label", "number")
@@ -63,11 +68,12 @@ def rank_labels(df: DataFrame, columns: Sequence[str], limit: int = MAX_LABELS,
 
 
 def fit_dictionary(
-    df: DataFrame, ignore: Sequence[str] = (), limit: int = MAX_LABELS, by: str = "frequency"
+    df: DataFrame, ignore: Sequence[str] = (), limit: int | None = None, by: str = "frequency"
 ) -> DataFrame:
     """The dictionary of a table: one row per column.
 
-    Columns in ``ignore`` (key and label) are passed through unchanged.
+    Columns in ``ignore`` (key and label) are passed through unchanged. All
+    labels are kept unless a ``limit`` (``TOP_LABELS``) is given.
     """
     fields = [field for field in df.schema.fields if field.name not in set(ignore)]
     entries = [(0, NO_TYPE, name) for name in ignore]
@@ -94,14 +100,13 @@ def dictionary_lines(dictionary: DataFrame) -> DataFrame:
 
 
 def dictionary_fields(dictionary: DataFrame) -> list[Row]:
-    """The dictionary on the driver: one row per column, each with at most
-    ``MAX_LABELS`` labels."""
-    return sorted(
-        dictionary.collect(), key=lambda row: (row["key"] != 0, row["key"])
-    )
+    """Keys, types and names of the fields on the driver: one row per column of
+    the encoded table; labels stay where they are."""
+    rows = dictionary.select("key", "fieldType", "fieldName").collect()
+    return sorted(rows, key=lambda row: (row["key"] != 0, row["key"]))
 
 
-def _encoded(row: Row) -> Column:
+def _encoded(row: Row, number: str) -> Column:
     value = F.col(f"`{row['fieldName']}`")
     kind = row["fieldType"]
     if kind == NO_TYPE:
@@ -109,8 +114,7 @@ def _encoded(row: Row) -> Column:
     if kind == DATE_TYPE:
         return epoch_seconds(value)
     if kind == STRING_TYPE:
-        labels = dict(sorted((row["fieldMap"] or {}).items(), key=lambda item: item[1]))
-        return label_number(value, labels)
+        return F.coalesce(F.col(number), F.lit(0))
     return value.try_cast("double")
 
 
@@ -118,10 +122,21 @@ def encode(df: DataFrame, dictionary: DataFrame, fill: bool = False) -> DataFram
     """Columns turned into numbers, passed-through columns first.
 
     Only the dictionary's columns remain, in its order. ``fill`` sets missing
-    numbers to 0.
+    numbers to 0. The dictionary is fitted once and kept in the shared folder;
+    labels are joined, so a field may have any number of them.
     """
-    rows = dictionary_fields(dictionary)
-    encoded = df.select(*[_encoded(row).alias(row["fieldName"]) for row in rows])
+    stored = materialize(dictionary, "dictionary")
+    rows = dictionary_fields(stored)
+    labels = stored.select("fieldName", F.explode("fieldMap").alias("_label", "_number"))
+    numbered_rows = df
+    for i, row in enumerate(rows):
+        if row["fieldType"] == STRING_TYPE:
+            own = labels.filter(F.col("fieldName") == row["fieldName"]).select(
+                F.col("_label").alias(f"_label{i}"), F.col("_number").alias(f"_number{i}")
+            )
+            same = F.col(f"`{row['fieldName']}`") == F.col(f"_label{i}")
+            numbered_rows = numbered_rows.join(own, same, "left")
+    encoded = numbered_rows.select(*[_encoded(row, f"_number{i}").alias(row["fieldName"]) for i, row in enumerate(rows)])
     if not fill:
         return encoded
     return encoded.na.fill(0.0, [row["fieldName"] for row in rows if row["fieldType"] != NO_TYPE])

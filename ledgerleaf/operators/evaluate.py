@@ -243,7 +243,9 @@ def auc_exact(df: DataFrame) -> DataFrame:
     Twice the area is a whole number of (positive, negative) pairs, so it is
     summed exactly.
     """
-    doubled = (F.col("neg") * (2 * F.col("cum_pos") - F.col("pos"))).cast("decimal(38,0)")
+    # Counts of some billions each: their product is beyond a long.
+    wide = lambda value: value.cast("decimal(19,0)")
+    doubled = wide(F.col("neg")) * wide(2 * F.col("cum_pos") - F.col("pos"))
     whole = score_steps(df).agg(
         F.sum(doubled).alias("doubled"), F.first("total_pos").alias("p"), F.first("total_neg").alias("n")
     )
@@ -318,6 +320,7 @@ def ndcg(
     graded = df.select(query, relevance, unique)
     ideal = dcg(graded, query, relevance, [F.desc(relevance), F.asc(unique)], name="ideal_dcg")
     ratio = F.try_divide("dcg", "ideal_dcg")
-    return actual.join(ideal, query).select(
+    other = ideal.withColumnRenamed(query, "_query")
+    return actual.join(other, actual[query].eqNullSafe(other["_query"])).select(
         query, (ratio if scale is None else F.round(ratio, scale)).alias("ndcg")
     )

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate
 from operator import add
 
 from pyspark.sql import Column, DataFrame
@@ -52,9 +54,11 @@ def weighted_labels(df: DataFrame, key: str, tasks: Mapping[str, LabelTask]) ->
     subquery, so the table is scanned twice for any number of tasks.
     """
     names = list(dict.fromkeys(name for task in tasks.values() for name in task.columns))
-    cleaned = fill_for_labels(df.select(key, *names), names)
+    # Inside a struct the key is not filled: a missing one stays missing.
+    apart = F.struct(F.col(key).alias("key")).alias("_key")
+    cleaned = fill_for_labels(df.select(apart, *names), names)
     numbers = cleaned.select(
-        key, *[F.coalesce(F.col(name).try_cast("double"), F.lit(0.0)).alias(name) for name in names]
+        F.col("_key.key").alias(key), *[F.coalesce(F.col(name).try_cast("double"), F.lit(0.0)).alias(name) for name in names]
     )
     ends = [
         value.alias(f"{side}{i}")
@@ -94,22 +98,41 @@ def label_per_class(df: DataFrame, key: str, label: str, classes: int) -> DataFr
     )
 
 
-def split_by_hash(df: DataFrame, key: str, shares: Mapping[str, float], output: str = "split") -> DataFrame:
+SPLIT_BUCKETS = 1 << 32
+
+
+def split_bounds(shares: Sequence[float]) -> list[int]:
+    """The bucket below which each part ends; the last part ends with the buckets."""
+    if not math.isclose(sum(shares), 1.0, abs_tol=1e-9):
+        raise ValueError("shares must add up to 1")
+    bounds = [round(upper * SPLIT_BUCKETS) for upper in accumulate(shares)]
+    bounds[-1] = SPLIT_BUCKETS
+    if any(share > 0 and low == high for share, low, high in zip(shares, [0, *bounds], bounds)):
+        raise ValueError(f"a share is too small for {SPLIT_BUCKETS} buckets")
+    return bounds
+
+
+def split_by_hash(df: DataFrame, key: str, shares: Mapping[str, float], output: str = "split", salt: str = "") -> DataFrame:
     """Each row tagged with a part by the hash of its key.
 
-    The same key always falls in the same part, on any cluster and on any run.
+    The same key always falls in the same part, on any cluster and on any run;
+    rows without a key share one part. Every row is in exactly one part.
     """
-    bucket = hash_bucket(F.col(key))
-    tag, upper = None, 0.0
-    for name, share in shares.items():
-        upper += share
-        bound = round(upper * 100)
-        tag = F.when(bucket < bound, name) if tag is None else tag.when(bucket < bound, name)
-    if round(upper * 100) != 100:
-        raise ValueError("shares must add up to 1")
+    bucket = hash_bucket(F.col(key), SPLIT_BUCKETS, salt)
+    bounds = split_bounds(list(shares.values()))
+    *firsts, last = shares
+    tag = F.lit(last)
+    for name, bound in reversed(list(zip(firsts, bounds))):
+        tag = F.when(bucket < bound, name).otherwise(tag)
     return df.withColumn(output, tag)
 
 
-def split_at_random(df: DataFrame, shares: Sequence[float], seed: int) -> list[DataFrame]:
-    """Seeded random parts of roughly the given shares."""
-    return df.randomSplit(list(shares), seed)
+def split_at_random(df: DataFrame, key: str, shares: Sequence[float], seed: int) -> list[DataFrame]:
+    """Seeded parts of roughly the given shares.
+
+    The draw is a hash of the seed and the key, so the parts are exact
+    complements however often and in whatever order they are computed.
+    """
+    names = [f"{i}" for i in range(len(shares))]
+    tagged = split_by_hash(df, key, dict(zip(names, shares)), "_part", salt=f"/{seed}")
+    return [tagged.filter(F.col("_part") == name).drop("_part") for name in names]

@@ -6,13 +6,15 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerleaf.operators.aggregates import history
 from ledgerleaf.operators.clean import fill_blank
 from ledgerleaf.operators.columns import without
 from ledgerleaf.operators.joins import join_catalog
-from ledgerleaf.operators.labels import TRAIN_VALID_TEST, LabelTask, split_by_hash, weighted_label
-from ledgerleaf.sinks.tables import replace_table
+from ledgerleaf.operators.labels import TRAIN_VALID_TEST, LabelTask, split_by_hash, weighted_labels
+from ledgerleaf.scratch import materialize
+from ledgerleaf.sinks.tables import replace_parts, replace_table
 from ledgerleaf.sources.delimited import path_exists, read_csv, read_packed, read_text_with_header_file
 
 # Names of the import steps and of what the tables are for.
@@ -58,7 +60,10 @@ def existing_inputs(spark: SparkSession, job: ImportJob) -> list[Input]:
 
 def import_orders(spark: SparkSession, job: ImportJob) -> DataFrame:
     """Order lines as counts and averages per customer, stored as a table."""
-    first = existing_inputs(spark, job)[0]
+    found = existing_inputs(spark, job)
+    if not found:
+        raise ValueError(f"none of the inputs exists: {[one.data for one in job.inputs]}")
+    first = found[0]
     lines = read_text_with_header_file(spark, first.header, first.data, first.header_sep, first.sep)
     summary = history(lines, [job.key, job.original_key], job.averages, scale=job.scale)
     return replace_table(summary, first.name, job.location(first.name))
@@ -91,13 +96,15 @@ def train_tables(
 
     The columns a label is made of are not features. Rows are split by the
     hash of the key; ``test_is_full`` makes the test table the whole table.
+    The labels of all tasks are computed together, once.
     """
     tables = {}
+    labels = materialize(weighted_labels(data, key, tasks), "labels")
     named = dict(zip(("train", "valid", "test"), shares, strict=True))
     for name, task in tasks.items():
         features = without(data, [*task.columns, *drop])
         split = split_by_hash(features, key, named, "_split")
-        tables[f"{name}_label"] = weighted_label(data, key, task)
+        tables[f"{name}_label"] = labels.select(key, F.col(name).alias("label"))
         for part in named:
             tables[f"{name}_{part}"] = split.filter(split["_split"] == part).drop("_split")
         if test_is_full:
@@ -134,12 +141,28 @@ def run_import_job(
             raise ValueError("import_sample needs the path of the sample")
         import_sample(spark, job, sample)
     if join:
-        joined = join_catalog(spark, [one.name for one in job.inputs], job.key, how)
+        # Only inputs that are there now: a table left by an earlier run is stale.
+        names = [one.name for one in existing_inputs(spark, job)]
+        joined = join_catalog(spark, names, job.key, how)
         data = replace_table(joined, job.result, job.location(job.result))
     else:
         data = spark.table(job.result)
     if goal == "predict":
         tables = predict_tables(data, job.tasks, [job.original_key])
-    else:
-        tables = train_tables(data, job.key, job.tasks, [job.original_key])
-    return {name: replace_table(table, name, job.location(name)) for name, table in tables.items()}
+        return {name: replace_table(table, name, job.location(name)) for name, table in tables.items()}
+    return store_train_tables(data, job)
+
+
+def store_train_tables(data: DataFrame, job: ImportJob, shares: Sequence[float] = TRAIN_VALID_TEST) -> dict[str, DataFrame]:
+    """The train job's tables, stored: the labels of all tasks in one pass, and
+    one pass per task that writes train, valid and test rows apart."""
+    stored = {}
+    labels = materialize(weighted_labels(data, job.key, job.tasks), "labels")
+    split = split_by_hash(data, job.key, dict(zip(("train", "valid", "test"), shares, strict=True)), "_split")
+    for name, task in job.tasks.items():
+        label = f"{name}_label"
+        stored[label] = replace_table(labels.select(job.key, F.col(name).alias("label")), label, job.location(label))
+        names = {part: f"{name}_{part}" for part in ("train", "valid", "test")}
+        features = without(split, [*task.columns, job.original_key])
+        stored |= replace_parts(features, "_split", names, job.location(name))
+    return stored

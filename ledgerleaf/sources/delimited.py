@@ -47,11 +47,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def first_line(spark: SparkSession, path: str) -> str:
-    """First line of a file, or of some file of a folder."""
-    row = spark.read.text(path).first()
-    if row is None:
-        raise ValueError(f"no header line in {path}")
-    return row[0]
+    """First line of a file, or of a folder's first file by name that has one."""
+    for file in sorted(spark.read.text(path).inputFiles()):
+        row = spark.read.text(file).first()
+        if row is not None:
+            return row[0]
+    raise ValueError(f"no header line in {path}")
 
 
 def _fields(line: Column, sep: str) -> Column:

@@ -5,6 +5,7 @@ import decimal
 import math
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -74,12 +75,16 @@ def compare(df, con, sql):
     return f"types {odd}" if odd else None
 
 
+def _fresh(name):
+    return os.path.join(tempfile.mkdtemp(prefix="ledgerleaf-"), name)
+
+
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "0.01"
     prefixes = tuple(sys.argv[2:])
     sf_dir = f"/root/testdata/sf{sf}"
     spark = build_session(master="local[8]", spark__sql__shuffle__partitions=os.environ.get("PARTITIONS", "8"), spark__ui__enabled="false", spark__ui__showConsoleProgress="false", spark__driver__memory="8g",
-                          spark__sql__warehouse__dir="/tmp/ledgerleaf-warehouse")
+                          spark__sql__warehouse__dir=_fresh("warehouse"), spark__checkpoint__dir=_fresh("shared"))
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     sqls = catalog.oracle_sql()

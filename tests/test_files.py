@@ -111,7 +111,7 @@ def training(spark):
 
 
 def test_dictionary(training):
-    fitted = dictionary.dictionary_fields(dictionary.fit_dictionary(training, ignore=["id", "y"]))
+    fitted = sorted(dictionary.fit_dictionary(training, ignore=["id", "y"]).collect(), key=lambda r: (r.key, r.fieldName))
     assert [(r.key, r.fieldType, r.fieldName, r.fieldMap) for r in fitted] == [
         (0, "NONE", "id", {}),
         (0, "NONE", "y", {}),
@@ -139,6 +139,15 @@ def test_dictionary_survives_the_file(spark, training, tmp_path):
     files.write_text(dictionary.dictionary_lines(fitted), str(tmp_path / "obj"), one_file=True)
     back = spark.read.schema(dictionary.SCHEMA).json(str(tmp_path / "obj"))
     assert dictionary.dictionary_fields(back) == dictionary.dictionary_fields(fitted)
+    assert sorted(back.collect(), key=str) == sorted(fitted.collect(), key=str)
+
+
+def test_all_labels_are_kept_unless_a_limit_is_given(spark):
+    df = spark.range(900).select(F.concat(F.lit("v"), F.col("id") % 300).alias("t"))
+    fitted = dictionary.fit_dictionary(df)
+    assert len(fitted.first().fieldMap) == 300
+    assert len(dictionary.fit_dictionary(df, limit=dictionary.TOP_LABELS).first().fieldMap) == dictionary.TOP_LABELS
+    assert sorted({r.t for r in dictionary.encode(df, fitted).collect()}) == list(range(1, 301))
 
 
 def test_libsvm_lines(spark):

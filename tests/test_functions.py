@@ -1,9 +1,11 @@
+import itertools
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions import arrays, maps, numbers, text, times
+from ledgerleaf.operators import words
 
 
 def one(spark, value, kind, expression):
@@ -48,9 +50,15 @@ def test_stop_words_and_digit_words(spark):
 
 
 def test_list_product_of_the_known_sample(spark):
-    got = one(spark, "a,b,c|d,e|f,g", "string", text.list_product)
-    assert len(got) == 12 and got[0] == ["a", "d", "f"] and got[-1] == ["c", "e", "g"]
-    assert sorted(map(tuple, got)) == sorted((a, b, c) for a in "abc" for b in "de" for c in "fg")
+    rows = [(1, "a,b,c|d,e|f,g"), (2, "a||b"), (3, None), (4, "x"), (5, "|"), (6, "|".join(["p,q,r,s"] * 7))]
+    df = spark.createDataFrame(rows, "id int, lists string")
+    got = {}
+    for row in words.list_combinations(df, "lists").collect():
+        got.setdefault(row.id, []).append(tuple(row.combination))
+    assert got[1] == list(itertools.product("abc", "de", "fg"))
+    assert got[2] == [("a", "", "b")] and got[4] == [("x",)] and not {3, 5} & set(got)
+    # More combinations than are numbered at once.
+    assert sorted(got[6]) == sorted(itertools.product("pqrs", repeat=7))
 
 
 def test_times(spark):

@@ -1,11 +1,15 @@
 """Labels, splits and whole jobs."""
 
+from dataclasses import replace
+
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerleaf.operators import labels
 from ledgerleaf.operators.labels import LabelTask
 from ledgerleaf.plans import customers, importing
+from ledgerleaf.sinks.tables import replace_parts, replace_table
+from ledgerleaf.sources import delimited
 
 
 def test_weighted_label(spark):
@@ -59,7 +63,51 @@ def test_splits(spark):
     assert split.exceptAll(again).count() == 0
     with pytest.raises(ValueError):
         labels.split_by_hash(df, "id", {"train": 0.7})
-    assert sum(part.count() for part in labels.split_at_random(df, labels.TRAIN_TEST, 1)) == 5000
+    one, two = labels.split_at_random(df, "id", labels.TRAIN_TEST, 1)
+    assert one.unionAll(two).exceptAll(df).count() == 0 and one.count() + two.count() == 5000
+    assert abs(one.count() - 3000) < 200 and labels.split_at_random(df, "id", labels.TRAIN_TEST, 2)[0].count() != one.count()
+
+
+def test_splits_keep_missing_keys_and_small_shares(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") % 4 != 0, F.col("id")).alias("id"))
+    split = labels.split_by_hash(df, "id", {"most": 0.995, "few": 0.005})
+    sizes = {r.split: r["count"] for r in split.filter("id is not null").groupBy("split").count().collect()}
+    assert sum(sizes.values()) == 15_000 and 40 < sizes["few"] < 115
+    assert split.filter("id is null").select("split").distinct().count() == 1
+    assert split.filter("split is null").count() == 0
+    with pytest.raises(ValueError):
+        labels.split_bounds([1 - 1e-12, 1e-12])
+    task = {"t": LabelTask(("a",), (1.0,))}
+    tables = importing.train_tables(df.withColumn("a", F.lit(1)), "id", task)
+    assert sum(tables[f"t_{part}"].count() for part in ("train", "valid", "test")) == 20_000
+    assert tables["t_label"].count() == 20_000
+
+
+def test_a_table_may_be_replaced_from_itself(spark):
+    name = "selfmade"
+    replace_table(spark.range(10), name)
+    assert replace_table(spark.table(name).filter("id < 4"), name).count() == 4
+    broken = spark.table(name).select(F.raise_error(F.lit("no")).cast("int").alias("x"))
+    with pytest.raises(Exception):
+        replace_table(broken, name)
+    assert spark.table(name).count() == 4
+    spark.sql(f"drop table {name}")
+
+
+def test_parts_are_written_in_one_pass(spark):
+    df = spark.range(10).select("id", F.when(F.col("id") < 3, "a").otherwise("b").alias("p"))
+    stored = replace_parts(df, "p", {"a": "part_a", "b": "part_b", "c": "part_c"})
+    assert {name: table.count() for name, table in stored.items()} == {"part_a": 3, "part_b": 7, "part_c": 0}
+    assert stored["part_c"].columns == ["id"]
+    for name in stored:
+        spark.sql(f"drop table {name}")
+
+
+def test_header_is_in_the_first_file_by_name(spark, tmp_path):
+    (tmp_path / "part-00000").write_text("id,name\n")
+    (tmp_path / "part-00001").write_text("".join(f"{i},n{i}\n" for i in range(500)))
+    got = delimited.read_text_table(spark, str(tmp_path), ",")
+    assert got.columns == ["id", "name"] and got.count() == 500
 
 
 @pytest.fixture()
@@ -108,6 +156,16 @@ def test_import_job(spark, job, tmp_path):
     assert importing.run_import_job(spark, job, step="skip_import", how="full")["m1_label"].count() == 20
 
 
+def test_a_stale_table_is_not_joined(spark, job, tmp_path):
+    importing.run_import_job(spark, job)
+    (tmp_path / "id.txt").unlink()
+    again = replace(job, tasks={"m1": LabelTask(("avg_before",), (1.0,))})
+    importing.run_import_job(spark, again, step="skip_import")
+    assert "x" not in spark.table("all_in").columns and spark.table("all_in").count() == 20
+    with pytest.raises(ValueError):
+        importing.import_orders(spark, replace(job, inputs=job.inputs[2:]))
+
+
 def test_import_sample(spark, job, tmp_path):
     (tmp_path / "s.csv").write_text("id,user_id,avg_before,x,z\n1,u,5.0,null,-9999\n2,u,,2,3\n")
     tables = importing.run_import_job(spark, job, step="import_sample", join=False, sample=str(tmp_path / "s.csv"))
