@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -72,6 +73,7 @@ def main() -> None:
         master=f"local[{cpus}]",
         spark__sql__shuffle__partitions=partitions,
         spark__driver__memory=os.environ.get("BENCH_MEMORY", "6g"),
+        spark__checkpoint__dir=os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="ledgerleaf-bench-"),
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
     )

@@ -15,10 +15,32 @@ def _stream(spark, sf_dir, name):
     return file_stream(spark, f"{sf_dir}/{name}.parquet")
 
 
-def _event_records(spark, sf_dir):
-    """Events in the shape of broker records."""
+_RECORDS_SQL = """SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition, event_id AS "offset",
+  CAST(user_id AS VARCHAR) AS key, props AS value FROM events"""
+_RECORD_SCHEMA = "topic string, partition int, offset bigint, key string, value string"
+
+
+#: Arrivals of the streams that are cut into batches.
+_ARRIVALS = 3
+
+
+def _in_batches(spark, sources, stream_of, job, schema, mode="append"):
+    """Tables that arrive in pieces: a batch for each arrival, in one stream
+    that is resumed. ``sources`` has a table and its piece number; ``stream_of``
+    makes one stream of theirs."""
+    inboxes = [fresh_path(spark, "inbox") for _ in sources]
+    output, checkpoint = fresh_path(spark, "batches"), fresh_path(spark, "progress")
+    for arrival in range(_ARRIVALS):
+        for (rows, piece), inbox in zip(sources, inboxes):
+            rows.filter(piece % _ARRIVALS == arrival).write.mode("append").parquet(inbox)
+        streams = [spark.readStream.schema(rows.schema).parquet(inbox) for (rows, _), inbox in zip(sources, inboxes)]
+        jobs.start_batches(stream_of(*streams), job, output, checkpoint, mode=mode).awaitTermination()
+    return jobs.stored_batches(spark, output, schema)
+
+
+def _records(events):
     return as_records(
-        _stream(spark, sf_dir, "events"),
+        events,
         topic=F.col("event_type"),
         partition=F.col("user_id") % 4,
         offset=F.col("event_id"),
@@ -27,24 +49,24 @@ def _event_records(spark, sf_dir):
     )
 
 
-_RECORDS_SQL = """SELECT event_type AS topic, CAST(user_id % 4 AS INTEGER) AS partition, event_id AS "offset",
-  CAST(user_id AS VARCHAR) AS key, props AS value FROM events"""
-_RECORD_SCHEMA = "topic string, partition int, offset bigint, key string, value string"
+_BATCHED_SQL = f"SELECT *, \"offset\" % {_ARRIVALS} AS batch_id FROM ({_RECORDS_SQL})"
 
 
-@query("stream_records", f"SELECT *, 0::BIGINT AS batch_id FROM ({_RECORDS_SQL})")
+@query("stream_records", _BATCHED_SQL)
 def stream_records(spark, sf_dir):
-    return jobs.run_batches(_event_records(spark, sf_dir), lambda batch: batch, _RECORD_SCHEMA)
+    events = table(spark, sf_dir, "events")
+    return _in_batches(spark, [(events, F.col("event_id"))], _records, lambda batch: batch, _RECORD_SCHEMA)
 
 
 @query(
     "stream_offset_ranges",
-    f"""SELECT topic, partition, min("offset") AS from_offset, max("offset") + 1 AS until_offset, 0::BIGINT AS batch_id
-        FROM ({_RECORDS_SQL}) GROUP BY 1, 2""",
+    f"""SELECT topic, partition, min("offset") AS from_offset, max("offset") + 1 AS until_offset, batch_id
+        FROM ({_BATCHED_SQL}) GROUP BY topic, partition, batch_id""",
 )
 def stream_offset_ranges(spark, sf_dir):
     schema = "topic string, partition int, from_offset bigint, until_offset bigint"
-    return jobs.run_batches(_event_records(spark, sf_dir), jobs.offset_ranges, schema)
+    events = table(spark, sf_dir, "events")
+    return _in_batches(spark, [(events, F.col("event_id"))], _records, jobs.offset_ranges, schema)
 
 
 _TEXT_WORDS_SQL = WORDS_SQL.format(t="text", s=" ", raw=" ")
@@ -52,11 +74,13 @@ _TEXT_WORDS_SQL = WORDS_SQL.format(t="text", s=" ", raw=" ")
 
 @query(
     "stream_word_count_batch",
-    f"SELECT word, count(*) AS n, 0::BIGINT AS batch_id FROM (SELECT unnest({_TEXT_WORDS_SQL}) AS word FROM conversations) GROUP BY 1",
+    f"""SELECT word, count(*) AS n, batch_id FROM (SELECT conv_id % {_ARRIVALS} AS batch_id, unnest({_TEXT_WORDS_SQL}) AS word
+      FROM conversations) GROUP BY word, batch_id""",
 )
 def stream_word_count_batch(spark, sf_dir):
-    talk = _stream(spark, sf_dir, "conversations").select("text")
-    return jobs.run_batches(talk, lambda batch: word_counts(batch, "text"), "word string, n bigint")
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "text")
+    count = lambda batch: word_counts(batch, "text")
+    return _in_batches(spark, [(talk, F.col("conv_id"))], lambda s: s.select("text"), count, "word string, n bigint")
 
 
 @query("stream_tokenize", f"SELECT conv_id, turn, unnest({_TEXT_WORDS_SQL}) AS word FROM conversations")
@@ -68,13 +92,16 @@ def stream_tokenize(spark, sf_dir):
 
 @query(
     "stream_subtract",
-    "SELECT c_custkey AS custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    f"""SELECT c_custkey AS custkey, c_custkey % {_ARRIVALS} AS batch_id FROM customer WHERE NOT EXISTS
+      (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderkey % {_ARRIVALS} = c_custkey % {_ARRIVALS})""",
 )
 def stream_subtract(spark, sf_dir):
     """Customers without an order in the same batch."""
-    customers = _stream(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"))
-    orders = _stream(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey"))
-    return jobs.batch_subtract(customers, orders, "custkey").drop("batch_id")
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"))
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("custkey"), "o_orderkey")
+    sources = [(customers, F.col("custkey")), (orders, F.col("o_orderkey"))]
+    both = lambda left, right: jobs.tagged_sides(left, right, "custkey")
+    return _in_batches(spark, sources, both, jobs.subtract_sides("custkey"), "custkey bigint")
 
 
 def _sliding_sql(length, slide, offset):
@@ -103,7 +130,7 @@ def stream_sliding_3_2(spark, sf_dir):
 @query("stream_sliding_2_1", _sliding_sql(2_000_000, 1_000_000, 0))
 def stream_sliding_2_1(spark, sf_dir):
     events = _stream(spark, sf_dir, "events").select("ts")
-    return _seconds(windows.run_sliding_counts(events, "ts", "2 seconds", "1 second"))
+    return _seconds(windows.run_sliding_counts(events, "ts", "2 seconds", "1 second", lateness="60 days"))
 
 
 @query(

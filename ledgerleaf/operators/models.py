@@ -18,7 +18,7 @@ FOREST = {"numTrees": 10, "maxDepth": 4, "maxBins": 32, "impurity": "gini", "fea
 BOOSTED = {"maxIter": 100, "stepSize": 0.0001, "validationTol": 0.000001, "maxDepth": 6}
 BOOSTED_CLASSIFIER = {"maxIter": 10, "featureSubsetStrategy": "auto"}
 GRADIENT_CLASSIFIER = {"stepSize": 0.1, "maxDepth": 6, "maxIter": 10}
-GRADIENT_REGRESSOR = {"stepSize": 0.01, "maxDepth": 5, "maxIter": 400, "subsamplingRate": 0.7}
+GRADIENT_REGRESSOR = {"stepSize": 0.01, "maxDepth": 5, "maxIter": 400, "subsamplingRate": 0.7, "minInfoGain": 0.0}
 LOGISTIC = {"maxIter": 10, "regParam": 0.3, "elasticNetParam": 0.8}
 CLUSTERS = {"k": 2, "seed": 1}
 
@@ -62,7 +62,8 @@ def gradient_classifier(data: DataFrame, seed: int = 1, **settings) -> Model:
 
 
 def gradient_regressor(data: DataFrame, seed: int = 1, **settings) -> Model:
-    """Many small steps on row samples. There is no L1 term in this learner."""
+    """Many small steps on row samples. ``minInfoGain`` is the least gain of a
+    split; there is no L1 term in this learner."""
     return _ready(data, GBTRegressor(seed=seed, **{**GRADIENT_REGRESSOR, **settings}))
 
 
@@ -91,3 +92,23 @@ def save_model(model: Model, path: str) -> None:
 
 def load_model(kind: type, path: str) -> Model:
     return kind.load(path)
+
+
+def error_report(scores: DataFrame, part: str = "split", label: str = "label") -> DataFrame:
+    """Rows, RMSE and the RMSE of always saying the mean, per part."""
+    error = F.col(label) - F.col("prediction")
+    return scores.groupBy(part).agg(
+        F.count(F.lit(1)).alias("rows"), F.sqrt(F.avg(error * error)).alias("rmse"), F.stddev_pop(label).alias("rmse_of_mean")
+    )
+
+
+def centre_rows(model: Model, data: DataFrame) -> DataFrame:
+    """(cluster, centre): one row for each of the model's k clusters."""
+    rows = [(i, [float(x) for x in centre]) for i, centre in enumerate(model.clusterCenters())]
+    return data.sparkSession.createDataFrame(rows, "cluster int, centre array<double>")
+
+
+def objective_rows(model: Model, data: DataFrame) -> DataFrame:
+    """(step, objective): the value after each step of a logistic model."""
+    rows = [(i, float(x)) for i, x in enumerate(model.summary.objectiveHistory)]
+    return data.sparkSession.createDataFrame(rows, "step int, objective double")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -24,6 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if _local_base is None:
         _local_base = tempfile.mkdtemp(prefix="ledgerleaf-")
+        atexit.register(shutil.rmtree, _local_base, ignore_errors=True)
     return _local_base
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerleaf.sources.cells import newest
@@ -19,8 +21,35 @@ def as_cells(df: DataFrame, rowkey: str, value: str, family: str, qualifier: str
     )
 
 
+def resolve_cells(cells: DataFrame) -> DataFrame:
+    """The newest version of each cell."""
+    merged = cells.groupBy("rowkey", "family", "qualifier")
+    return merged.agg(newest().alias("value"), F.max("version").alias("version"))
+
+
+def put_cells(puts: DataFrame, store: str, batch: str) -> None:
+    """Add the versions of one batch to a store; nothing stored is read.
+
+    A batch that is put again replaces what it put before.
+    """
+    puts.write.mode("overwrite").parquet(f"{store}/batch={batch}")
+
+
+def cell_writer(store: str) -> Callable[[DataFrame, int], None]:
+    """For ``foreachBatch``: each micro-batch is put under its number."""
+    return lambda batch, number: put_cells(batch, store, str(number))
+
+
+def read_cells(spark: SparkSession, store: str) -> DataFrame:
+    """The newest cells of a store; versions are resolved here."""
+    return resolve_cells(spark.read.parquet(store).drop("batch"))
+
+
+def compact_cells(spark: SparkSession, store: str, into: str) -> None:
+    """The store's newest cells as a store of their own."""
+    put_cells(read_cells(spark, store), into, "compacted")
+
+
 def upsert_cells(stored: DataFrame, puts: DataFrame) -> DataFrame:
     """Stored cells and new ones merged: the newest version of each cell."""
-    cell = ["rowkey", "family", "qualifier"]
-    merged = stored.unionByName(puts).groupBy(*cell)
-    return merged.agg(newest().alias("value"), F.max("version").alias("version"))
+    return resolve_cells(stored.unionByName(puts))

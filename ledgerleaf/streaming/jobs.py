@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerleaf.operators.sets import subtract
-from ledgerleaf.scratch import fresh_path
+from ledgerleaf.scratch import fresh_path, materialize
 
 BatchJob = Callable[[DataFrame], DataFrame]
 
@@ -67,10 +67,21 @@ def batch_subtract(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
 
     Both streams run as one query, so a batch takes the new rows of both.
     """
-    tagged = left.select(F.lit(True).alias("kept"), column).union(right.select(F.lit(False).alias("kept"), column))
+    kind = dict(left.dtypes)[column]
+    return run_batches(tagged_sides(left, right, column), subtract_sides(column), f"{column} {kind}")
+
+
+def tagged_sides(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
+    """Both streams as one, its rows marked as ``kept`` (left) or not."""
+    return left.select(F.lit(True).alias("kept"), column).union(right.select(F.lit(False).alias("kept"), column))
+
+
+def subtract_sides(column: str) -> BatchJob:
+    """The job that takes the right rows of a batch from its left ones."""
 
     def job(batch: DataFrame) -> DataFrame:
-        return subtract(batch.filter("kept").select(column), batch.filter(~F.col("kept")).select(column))
+        # Stored once, so that the sources are not read for either side anew.
+        stored = materialize(batch, "batch")
+        return subtract(stored.filter("kept").select(column), stored.filter(~F.col("kept")).select(column))
 
-    kind = dict(left.dtypes)[column]
-    return run_batches(tagged, job, f"{column} {kind}")
+    return job

@@ -8,9 +8,18 @@ from pyspark.sql import functions as F
 from ledgerleaf.streaming.jobs import run_batches
 
 
-def sliding_counts(stream: DataFrame, at: str, length: str, slide: str, offset: str | None = None) -> DataFrame:
-    """Rows per sliding window, as a streaming aggregate (start, end, n)."""
-    moment = F.col(at).cast("timestamp")
+def sliding_counts(
+    stream: DataFrame, at: str, length: str, slide: str, offset: str | None = None, lateness: str | None = None
+) -> DataFrame:
+    """Rows per sliding window, as a streaming aggregate (start, end, n).
+
+    With ``lateness`` a window's state goes once the latest time seen is so far
+    past its end, and rows that come later are left out. Without it every
+    window is kept for good.
+    """
+    if lateness:
+        stream = stream.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, lateness)
+    moment = F.col(at).cast("timestamp") if not lateness else F.col(at)
     window = F.window(moment, length, slide, offset) if offset else F.window(moment, length, slide)
     return stream.groupBy(window.alias("w")).agg(F.count(F.lit(1)).alias("n")).select(
         F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n"
@@ -18,14 +27,14 @@ def sliding_counts(stream: DataFrame, at: str, length: str, slide: str, offset:
 
 
 def run_sliding_counts(
-    stream: DataFrame, at: str, length: str, slide: str, offset: str | None = None
+    stream: DataFrame, at: str, length: str, slide: str, offset: str | None = None, lateness: str | None = None
 ) -> DataFrame:
     """Window counts after all available data.
 
     Each batch stores only the windows it changed (update mode); the count of
     a window only grows, so its last value is its greatest.
     """
-    counts = sliding_counts(stream, at, length, slide, offset)
+    counts = sliding_counts(stream, at, length, slide, offset, lateness)
     changed = run_batches(counts, lambda batch: batch, "start timestamp, end timestamp, n bigint", mode="update")
     return changed.groupBy("start", "end").agg(F.max("n").alias("n"))
 
@@ -44,7 +53,9 @@ def windowed_subtract(
         timed = stream.select(F.col(at).cast("timestamp").alias("_at"), F.col(column).alias(value))
         return timed.withWatermark("_at", lateness).select(F.window("_at", length).alias(window), value)
 
-    a, b = windowed(left, "w", column), windowed(right, "_rw", "_right")
+    a = windowed(left, "w", column)
+    # One row per window and value is enough to take left rows away.
+    b = windowed(right, "_rw", "_right").dropDuplicates(["_rw", "_right"])
     joined = a.join(b, (F.col("w") == F.col("_rw")) & (F.col(column) == F.col("_right")), "left_outer")
     return joined.filter(F.col("_rw").isNull()).select(
         F.col("w.start").alias("start"), F.col("w.end").alias("end"), column
