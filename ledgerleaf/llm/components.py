@@ -12,8 +12,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of the edges (a, b); the root is the
     smallest node of the component.
 
-    Each round a node takes the smallest label among its neighbours and then
-    the label of its label, so that chains halve. Labels are written between
+    Each round a node takes the smallest label among its neighbours and of that
+    the label it had, so that chains shrink fast. Labels are written between
     rounds: no lineage grows, and both sides of every join are shuffled for it,
     so adaptive execution can split a node that has very many edges.
     """
@@ -27,10 +27,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
         better = labels.join(near, labels["node"] == near["a"]).select(
             "node", F.col("root").alias("before"), F.least("root", "offered").alias("root")
         )
-        better = materialize(better, "labels")
-        heads = better.select(F.col("node").alias("head"), F.col("root").alias("further"))
-        jumped = better.join(heads, better["root"] == heads["head"]).select("node", "before", F.col("further").alias("root"))
-        labels = materialize(jumped, "labels")
-        if labels.filter("root != before").isEmpty():
-            return labels.select("node", "root")
+        heads = labels.select(F.col("node").alias("head"), F.col("root").alias("further"))
+        jumped = better.join(heads, better["root"] == heads["head"])
+        labels = materialize(jumped.select("node", "before", F.col("further").alias("root")), "labels")
+        changed = not labels.filter("root != before").isEmpty()
         labels = labels.select("node", "root")
+        if not changed:
+            return labels

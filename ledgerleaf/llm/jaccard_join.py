@@ -7,12 +7,13 @@ when 100 * |A & B| >= 75 * |A | B|, and a component is what links connect.
 1. Each text becomes its set; equal sets are one class, known by a digest.
 2. In any order of tokens that is the same for all, the first k common tokens of
    two linked sets stand among the first n - ceil(0.75 n) + k of either. So a set
-   sends that many, k being a seventh of n, and a class is dropped unless
-   as many of its tokens are shared as a linked set must share: this removes
-   texts that have a passage in common and nothing else. Tokens known to be
-   frequent come last in the order, by frequency, all others by hash. Which are
-   frequent is estimated from a fixed share of the documents: that decides how
-   much work there is, never the result.
+   sends that many, k being a seventh of n. Tokens known to be frequent come
+   last in the order, by frequency, all others by hash. Which are frequent is
+   estimated from a fixed share of the documents: that decides how much work
+   there is, never the result. Of its tokens that another class has sent too, a
+   class keeps all but k - 1, those held by the fewest classes first: two sets
+   with k of them in common still share one. This leaves out classes that have
+   a passage in common and nothing else.
    Classes left that share a token are put together by edges to the smallest of
    them: rare tokens meet in one shuffle, frequent ones (at most ``FREQUENT``) by
    a broadcast of one row per token. So no group of documents, however large, is
@@ -39,7 +40,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerleaf.llm import words as W
@@ -192,31 +193,36 @@ def _by_token(rows: DataFrame) -> DataFrame:
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows whose token has another node too (frequent tokens: all rows), each
-    once; rows sorted by token and node. The last token of a batch is held."""
-    held = np.zeros((0, 2), np.int64)
+    """(token, node, held): rows whose token has another node too (frequent
+    tokens: all rows), each once, with the number of nodes that hold the token
+    (frequent tokens: beyond any such number, by rank). Rows come sorted by
+    token and node; the last token of a batch waits for the next."""
+    waiting = np.zeros((0, 2), np.int64)
 
     def kept(rows: np.ndarray) -> pa.RecordBatch:
         new = np.ones(len(rows), bool)
         new[1:] = (rows[1:] != rows[:-1]).any(axis=1)
         rows = rows[new]
         starts = np.flatnonzero(np.append(True, rows[1:, 0] != rows[:-1, 0])) if len(rows) else np.zeros(0, np.int64)
-        sizes = np.repeat(np.diff(np.append(starts, len(rows))), np.diff(np.append(starts, len(rows))))
-        rows = rows[(sizes > 1) | (rows[:, 0] < 0)]
-        return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1])], ["token", "node"])
+        runs = np.diff(np.append(starts, len(rows)))
+        held = np.repeat(runs, runs)
+        late = rows[:, 0] < 0
+        held[late] = (1 << 40) - rows[late, 0]
+        rows, held = rows[held > 1], held[held > 1]
+        return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(held)], ["token", "node", "held"])
 
     for batch in batches:
         rows = np.stack([c.to_numpy() for c in batch.columns], axis=1)
         if not len(rows):
             continue
         cut = int(np.searchsorted(rows[:, 0], rows[-1, 0], "left"))
-        if cut or (len(held) and held[0, 0] != rows[0, 0]):
-            yield kept(np.concatenate([held, rows[:cut]]))
-            held = rows[cut:]
+        if cut or (len(waiting) and waiting[0, 0] != rows[0, 0]):
+            yield kept(np.concatenate([waiting, rows[:cut]]))
+            waiting = rows[cut:]
         else:
             # One token over many batches: only its distinct nodes are kept.
-            held = np.unique(np.concatenate([held, rows]), axis=0)
-    yield kept(held)
+            waiting = np.unique(np.concatenate([waiting, rows]), axis=0)
+    yield kept(waiting)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,14 +245,19 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def neighbourhood_edges(rows: DataFrame, sets: DataFrame) -> DataFrame:
     """Edges (a, b) of digests: linked sets are always connected."""
-    shared = materialize(_by_token(rows).mapInArrow(_shared, "token bigint, node bigint"), "shared-tokens")
-    counts = shared.groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
+    shared = _by_token(rows).mapInArrow(_shared, "token bigint, node bigint, held bigint")
     sizes = sets.filter("n > 0").groupBy(F.col("d1").alias("node")).agg(F.min("n").alias("n"))
     # What the smallest set that can link to one of n asks for.
     smallest = F.ceil(F.col("n") * SHARE[0] / F.lit(SHARE[1]))
-    enough = F.col("shared") >= F.greatest(F.floor(smallest / ASKED_ONE_IN), F.lit(1))
-    left = materialize(counts.join(sizes, "node").filter(enough).select("node"), "sharing-nodes")
-    rows = materialize(shared.join(left, "node", "left_semi").select("token", "node"), "sharing-rows")
+    least = F.greatest(F.floor(smallest / ASKED_ONE_IN), F.lit(1))
+    # A node's shared tokens are no more than the tokens of one text.
+    own = Window.partitionBy("node")
+    placed = shared.withColumn("place", F.row_number().over(own.orderBy("held", "token"))).withColumn(
+        "shared", F.count(F.lit(1)).over(own)
+    )
+    # Of two linked sets one of the rarest shared tokens of either is common.
+    rarest = F.col("place") <= F.col("shared") - least + 1
+    rows = materialize(placed.join(sizes, "node").filter(rarest).select("token", "node"), "rarest-shared")
     rare = _by_token(rows.filter("token >= 0")).select("token", "node").mapInArrow(_runs, "a bigint, b bigint")
     late = rows.filter("token < 0")
     # One row per frequent token: at most FREQUENT.
@@ -256,7 +267,8 @@ def neighbourhood_edges(rows: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _link_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links inside each unit; rows (unit1, unit2, unit3, rec, d1, d2, grp, content) sorted by unit."""
+    """(a, b): each linked record of a unit and the smallest of its group, itself
+    included; rows (unit1, unit2, unit3, rec, d1, d2, grp, content) sorted by unit."""
     current, rows = None, []
 
     def finish() -> pa.RecordBatch:
@@ -271,9 +283,16 @@ def _link_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if [d1, d2] == both[k]:
                     made[rec] = (tokens[at[k] : at[k + 1]], grp)
         recs = sorted(made)
-        links = Linker([made[r][0] for r in recs], np.array([made[r][1] for r in recs]), SHARE).run() if len(recs) > 1 else []
+        roots: dict[int, int] = {}
+        if len(recs) > 1:
+            linker = Linker([made[r][0] for r in recs], np.array([made[r][1] for r in recs]), SHARE)
+            linker.run()
+            # The first record of a group is its smallest.
+            roots = {r: recs[k] for r, k in zip(recs, linker.groups.labels().tolist(), strict=True)}
+            linked = set(roots.values()) & {k for r, k in roots.items() if r != k}
+            roots = {r: k for r, k in roots.items() if k in linked}
         return pa.RecordBatch.from_arrays(
-            [pa.array([recs[i] for i, _ in links], pa.int64()), pa.array([recs[j] for _, j in links], pa.int64())], ["a", "b"]
+            [pa.array(list(roots), pa.int64()), pa.array(list(roots.values()), pa.int64())], ["a", "b"]
         )
 
     for batch in batches:
@@ -298,8 +317,8 @@ def _linked(dealt: DataFrame) -> DataFrame:
     return materialize(links, "links")
 
 
-def find_links(plain: DataFrame, classes: DataFrame, edges: DataFrame, unit_tokens: int = UNIT_TOKENS) -> DataFrame:
-    """Links (a, b) of class records that connect exactly what all links connect."""
+def linked_records(plain: DataFrame, classes: DataFrame, edges: DataFrame, unit_tokens: int = UNIT_TOKENS) -> DataFrame:
+    """(node, root) of the class records that any link connects."""
     homes = connected_components(edges).withColumnsRenamed({"node": "d1", "root": "home"})
     leads = classes.select("rec", F.col("lead.id").alias("id"), "n", "d1", "d2")
     members = materialize(homes.join(leads, "d1"), "neighbourhoods")
@@ -312,7 +331,8 @@ def find_links(plain: DataFrame, classes: DataFrame, edges: DataFrame, unit_toke
     texts = plain.join(ids, F.col("id").eqNullSafe(F.col("member_id"))).drop("id", "member_id")
     own = texts.withColumn("grp", F.col("rec"))
     if wide.isEmpty():
-        return _linked(own.select("*", *_unit("home", F.lit(0), F.lit(0))))
+        # Each neighbourhood was one unit: its groups are the components.
+        return _linked(own.select("*", *_unit("home", F.lit(0), F.lit(0)))).withColumnsRenamed({"a": "node", "b": "root"})
     # Wide neighbourhoods come back twice, so their texts are kept.
     texts = materialize(own, "neighbourhood-texts")
     links = _linked(texts.select("*", *_unit("home", "chunk", F.lit(0))))
@@ -338,7 +358,7 @@ def find_links(plain: DataFrame, classes: DataFrame, edges: DataFrame, unit_toke
     every = every.withColumn("other", F.col("chunk"))
     names = ["rec", "d1", "d2", "grp", "content"]
     crossed = one.select(*names, *_unit("home", "own", "other")).union(every.select(*names, *_unit("home", "own", "other")))
-    return links.union(_linked(crossed))
+    return connected_components(links.union(_linked(crossed)))
 
 
 def _unit(first, second, third) -> list:
@@ -365,7 +385,7 @@ def jaccard_records(docs: DataFrame, text: str = "text", row_id: str = "doc_id",
     )
     classes = materialize(classes.withColumn("rec", F.col("lead.rec")), "classes")
     edges = neighbourhood_edges(prefix_tokens(plain, Order(frequent_tokens(plain))), sets)
-    roots = connected_components(find_links(plain, classes, edges, unit_tokens))
+    roots = linked_records(plain, classes, edges, unit_tokens)
     classes = classes.join(roots, classes["rec"] == roots["node"], "left").withColumn("component", F.coalesce("root", "rec"))
     classes = materialize(classes.select("d1", "d2", "n", "least", "component"), "rooted-classes")
     best = classes.groupBy("component").agg(F.min("least").alias("best"))
