@@ -169,14 +169,19 @@ def collected_in_chunks(
 
 
 def column_statistics(
-    df: DataFrame, columns: Sequence[str], weight: str | None = None, scale: int | None = None
+    df: DataFrame, columns: Sequence[str], weight: str | None = None, scale: int | None = None, missing: str = "refuse"
 ) -> DataFrame:
     """One row per column: mean, unbiased variance, count, non-zeros, extremes
     and norms, optionally weighted (reliability weights).
 
     One pass with Spark's mergeable vector summary; a row with weight 0 is
-    left out.
+    left out. ``missing="skip"`` leaves out rows in which a column is missing,
+    ``"refuse"`` fails on them.
     """
+    if missing not in ("refuse", "skip"):
+        raise ValueError("missing must be 'refuse' or 'skip'")
+    if missing == "skip":
+        df = df.na.drop(subset=list(columns))
     metrics = ("mean", "variance", "count", "numNonZeros", "max", "min", "normL1", "normL2")
     vector = array_to_vector(F.array(*[F.col(name).cast("double") for name in columns]))
     weights = None if weight is None else F.col(weight).cast("double")
