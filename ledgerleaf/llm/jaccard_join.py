@@ -321,16 +321,18 @@ def linked_records(plain: DataFrame, classes: DataFrame, edges: DataFrame, unit_
     """(node, root) of the class records that any link connects."""
     homes = connected_components(edges).withColumnsRenamed({"node": "d1", "root": "home"})
     leads = classes.select("rec", F.col("lead.id").alias("id"), "n", "d1", "d2")
-    members = materialize(homes.join(leads, "d1"), "neighbourhoods")
+    members = homes.join(leads, "d1")
     sizes = members.groupBy("home").agg(F.sum("n").alias("tokens"))
-    wide = materialize(sizes.filter(F.col("tokens") > unit_tokens), "wide-neighbourhoods")
+    wide = sizes.filter(F.col("tokens") > unit_tokens)
     chunks = F.coalesce(F.ceil(F.col("tokens") * 2 / F.lit(unit_tokens)), F.lit(1)).cast("bigint")
     chunk = F.pmod(F.xxhash64("rec"), chunks)
-    placed = members.join(wide, "home", "left").withColumn("chunk", chunk).withColumn("chunks", chunks)
+    all_single = wide.isEmpty()
+    placed = members.withColumn("tokens", F.lit(None).cast("bigint")) if all_single else members.join(wide, "home", "left")
+    placed = placed.withColumn("chunk", chunk).withColumn("chunks", chunks)
     ids = placed.withColumnRenamed("id", "member_id")
     texts = plain.join(ids, F.col("id").eqNullSafe(F.col("member_id"))).drop("id", "member_id")
     own = texts.withColumn("grp", F.col("rec"))
-    if wide.isEmpty():
+    if all_single:
         # Each neighbourhood was one unit: its groups are the components.
         return _linked(own.select("*", *_unit("home", F.lit(0), F.lit(0)))).withColumnsRenamed({"a": "node", "b": "root"})
     # Wide neighbourhoods come back twice, so their texts are kept.
@@ -383,11 +385,10 @@ def jaccard_records(docs: DataFrame, text: str = "text", row_id: str = "doc_id",
     classes = sets.filter("n > 0").groupBy("d1", "d2", "n").agg(
         F.min(F.struct("rec", "id")).alias("lead"), least.alias("least")
     )
-    classes = materialize(classes.withColumn("rec", F.col("lead.rec")), "classes")
+    classes = classes.withColumn("rec", F.col("lead.rec"))
     edges = neighbourhood_edges(prefix_tokens(plain, Order(frequent_tokens(plain))), sets)
     roots = linked_records(plain, classes, edges, unit_tokens)
     classes = classes.join(roots, classes["rec"] == roots["node"], "left").withColumn("component", F.coalesce("root", "rec"))
-    classes = materialize(classes.select("d1", "d2", "n", "least", "component"), "rooted-classes")
     best = classes.groupBy("component").agg(F.min("least").alias("best"))
     named = materialize(classes.select("d1", "d2", "n", "component").join(best, "component"), "class-components")
     # Both sides are read from disk, so a class of very many rows can be split.
@@ -417,9 +418,9 @@ def drop_near_copies(docs: DataFrame, text: str = "text", row_id: str = "doc_id"
     lost = made.filter("rec != least_rec").select(F.col("id").alias("mark"))
     kept = made.filter("rec = least_rec").select(F.col("id").alias("mark"))
     # A row that repeats a kept one in identifier and text is told apart by number.
-    shared = materialize(lost.groupBy("mark").count().join(kept.distinct(), "mark", "left_semi"), "repeated-marks")
+    shared = lost.groupBy("mark").count().join(kept.distinct(), "mark", "left_semi").select("mark")
     rows = docs.withColumn("_mark", mark)
-    gone = materialize(lost.join(shared, "mark", "left_anti").distinct(), "near-copies")
+    gone = lost.join(kept, "mark", "left_anti").distinct()
     left = rows.join(gone, rows["_mark"].eqNullSafe(gone["mark"]), "left_anti")
     if not shared.isEmpty():
         again = left["_mark"].eqNullSafe(shared["mark"])
