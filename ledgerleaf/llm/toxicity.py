@@ -9,10 +9,12 @@ winning positions only (Adagrad).
 
 The model is fitted on a bounded sample of labelled rows, ``MAX_LABELLED`` of
 either class with texts of at most ``MAX_CHARS`` characters, chosen by a hash
-of the identifier; rows whose crc32(identifier) mod 5 is 0 are never used. One
-fifth of the rest sets the thresholds: one for all, moved to 0.5, and one for
-each language. Language, source and labels never enter a score. Scoring reads
-every whole text; the model is a broadcast of fixed size.
+of the identifier; rows whose crc32(identifier) mod 5 is 0 are never used. Rows
+where it is 1 set the thresholds: one for all, moved to 0.5, and one for each
+language. All of them that are labelled count, whatever the length of the text,
+in a histogram of scores, so a threshold lies on an edge of a bin, at most
+1/``BINS`` of log odds from the best. Language, source and labels never enter a
+score. Scoring reads every whole text; the model is a broadcast of fixed size.
 
 Defined cases: a null or empty text has no words and gets the score of the bare
 bias. Rows without a label, or with a null identifier, train nothing; with no
@@ -27,18 +29,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerleaf.llm import words as W
 from ledgerleaf.llm.mapping import map_texts
 from ledgerleaf.llm.registry import query, table
+from ledgerleaf.operators.joins import join_unique
 
 MAX_LABELLED = 2000
 MAX_CHARS = 50_000
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
 MIN_PER_LANGUAGE = 20
+#: Bins for one unit of log odds, and the log odds beyond which all share a bin.
+BINS, FARTHEST = 64, 30
 
 BUCKETS = 1 << 16
 DIM = 8
@@ -199,14 +204,23 @@ class TextCNN:
                 shift_square += total * total
                 self.shift -= rate * total / shift_square**0.5
 
-    def calibrate(self, logits: np.ndarray, labels: np.ndarray, languages: list[str | None]) -> None:
-        """Moves the best common threshold to 0.5, then sets one per language."""
-        self.shift -= best_cut(logits, labels)
-        logits = logits - best_cut(logits, labels)
-        for language in set(languages):
-            mine = np.array([x == language for x in languages])
-            if mine.sum() >= MIN_PER_LANGUAGE and 0 < labels[mine].sum() < mine.sum():
-                self.languages[language] = float(sigmoid(best_cut(logits[mine], labels[mine])))
+    def calibrate(self, bins: list[Row]) -> None:
+        """Moves the best common threshold to 0.5, then sets one per language.
+
+        ``bins`` has (lang, bin, low, high, n, toxic) for each language and bin."""
+        number = np.array([r.bin for r in bins])
+        low, high = np.array([r.low for r in bins], float), np.array([r.high for r in bins], float)
+        n, toxic = np.array([r.n for r in bins]), np.array([r.toxic for r in bins])
+        common = best_cut(number, low, high, n, toxic)
+        self.shift -= common
+        places: dict[str | None, list[int]] = {}
+        for i, r in enumerate(bins):
+            places.setdefault(r.lang, []).append(i)
+        for language, mine in places.items():
+            total, hits = n[mine].sum(), toxic[mine].sum()
+            if total >= MIN_PER_LANGUAGE and 0 < hits < total:
+                cut = best_cut(number[mine], low[mine] - common, high[mine] - common, n[mine], toxic[mine])
+                self.languages[language] = float(sigmoid(cut))
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
         return sigmoid(self.logits(read_words(texts)))
@@ -216,60 +230,85 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def best_cut(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The threshold of best F1; in the middle of the gap, the one nearest to 0 of equals."""
-    if not 0 < labels.sum() < len(labels):
+def best_cut(number: np.ndarray, low: np.ndarray, high: np.ndarray, n: np.ndarray, toxic: np.ndarray) -> float:
+    """The threshold of best F1 between bins of log odds; in the middle of the
+    gap, the one nearest to 0 of equals."""
+    if not 0 < toxic.sum() < n.sum():
         return 0.0
-    order = np.argsort(-logits, kind="stable")
-    value, hit = logits[order], np.cumsum(labels[order])
-    f1 = 2 * hit / (np.arange(1, len(value) + 1) + labels.sum())
-    cuts = (value + np.append(value[1:], value[-1] - 2)) / 2
-    f1[:-1][value[:-1] == value[1:]] = -1
+    order = np.argsort(-number, kind="stable")
+    first = np.flatnonzero(np.diff(number[order], prepend=np.inf))
+    low, high = np.minimum.reduceat(low[order], first), np.maximum.reduceat(high[order], first)
+    n, hit = np.add.reduceat(n[order], first), np.cumsum(np.add.reduceat(toxic[order], first))
+    f1 = 2 * hit / (np.cumsum(n) + hit[-1])
+    cuts = (low + np.append(high[1:], low[-1] - 2)) / 2
     good = np.flatnonzero(f1 >= f1.max() - 1e-12)
     return float(cuts[good[np.abs(cuts[good]).argmin()]])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame) -> list[tuple[int, bytes, str | None, int]]:
-    """(fold, text, language, label) of the bounded training sample."""
-    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS
-    usable = labels.select("doc_id", F.col("toxic").alias("label")).withColumn("fold", fold).filter(f"fold != {HELD_OUT}")
-    fits = docs.select("doc_id", "text", "lang").filter(F.length("text") <= MAX_CHARS)
+def fold_of(doc_id):
+    return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame) -> list[tuple[bytes, int]]:
+    """(text, label) of the bounded sample that the model is fitted on."""
+    usable = labels.select("doc_id", F.col("toxic").alias("label")).filter(~fold_of(F.col("doc_id")).isin(HELD_OUT, CALIBRATION))
+    fits = docs.select("doc_id", "text").filter(F.length("text") <= MAX_CHARS)
     parts = []
     for label in (0, 1):
         mine = usable.filter(F.col("label") == label).dropDuplicates(["doc_id"])
         parts.append(mine.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED))
     # At most 2 * MAX_LABELLED rows.
     chosen = parts[0].unionByName(parts[1])
-    rows = fits.join(F.broadcast(chosen), "doc_id").select("doc_id", "fold", "text", "lang", "label").collect()
+    rows = fits.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").collect()
     rows.sort(key=lambda r: (r.doc_id, r.label, r.text))
-    return [(r.fold, r.text.encode("utf-8", "surrogateescape"), r.lang, r.label) for r in rows]
+    return [(r.text.encode("utf-8", "surrogateescape"), r.label) for r in rows]
+
+
+def score_bins(docs: DataFrame, labels: DataFrame, model: TextCNN, folds: list[int]) -> list[Row]:
+    """(lang, bin, low, high, n, toxic) of all labelled rows of the folds.
+
+    Texts are scored where they lie; only their log odds meet the labels."""
+    inside = lambda frame: frame.filter(fold_of(F.col("doc_id")).isin(folds))
+    scored = score_column(inside(docs.select("doc_id", "text", "lang")), model, ["doc_id", "lang"], odds=True)
+    of_class = lambda label: F.max((F.col("toxic") == label).cast("int"))
+    known = inside(labels).filter(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(of_class(0).alias("is_clean"), of_class(1).alias("is_toxic"))
+    clipped = F.greatest(F.lit(-float(FARTHEST)), F.least(F.lit(float(FARTHEST)), F.col("score")))
+    bins = join_unique(scored, known, "doc_id", "inner").groupBy("lang", F.floor(clipped * BINS).alias("bin"))
+    # At most 2 * FARTHEST * BINS + 1 rows for each language.
+    return bins.agg(
+        F.min("score").alias("low"),
+        F.max("score").alias("high"),
+        F.sum(F.col("is_clean") + F.col("is_toxic")).alias("n"),
+        F.sum("is_toxic").alias("toxic"),
+    ).collect()
 
 
 def train(docs: DataFrame, labels: DataFrame) -> TextCNN | None:
     """A fitted and calibrated model; None without labels of both classes."""
     sample = labelled_sample(docs, labels)
-    fitting = [r for r in sample if r[0] != CALIBRATION]
-    classes = np.array([r[3] for r in fitting], np.float32)
+    classes = np.array([label for _, label in sample], np.float32)
     if not 0 < classes.sum() < len(classes):
         return None
     model = TextCNN()
-    model.fit(read_words([r[1] for r in fitting]), classes)
-    checking = [r for r in sample if r[0] == CALIBRATION]
-    if not {0, 1} <= {r[3] for r in checking}:
-        checking = sample
-    logits = model.logits(read_words([r[1] for r in checking]))
-    model.calibrate(logits, np.array([r[3] for r in checking]), [r[2] for r in checking])
+    model.fit(read_words([text for text, _ in sample]), classes)
+    bins = score_bins(docs, labels, model, [CALIBRATION])
+    if not 0 < sum(r.toxic for r in bins) < sum(r.n for r in bins):
+        bins = score_bins(docs, labels, model, [k for k in range(FOLDS) if k != HELD_OUT])
+    model.calibrate(bins)
     return model
 
 
-def score_column(docs: DataFrame, model: TextCNN | None, carried: list[str], text: str = "text", into: str = "score") -> DataFrame:
-    """The carried columns with the score of each whole text."""
+def score_column(
+    docs: DataFrame, model: TextCNN | None, carried: list[str], text: str = "text", into: str = "score", odds: bool = False
+) -> DataFrame:
+    """The carried columns with the score of each whole text, or its log odds."""
     if model is None:
         return docs.select(*[docs[f"`{c}`"] for c in carried], F.lit(0.0).alias(into))
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def report(group: list[bytes]) -> list[pa.Array]:
-        return [pa.array(sent.value.scores(group).astype(np.float64))]
+        made = sent.value.logits(read_words(group)) if odds else sent.value.scores(group)
+        return [pa.array(made.astype(np.float64))]
 
     made = map_texts(docs, text, carried, [T.StructField("score", T.DoubleType())], report)
     return made.select("row.*", F.col("score").alias(into))
@@ -296,7 +335,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, model: TextCNN | None = None)
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs, table(spark, sf_dir, "labels"))
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS == HELD_OUT
+    held_out = fold_of(F.col("doc_id")) == HELD_OUT
     scored = score_column(docs, model, ["doc_id", "lang"])
     return scored.select(
         "doc_id",

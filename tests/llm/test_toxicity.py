@@ -57,3 +57,26 @@ def test_without_labels_or_rows(spark, documents):
     assert tox.train(docs, none) is None
     assert tox.drop_toxic(docs, none).count() == 2
     assert tox.drop_toxic(documents([]), none).count() == 0
+
+
+def noisy(n, rate=0.1, long=0, small=0):
+    """Documents whose words overlap between the classes; every ``small``-th is of a small language."""
+    rng = np.random.default_rng(5)
+    label = (rng.random(n) < rate).astype(int)
+    words = [[f"w{k}" for k in rng.integers(0, 40, 6) // (1 + y * rng.integers(0, 2, 6))] for y in label]
+    tail = lambda i: " and" * 40 if long and i % long == 0 else ""
+    lang = lambda i: "xx" if small and i % small == 0 else "en"
+    return [(i, " ".join(w) + tail(i), lang(i)) for i, w in enumerate(words)], [(i, int(y)) for i, y in enumerate(label)]
+
+
+def test_thresholds_are_set_on_all_labelled_rows(spark, documents, monkeypatch):
+    """The best F1 on the whole fold, in its own class balance and with long texts, however few rows are fitted."""
+    monkeypatch.setattr(tox, "MAX_LABELLED", 60)
+    monkeypatch.setattr(tox, "MAX_CHARS", 100)
+    rows, known = noisy(3000, long=4)
+    model = tox.train(documents(rows), spark.createDataFrame(known, "doc_id bigint, toxic int"))
+    fold = [i for i, _ in known if zlib.crc32(str(i).encode()) % 5 == tox.CALIBRATION]
+    score, y = model.scores([rows[i][1].encode() for i in fold]), np.array([known[i][1] for i in fold])
+    f1 = lambda cut: 2 * y[score >= cut].sum() / ((score >= cut).sum() + y.sum())
+    assert f1(0.5) > max(f1(cut) for cut in score) - 0.01
+    assert sum(r.n for r in tox.score_bins(documents(rows), spark.createDataFrame(known, "doc_id bigint, toxic int"), model, [tox.CALIBRATION])) == len(fold)
