@@ -18,8 +18,9 @@ score. Scoring reads every whole text; the model is a broadcast of fixed size.
 
 Defined cases: a null or empty text has no words and gets the score of the bare
 bias. Rows without a label, or with a null identifier, train nothing; with no
-usable labels of both classes every score is 0. A language without enough
-labelled rows has the threshold 0.5, null included. Repeated rows score alike.
+usable labels of both classes every score is 0. A language that has fewer than
+``MIN_PER_LANGUAGE`` labelled rows among all that set the thresholds, or those
+of one class only, has the threshold 0.5; so has null. Repeated rows score alike.
 Columns may have any name.
 """
 
@@ -29,7 +30,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -91,7 +92,7 @@ class TextCNN:
         self.bias = [np.zeros(FILTERS, np.float32) for _ in WIDTHS]
         self.out = np.abs(draw(len(WIDTHS) * FILTERS)) * 5
         self.shift = -1.0
-        self.languages: dict[str | None, float] = {}
+        self.languages: dict[str, float] = {}
 
     def start_from(self, words: Words, labels: np.ndarray) -> None:
         """The first number of each vector begins as the word's log odds
@@ -205,7 +206,7 @@ class TextCNN:
                 self.shift -= rate * total / shift_square**0.5
 
     def calibrate(self, bins: list[Row]) -> None:
-        """Moves the best common threshold to 0.5, then sets one per language.
+        """Moves the best common threshold to 0.5, then sets one per language but null.
 
         ``bins`` has (lang, bin, low, high, n, toxic) for each language and bin."""
         number = np.array([r.bin for r in bins])
@@ -217,8 +218,7 @@ class TextCNN:
         for i, r in enumerate(bins):
             places.setdefault(r.lang, []).append(i)
         for language, mine in places.items():
-            total, hits = n[mine].sum(), toxic[mine].sum()
-            if total >= MIN_PER_LANGUAGE and 0 < hits < total:
+            if language is not None and 0 < toxic[mine].sum() < n[mine].sum():
                 cut = best_cut(number[mine], low[mine] - common, high[mine] - common, n[mine], toxic[mine])
                 self.languages[language] = float(sigmoid(cut))
 
@@ -265,7 +265,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> list[tuple[bytes, int
 
 
 def score_bins(docs: DataFrame, labels: DataFrame, model: TextCNN, folds: list[int]) -> list[Row]:
-    """(lang, bin, low, high, n, toxic) of all labelled rows of the folds.
+    """(lang, bin, low, high, n, toxic) of all labelled rows of the folds;
+    languages with fewer than ``MIN_PER_LANGUAGE`` of them count under null.
 
     Texts are scored where they lie; only their log odds meet the labels."""
     inside = lambda frame: frame.filter(fold_of(F.col("doc_id")).isin(folds))
@@ -273,14 +274,17 @@ def score_bins(docs: DataFrame, labels: DataFrame, model: TextCNN, folds: list[i
     of_class = lambda label: F.max((F.col("toxic") == label).cast("int"))
     known = inside(labels).filter(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(of_class(0).alias("is_clean"), of_class(1).alias("is_toxic"))
     clipped = F.greatest(F.lit(-float(FARTHEST)), F.least(F.lit(float(FARTHEST)), F.col("score")))
-    bins = join_unique(scored, known, "doc_id", "inner").groupBy("lang", F.floor(clipped * BINS).alias("bin"))
-    # At most 2 * FARTHEST * BINS + 1 rows for each language.
-    return bins.agg(
+    met = join_unique(scored, known, "doc_id", "inner")
+    bins = met.groupBy("lang", F.floor(clipped * BINS).alias("bin")).agg(
         F.min("score").alias("low"),
         F.max("score").alias("high"),
         F.sum(F.col("is_clean") + F.col("is_toxic")).alias("n"),
         F.sum("is_toxic").alias("toxic"),
-    ).collect()
+    )
+    # At most 2 * FARTHEST * BINS + 1 rows for each language, so for all rare ones together.
+    common = F.sum("n").over(Window.partitionBy("lang")) >= MIN_PER_LANGUAGE
+    bins = bins.withColumn("lang", F.when(common, F.col("lang"))).groupBy("lang", "bin")
+    return bins.agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"), F.sum("toxic").alias("toxic")).collect()
 
 
 def train(docs: DataFrame, labels: DataFrame) -> TextCNN | None:
@@ -316,11 +320,10 @@ def score_column(
 
 def threshold(language, model: TextCNN | None):
     """The calibrated threshold of a language column."""
-    known = {k: v for k, v in (model.languages if model else {}).items() if k is not None}
-    value = F.lit(0.5)
-    for name, cut in sorted(known.items()):
-        value = F.when(language == name, cut).otherwise(value)
-    return value
+    known = sorted(model.languages.items()) if model else []
+    if not known:
+        return F.lit(0.5)
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in known for x in pair]), language), F.lit(0.5))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, model: TextCNN | None = None) -> DataFrame:

@@ -80,3 +80,20 @@ def test_thresholds_are_set_on_all_labelled_rows(spark, documents, monkeypatch):
     f1 = lambda cut: 2 * y[score >= cut].sum() / ((score >= cut).sum() + y.sum())
     assert f1(0.5) > max(f1(cut) for cut in score) - 0.01
     assert sum(r.n for r in tox.score_bins(documents(rows), spark.createDataFrame(known, "doc_id bigint, toxic int"), model, [tox.CALIBRATION])) == len(fold)
+
+
+def test_a_small_language_of_a_large_table_has_its_threshold(spark, documents, monkeypatch):
+    """Its labelled rows count in the table, not in the sample that is fitted."""
+    monkeypatch.setattr(tox, "MAX_LABELLED", 60)
+    rows, known = noisy(4000, rate=0.3, small=20)
+    rows += [(i, "w1 w2", None) for i in range(5000, 5200)] + [(6000, "w1", "rare")]
+    known += [(i, i % 2) for i in range(5000, 5200)] + [(6000, 1)]
+    model = tox.train(documents(rows), spark.createDataFrame(known, "doc_id bigint, toxic int"))
+    assert set(model.languages) == {"en", "xx"}
+    fold = [i for i, _ in known if i % 20 == 0 and i < 4000 and zlib.crc32(str(i).encode()) % 5 == tox.CALIBRATION]
+    score, y = model.scores([rows[i][1].encode() for i in fold]), np.array([known[i][1] for i in fold])
+    f1 = lambda cut: 2 * y[score >= cut].sum() / ((score >= cut).sum() + y.sum())
+    assert len(fold) >= tox.MIN_PER_LANGUAGE and f1(model.languages["xx"]) > max(f1(cut) for cut in score) - 0.05
+    of = lambda lang: tox.threshold(tox.F.lit(lang), model)
+    got = spark.range(1).select(*[of(x).alias(str(x)) for x in ("xx", "rare", None)]).first()
+    assert tuple(got) == (pytest.approx(model.languages["xx"]), 0.5, 0.5)
