@@ -13,10 +13,15 @@ be given instead; it is fitted on at most ``MAX_LABELLED`` rows, chosen by hash.
 The dictionary is the ordinary words of ``ORDINARY``; the model is a broadcast
 of fixed size. Texts are mapped without a shuffle.
 
+Candidates are taken whole, however long. A private key goes up to its END line
+and may have header lines; without that line it goes as far as key text does.
+
 Defined cases: a null or empty text has no candidate and gives no row; so does
-an empty table. A candidate that lies in another of an earlier pattern is
-counted once, under the earlier one. Null paths and identifiers are allowed.
-Repeated rows give repeated findings. Columns may have any name.
+an empty table. A value or mixed string that lies in an assigned value is counted
+once, with that value; a key of a known form inside a longer value or mixed
+string, or an assignment whose name ends such a string, has a row of its own.
+Null paths and identifiers are allowed. Repeated rows give repeated findings.
+Columns may have any name.
 """
 
 from __future__ import annotations
@@ -45,20 +50,28 @@ MAX_LABELLED = 20_000
 AROUND = 60
 
 # Forms of published key formats.
+_KEY_TEXT = r"Proc-Type:\s*+\d,[A-Z-]++|DEK-Info:\s*+[A-Z0-9-]++,[0-9A-Fa-f]++|\\++[nr]|\s|[A-Za-z0-9+/=]++"
+_HEADER_LINE = r"(?:\n|\\++n)[ \t]*+[A-Za-z][A-Za-z0-9-]*+:[^\n\\]*+"
 FORMS = (
-    ("private_key", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END (?:[A-Z]+ )*PRIVATE KEY-----)?"),
+    (
+        "private_key",
+        r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"
+        rf"(?:(?:{_HEADER_LINE}|{_KEY_TEXT})*+-----END (?:[A-Z]+ )*PRIVATE KEY-----|(?:{_KEY_TEXT})*+)",
+    ),
     ("cloud_key", r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[0-9A-Z]{16}(?![A-Za-z0-9])"),
     ("forge_token", r"(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])"),
     ("chat_token", r"(?<![A-Za-z0-9])xox[abprs]-[A-Za-z0-9-]{10,}"),
     ("web_token", r"(?<![A-Za-z0-9])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
     (
         "assigned",
-        r"(?i:passw(?:or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential)s?[\"']?\s{0,3}[:=]\s{0,3}[\"']?"
-        r"(?P<value>[^\s\"',;<>]{6,200})",
+        r"(?i:passw(?:or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|credential)s?[\"']?\s*+[:=]\s*+[\"']?"
+        r"(?P<value>[^\s\"',;<>]{6,}+)",
     ),
-    ("mixed", r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,40}[0-9])(?=[0-9+/_-]{0,40}[A-Za-z])[A-Za-z0-9+/_-]{20,200}={0,2}"),
+    ("mixed", r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"),
 )
 SEARCH = re.compile("|".join(f"(?P<{name}>{form})" for name, form in FORMS))
+KNOWN = re.compile("|".join(f"(?P<{name}>{form})" for name, form in FORMS if name not in ("assigned", "mixed")))
+DIGIT, LETTER = re.compile("[0-9]"), re.compile("[A-Za-z]")
 KINDS = [name for name, _ in FORMS]
 
 TELLING = ("password", "passwd", "pwd", "secret", "token", "key", "api", "auth", "credential", "login", "bearer", "private")
@@ -136,10 +149,22 @@ def features(kind: str, value: str, before: str, after: str, path: str) -> list[
 
 def candidates(text: str) -> Iterator[tuple[str, int, str]]:
     """(kind, start, value) of each candidate, left to right."""
-    for found in SEARCH.finditer(text):
+    at = 0
+    while found := SEARCH.search(text, at):
+        at = found.end()
         kind = found.lastgroup if found.lastgroup != "value" else "assigned"
-        group = "value" if kind == "assigned" else 0
-        yield kind, found.start(group), found[group]
+        if kind == "assigned":
+            start, end = found.span("value")
+            yield kind, start, found["value"]
+            for inner in KNOWN.finditer(text, start + 1, end):
+                yield inner.lastgroup, inner.start(), inner[0]
+        elif kind == "mixed":
+            if DIGIT.search(found[0]) and LETTER.search(found[0]):
+                yield kind, found.start(), found[0]
+            # No second mixed string starts in the run, but other forms may.
+            at = found.start() + 1
+        else:
+            yield kind, found.start(), found[0]
 
 
 def labelled_findings(n: int = 6000, seed: int = 3) -> list[tuple[str, str, int]]:
