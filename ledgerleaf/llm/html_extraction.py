@@ -32,6 +32,7 @@ import functools
 import html
 import random
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -224,10 +225,11 @@ def node_features(page: Page) -> np.ndarray:
             if tag in rank:
                 above[i, rank[tag]] = 1
         mine = children[i]
+        same = Counter(page.tag[c] for c in mine)
         for k, c in enumerate(mine):
             place[c] = k / max(1, len(mine) - 1)
             fellows[c] = len(mine)
-            alike[c] = sum(page.tag[x] == page.tag[c] for x in mine) / len(mine) if len(mine) < 200 else 1.0
+            alike[c] = same[page.tag[c]] / len(mine)
             elder[c] = chars[mine[k - 1]] if k else 0
             younger[c] = chars[mine[k + 1]] if k + 1 < len(mine) else 0
     kinds = np.zeros((n, len(TAGS)))
@@ -262,7 +264,7 @@ def node_features(page: Page) -> np.ndarray:
         np.array(bad, float),
         np.array(good_above, float),
         np.array(bad_above, float),
-        np.array([float("©" in t[:40] or "(c)" in t[:40].lower()) for t in page.text]),
+        np.array([float("©" in t or "(c)" in t.lower()) for t in page.text]),
     ]
     return np.column_stack([*rows, kinds, above])
 

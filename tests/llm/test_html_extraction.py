@@ -87,3 +87,16 @@ def test_table(spark, model):
     got = dom.extract_column(pages, ["page_id", "url"], model=model).collect()
     assert sorted((r.page_id, r.text, r.n_chars) for r in got) == [(1, "", 0), (2, "Words of the page.", 18), (2, "Words of the page.", 18)]
     assert dom.extract_column(pages.limit(0), ["page_id"], model=model).count() == 0
+
+
+@pytest.mark.parametrize("n", [5, 198, 199, 200, 3000])
+def test_share_of_equal_siblings_at_every_size(n):
+    page = dom.parse("<article><h1>Title</h1>" + "<p>Words here.</p>" * n + "</article>")
+    alike = dom.node_features(page)[:, 14]
+    assert alike[page.tag.index("h1")] == pytest.approx(1 / (n + 1)) and alike[page.tag.index("p")] == pytest.approx(n / (n + 1))
+
+
+def test_copyright_mark_anywhere_in_a_leaf():
+    for mark in ("©", "(C)"):
+        page = dom.parse(f"<footer>{'many words come first ' * 5}{mark} somebody</footer><p>none</p>")
+        assert dom.node_features(page)[:, 21].tolist() == [float(mark.lower() in t.lower()) for t in page.text]
