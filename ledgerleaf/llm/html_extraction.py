@@ -15,7 +15,9 @@ There are no labelled pages, so the trees are trained on pages that
 class names. The number of such pages is ``TRAINING_PAGES``; the model is a
 broadcast of fixed size. Pages are mapped without a shuffle.
 
-Scripts, styles, form controls and the head are no text whatever the trees say.
+Scripts, styles, templates, form controls and the head are no text whatever the
+trees say. Formulas, text in drawings and what stands in for objects and scripts
+are running text like that of any inline tag.
 Character references are decoded once, white space inside a block (a line break
 too) becomes one space, blocks are joined by a line feed.
 
@@ -56,14 +58,14 @@ PIECES = re.compile(r"[a-z]+")
 SENTENCE = re.compile(r"[.!?…:;,](?:\s|$)")
 
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
-SILENT = frozenset("head script style title textarea noscript template button select option label input svg math object iframe".split())
+SILENT = frozenset("head script style title textarea template button select option label input iframe".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "html head body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption pre"
     " blockquote figure figcaption nav header footer aside form fieldset address details summary center hgroup dialog menu hr"
-    " noscript template button select option label svg math object".split()
+    " template button select option label".split()
 )
-KEEPS_P = frozenset("button select option label svg math object noscript template".split())
+KEEPS_P = frozenset("button select option label template".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 WITHIN = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
 
@@ -168,7 +170,7 @@ def parse(source: str) -> Page:
         elif tag in BLOCK and tag != "html":
             flush()
             if tag not in KEEPS_P:
-                close({"p"}, {"td", "th", "table", "button", "object"})
+                close({"p"}, {"td", "th", "table", "button"})
             if tag in CLOSES:
                 close(CLOSES[tag], WITHIN[tag])
             if tag == "body" and any(page.tag[n] == "head" for n in stack):

@@ -100,3 +100,17 @@ def test_copyright_mark_anywhere_in_a_leaf():
     for mark in ("©", "(C)"):
         page = dom.parse(f"<footer>{'many words come first ' * 5}{mark} somebody</footer><p>none</p>")
         assert dom.node_features(page)[:, 21].tolist() == [float(mark.lower() in t.lower()) for t in page.text]
+
+
+@pytest.mark.parametrize(
+    "source,text",
+    [
+        ("<article><p>Energy is E = <math><mi>m</mi><msup>c</msup></math> holds here.</p></article>", "Energy is E = mc holds here."),
+        ("<article><p>The drawing <svg><title>no</title><text>of a cat</text></svg> stands here.</p></article>", "The drawing of a cat stands here."),
+        ("<article><p>The film <object data=x><param name=y>in other words</object> stands here.</p></article>", "The film in other words stands here."),
+        ("<article><p>Words of this page.</p><noscript><p>More words of this page.</p></noscript></article>", "Words of this page.\nMore words of this page."),
+        ("<head><noscript>gone</noscript></head><body><article><p>Words of this page.</p><template>gone</template></article>", "Words of this page."),
+    ],
+)
+def test_formulas_drawings_and_fallbacks_are_text(model, source, text):
+    assert dom.extract([source], model) == [text]
