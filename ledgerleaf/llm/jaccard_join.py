@@ -402,17 +402,24 @@ def jaccard_records(docs: DataFrame, text: str = "text", row_id: str = "doc_id",
     )
 
 
+def _mark(docs: DataFrame, text: str, row_id: str):
+    """Identifier and text hash: by both, a class fetches its own text only,
+    however many rows share an identifier or have none."""
+    ident = docs[f"`{row_id}`"]
+    return F.struct(ident.isNull().alias("late"), ident.alias("id"), F.xxhash64(docs[f"`{text}`"]).alias("text_hash"))
+
+
 def jaccard_components(docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
     """One row per document: id, n_shingles, component_id."""
-    made = jaccard_records(docs, text, row_id)
-    return made.select(F.col("id").alias(row_id), F.col("n").alias("n_shingles"), F.col("least_id").alias("component_id"))
+    slim = docs.select(_mark(docs, text, row_id).alias("mark"), docs[f"`{text}`"].alias("content"))
+    made = jaccard_records(slim, "content", "mark")
+    return made.select(F.col("id.id").alias(row_id), F.col("n").alias("n_shingles"), F.col("least_id.id").alias("component_id"))
 
 
 def drop_near_copies(docs: DataFrame, text: str = "text", row_id: str = "doc_id") -> DataFrame:
     """One document of each component, the one with the smallest identifier,
     with all its columns. Documents without words all stay."""
-    ident = docs[f"`{row_id}`"]
-    mark = F.struct(ident.isNull().alias("late"), ident.alias("id"), F.xxhash64(docs[f"`{text}`"]).alias("text_hash"))
+    mark = _mark(docs, text, row_id)
     slim = docs.select(mark.alias("mark"), docs[f"`{text}`"].alias("content"))
     made = jaccard_records(slim, "content", "mark")
     lost = made.filter("rec != least_rec").select(F.col("id").alias("mark"))

@@ -144,3 +144,14 @@ def test_components_of_chains_and_stars(spark):
     got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()))
     assert {got[i] for i in range(41)} == {0} and {got[i] for i in range(100, 160)} == {100}
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+@pytest.mark.parametrize("ident", [None, 7])
+def test_a_shared_identifier_fetches_each_text_once(documents, monkeypatch, ident):
+    words = [f"w{k}" for k in range(60)]
+    rows = [(ident, " ".join([*words, f"end{i}"])) for i in range(25)]
+    fetched, linked = [], join._linked
+    monkeypatch.setattr(join, "_linked", lambda dealt: fetched.append(dealt.count()) or linked(dealt))
+    got = join.jaccard_components(documents(rows)).collect()
+    assert [(r.doc_id, r.component_id) for r in got] == [(ident, ident)] * 25
+    assert fetched == [25]
