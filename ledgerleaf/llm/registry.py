@@ -20,6 +20,7 @@ MODULES = (
     "source_mixing",
     "jaccard_join",
     "byte_bpe",
+    "lexical_search",
 )
 
 _queries: dict[str, Query] = {}
