@@ -21,6 +21,7 @@ MODULES = (
     "jaccard_join",
     "byte_bpe",
     "lexical_search",
+    "rule_ensemble",
 )
 
 _queries: dict[str, Query] = {}
