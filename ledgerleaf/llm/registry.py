@@ -22,6 +22,7 @@ MODULES = (
     "byte_bpe",
     "lexical_search",
     "rule_ensemble",
+    "conversation_trie",
 )
 
 _queries: dict[str, Query] = {}
