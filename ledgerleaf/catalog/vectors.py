@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from ledgerleaf.catalog.registry import query, table
 from ledgerleaf.functions import arrays
 from ledgerleaf.operators import matrix
+from ledgerleaf.scratch import materialize
 
 
 def _vectors(spark, sf_dir):
@@ -88,6 +89,26 @@ def mat_multiply(spark, sf_dir):
     return product.withColumn("value", F.round("value", 8))
 
 
+@query(
+    "mat_multiply_blocks",
+    _V_SQL
+    + """, cells AS (SELECT vec_id, unnest(generate_series(1, len(v))) AS j, unnest(v) AS x FROM e),
+      pairs AS (SELECT label, unnest(generate_series(1, len(v))) AS i, v FROM e),
+      gram AS (SELECT i, unnest(generate_series(1, len(v))) AS j, unnest(list_transform(v, lambda x: x * v[i])) AS x FROM pairs),
+      b AS (SELECT i, j, sum(x) AS x FROM gram GROUP BY 1, 2)
+      SELECT a.vec_id, CAST(b.i - 1 AS BIGINT) AS i, round(sum(a.x * b.x), 5) AS value
+      FROM cells a JOIN b ON a.j = b.j GROUP BY 1, 2""",
+)
+def mat_multiply_blocks(spark, sf_dir):
+    """All embeddings times the sums of products of their columns, a right
+    matrix of many blocks: none of either matrix is broadcast."""
+    rows = _vectors(spark, sf_dir)
+    width = rows.agg(F.max(F.size("v"))).first()[0]
+    square = materialize(matrix.gram(rows, "v", width), "gram")
+    product = matrix.multiply(rows, square, row="vec_id", column="i", vector="v", held_cells=0, inner=24, columns=16)
+    return product.withColumn("value", F.round("value", 5))
+
+
 @query("mat_column", _V_SQL + "SELECT vec_id, v[2] * 5.0 AS value FROM e")
 def mat_column(spark, sf_dir):
     return matrix.column_of(_vectors(spark, sf_dir), "vec_id", "v", position=1, factor=5.0)

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerleaf.operators import aggregates, columns, joins, matrix, sets, words
+from ledgerleaf.operators import aggregates, columns, joins, sets, words
 
 
 @pytest.fixture(scope="module")
@@ -149,18 +149,6 @@ def test_column_tools(spark):
     assert columns.stacked_by_task({"m1": df, "m2": df}).filter("task = 'm2'").count() == 1
 
 
-@pytest.mark.parametrize("cells", [10_000, 6, 2])
-def test_matrix_product_in_blocks(spark, cells):
-    left = [(i, [float(i), 1.0]) for i in range(5)]
-    right = [(k, [2.0, float(k)]) for k in range(7)]
-    got = matrix.multiply(
-        spark.createDataFrame(left, "i int, v array<double>"),
-        spark.createDataFrame(right, "k int, v array<double>"),
-        row="i", column="k", vector="v", block_cells=cells,
-    )
-    assert sorted(map(tuple, got.collect())) == sorted((i, k, 2.0 * i + k) for i, _ in left for k, _ in right)
-
-
 def test_stop_list_of_any_length(spark, rows):
     lines = [(1, "a|b|c1|a|d"), (2, "b"), (3, ""), (4, None), (5, "d||a|"), (1, "c|d"), (1, "c|d"), (None, "a|d")]
     texts = spark.createDataFrame(lines, "id int, t string")
