@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions.numbers import at_least, round_half_up
-from ledgerleaf.operators.ordered import numbered, running
+from ledgerleaf.operators.ordered import numbered, running, with_preceding
 
 # Digits kept for KS thresholds, ROC thresholds and ROC points.
 KS_SCALE = 2
@@ -195,7 +195,7 @@ def area_under_points(points: DataFrame, x: str, y: str, gridded: bool = False)
 
     ``gridded`` says that the points rise in both directions on a rounded
     grid, so that there are few of them and one task can walk along. Otherwise
-    neighbours meet by an equi-join on their position.
+    they are dealt by ranges, and each part is handed the point before its first.
     """
     if gridded:
         order = Window.orderBy(x, y)
@@ -206,9 +206,9 @@ def area_under_points(points: DataFrame, x: str, y: str, gridded: bool = False)
             F.lag(y, 1, 0.0).over(order).alias("by"),
         )
     else:
-        placed = numbered(points.select(F.col(x).alias("x"), F.col(y).alias("y")), ["x", "y"], name="_at")
-        before = placed.select((F.col("_at") + 1).alias("_at"), F.col("x").alias("bx"), F.col("y").alias("by"))
-        steps = placed.join(before, "_at", "left").na.fill(0.0, ["bx", "by"])
+        placed = with_preceding(points.select(F.col(x).alias("x"), F.col(y).alias("y")), ["x", "y"], "_before")
+        from_zero = lambda name: F.coalesce(F.col(f"_before.{name}"), F.lit(0.0)).alias(f"b{name}")
+        steps = placed.select("x", "y", from_zero("x"), from_zero("y"))
     area = F.sum(_trapezoid(F.col("x"), F.col("y"), F.col("bx"), F.col("by")))
     end = F.max(F.struct("x", "y"))
     return steps.agg(area.alias("_area"), end.alias("_end")).select(

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerleaf.operators.ordered import numbered, running
+from ledgerleaf.operators.ordered import numbered, running, with_preceding
 
 
 @pytest.fixture(scope="module")
@@ -39,3 +39,32 @@ def test_position_is_dense(skewed):
 
 def test_empty_table(skewed):
     assert numbered(skewed.filter("x < 0"), ["o"]).count() == 0
+
+
+@pytest.mark.parametrize("parts", [1, 4, 60])
+@pytest.mark.parametrize("order", ["asc", "asc_nulls_last", "desc", "desc_nulls_first"])
+def test_every_order_and_missing_values(spark, rows, order, parts):
+    """Text, times and numbers, falling and rising, with nulls at either end."""
+    n = F.col("id")
+    df = spark.range(800).select(
+        F.when(n % 9 == 1, F.lit(None)).otherwise(F.concat(F.lit("t"), n % 7)).alias("t"),
+        F.when(n % 13 == 2, F.lit(None)).otherwise(F.timestamp_seconds(n % 5 * 100_000)).alias("at"),
+        (n * 31 % 801).cast("double").alias("d"),
+    )
+    by = [getattr(F.col("t"), order)(), getattr(F.col("at"), order)(), getattr(F.col("d"), order)()]
+    want = df.select("*", F.row_number().over(Window.orderBy(*by)).cast("bigint").alias("n"))
+    assert rows(numbered(df, by, name="n", parts=parts)) == rows(want)
+
+
+def test_only_named_columns_order(spark):
+    with pytest.raises(ValueError):
+        numbered(spark.range(3), [(F.col("id") * 2).desc()])
+
+
+@pytest.mark.parametrize("parts", [1, 2, 30])
+def test_the_row_before_is_handed_over(skewed, rows, parts):
+    df = skewed.select("g", "o")
+    w = Window.orderBy(F.col("g").asc_nulls_first(), "o")
+    want = df.select("g", "o", F.lag(F.struct("g", "o")).over(w).alias("b"))
+    assert rows(with_preceding(df, ["g", "o"], "b", parts=parts)) == rows(want)
+    assert with_preceding(df.filter("o < 0"), ["g", "o"], "b", parts=parts).count() == 0

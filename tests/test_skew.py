@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerleaf.operators import aggregates, evaluate, joins, sets
+from ledgerleaf.operators import ordered
 from ledgerleaf.operators.ordered import numbered
 
 SMALL = {
@@ -109,6 +110,21 @@ def test_ordered_operators_have_no_single_task_window_over_rows(facts, spark):
     assert placed.agg(F.max("line_no")).first()[0] == 60000
 
 
+def test_ordered_operators_move_rows_once(facts, monkeypatch):
+    """One exchange of raw rows each; all others carry part or group totals."""
+    monkeypatch.setattr(ordered, "ROWS_PER_PART", 5000)
+    scored = facts.select((F.col("id") / 60000).alias("score"), (F.col("id") % 2).cast("double").alias("label"), "k", "id")
+    made = {
+        "numbered": numbered(scored, ["k", "id"]),
+        "auc": evaluate.score_steps(scored),
+        "dcg": evaluate.dcg(scored, "k", "label", [F.desc("score")]),
+        "area": evaluate.area_under_points(scored.select("score", "label"), "score", "label"),
+    }
+    for name, df in made.items():
+        moved = shuffled_rows(df)
+        assert len([n for n in moved if n >= 60000]) == 1, (name, moved)
+
+
 def test_exact_area_over_many_scores(spark):
     """Every score distinct, positives on top."""
     df = spark.range(50000).select((F.col("id") / 50000).alias("score"), (F.col("id") >= 40000).cast("double").alias("label"))
