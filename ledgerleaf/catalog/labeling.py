@@ -187,13 +187,9 @@ def dictionary_sql(order, limit=None):
       SELECT f.key, f.fieldType, f.fieldName, r.label, r.number FROM fields f LEFT JOIN ranks r ON f.fieldName = r.field"""
 
 
-def _long(fitted):
-    return fitted.select("key", "fieldType", "fieldName", F.explode_outer("fieldMap").alias("label", "number"))
-
-
 @query("feat_dictionary", dictionary_sql("count(*) DESC, {c}"))
 def feat_dictionary(spark, sf_dir):
-    return _long(dictionary.fit_dictionary(parts_to_encode(spark, sf_dir), ignore=["p_partkey", "target"]))
+    return dictionary.fit_dictionary(parts_to_encode(spark, sf_dir), ignore=["p_partkey", "target"])
 
 
 # Fewer than the labels of p_brand and p_name.
@@ -204,12 +200,14 @@ _SHORT = 20
 def feat_dictionary_top(spark, sf_dir):
     """The most frequent labels only; the usual limit is ``TOP_LABELS``."""
     parts = parts_to_encode(spark, sf_dir)
-    return _long(dictionary.fit_dictionary(parts, ignore=["p_partkey", "target"], limit=_SHORT))
+    fitted = dictionary.fit_dictionary(parts, ignore=["p_partkey", "target"], limit=_SHORT)
+    maps = dictionary.label_maps(fitted)
+    return maps.select("key", "fieldType", "fieldName", F.explode_outer("fieldMap").alias("label", "number"))
 
 
 @query("feat_dictionary_distinct", dictionary_sql("{c}"))
 def feat_dictionary_distinct(spark, sf_dir):
-    return _long(dictionary.fit_dictionary(parts_to_encode(spark, sf_dir), ignore=["p_partkey", "target"], by="value"))
+    return dictionary.fit_dictionary(parts_to_encode(spark, sf_dir), ignore=["p_partkey", "target"], by="value")
 
 
 def _encode_sql(source, values):

@@ -1,5 +1,10 @@
 """The field dictionary: how each column of a training table becomes a number,
-kept as a table so that prediction data is encoded the same way."""
+kept as a long table, so that prediction data is encoded the same way.
+
+There is one row per field and label (key, fieldType, fieldName, label, number);
+a field without labels has one row whose label is null. No row or task holds all
+labels of a field, so a field may have any number of them.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerleaf.functions.times import epoch_seconds
+from ledgerleaf.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, join_unique
 from ledgerleaf.operators.ordered import numbered
 from ledgerleaf.scratch import materialize
 
@@ -25,7 +31,8 @@ SCHEMA = T.StructType(
         T.StructField("key", T.IntegerType()),
         T.StructField("fieldType", T.StringType()),
         T.StructField("fieldName", T.StringType()),
-        T.StructField("fieldMap", T.MapType(T.StringType(), T.IntegerType())),
+        T.StructField("label", T.StringType()),
+        T.StructField("number", T.IntegerType()),
     ]
 )
 
@@ -70,7 +77,7 @@ def rank_labels(df: DataFrame, columns: Sequence[str], limit: int | None = None,
 def fit_dictionary(
     df: DataFrame, ignore: Sequence[str] = (), limit: int | None = None, by: str = "frequency"
 ) -> DataFrame:
-    """The dictionary of a table: one row per column.
+    """The dictionary of a table, fitted once and kept in the shared folder.
 
     Columns in ``ignore`` (key and label) are passed through unchanged. All
     labels are kept unless a ``limit`` (``TOP_LABELS``) is given.
@@ -79,30 +86,38 @@ def fit_dictionary(
     entries = [(0, NO_TYPE, name) for name in ignore]
     entries += [(i, field_type(field.dataType), field.name) for i, field in enumerate(fields, start=1)]
     listed = df.sparkSession.createDataFrame(entries, "key int, fieldType string, fieldName string")
-    empty = F.create_map().cast("map<string,int>")
-    texts = [field.name for field in fields if field_type(field.dataType) == STRING_TYPE]
+    texts = [name for _, kind, name in entries if kind == STRING_TYPE]
+    unlabelled = listed.withColumns({"label": F.lit(None).cast("string"), "number": F.lit(None).cast("int")})
     if not texts:
-        return listed.withColumn("fieldMap", empty)
-    pairs = F.sort_array(F.collect_list(F.struct("number", "label")))
-    maps = (
-        rank_labels(df, texts, limit, by)
-        .groupBy("fieldName")
-        .agg(F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["label"], p["number"]))).alias("fieldMap"))
-    )
-    return listed.join(maps, "fieldName", "left").select(
-        "key", "fieldType", "fieldName", F.coalesce("fieldMap", empty).alias("fieldMap")
-    )
+        return unlabelled
+    labels = materialize(rank_labels(df, texts, limit, by), "labels")
+    # One row per column of the table.
+    labelled = labels.join(F.broadcast(listed), "fieldName").select(*SCHEMA.fieldNames())
+    with_labels = [r.fieldName for r in labels.select("fieldName").distinct().collect()]
+    return labelled.unionByName(unlabelled.filter(~F.col("fieldName").isin(with_labels)))
+
+
+def label_maps(dictionary: DataFrame) -> DataFrame:
+    """(key, fieldType, fieldName, fieldMap): one row per field, for
+    dictionaries fitted with a limit; others fail beyond ``BROADCAST_ROWS``
+    labels of a field."""
+    pairs = F.sort_array(F.collect_list(F.when(F.col("label").isNotNull(), F.struct("number", "label"))))
+    most = dictionary.groupBy("fieldName").agg(F.count("label").alias("n")).agg(F.max("n")).first()[0]
+    if most and most > BROADCAST_ROWS:
+        raise ValueError(f"a field has {most} labels: fit the dictionary with a limit")
+    maps = F.map_from_entries(F.transform(pairs, lambda p: F.struct(p["label"], p["number"])))
+    return dictionary.groupBy("key", "fieldType", "fieldName").agg(maps.alias("fieldMap"))
 
 
 def dictionary_lines(dictionary: DataFrame) -> DataFrame:
-    """One JSON object per field, in the column ``value``."""
-    return dictionary.select(F.to_json(F.struct(*[field.name for field in SCHEMA.fields])).alias("value"))
+    """One JSON object per field and label, in the column ``value``."""
+    return dictionary.select(F.to_json(F.struct(*SCHEMA.fieldNames())).alias("value"))
 
 
 def dictionary_fields(dictionary: DataFrame) -> list[Row]:
     """Keys, types and names of the fields on the driver: one row per column of
     the encoded table; labels stay where they are."""
-    rows = dictionary.select("key", "fieldType", "fieldName").collect()
+    rows = dictionary.select("key", "fieldType", "fieldName").distinct().collect()
     return sorted(rows, key=lambda row: (row["key"] != 0, row["key"]))
 
 
@@ -118,25 +133,63 @@ def _encoded(row: Row, number: str) -> Column:
     return value.try_cast("double")
 
 
-def encode(df: DataFrame, dictionary: DataFrame, fill: bool = False) -> DataFrame:
+def _of_field(labels: DataFrame, name: str, i: int) -> DataFrame:
+    own = labels.filter(F.col("fieldName") == name)
+    return own.select(F.col("label").alias(f"_label{i}"), F.col("number").alias(f"_number{i}"))
+
+
+def _by_cells(df: DataFrame, labels: DataFrame, wanted: dict[int, str]) -> DataFrame:
+    """Numbers of several large fields at once: the fields' cells are unpivoted
+    under a row number, joined with all labels in one join, grouped by row and
+    joined back. Only cells move in the first two; a label that most rows have
+    can be split."""
+    rows = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "rows-to-encode")
+    cells = F.explode(F.array(*[F.struct(F.lit(name).alias("field"), F.col(f"`{name}`").alias("text")) for name in wanted.values()]))
+    long = rows.select("_row", cells.alias("cell")).select("_row", F.struct("cell.field", "cell.text").alias("cell"))
+    known = labels.select(F.struct(F.col("fieldName").alias("field"), F.col("label").alias("text")).alias("cell"), "number")
+    found = join_unique(long.filter("cell.text is not null"), known, "cell", "inner")
+    numbers = found.groupBy("_row").agg(
+        *[F.max(F.when(F.col("cell.field") == name, F.col("number"))).alias(f"_number{i}") for i, name in wanted.items()]
+    )
+    return rows.join(numbers, "_row", "left").drop("_row")
+
+
+def with_numbers(df: DataFrame, labels: DataFrame, wanted: dict[int, str], small_rows: int = BROADCAST_ROWS, small_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with the number of each wanted field's label as ``_number<i>``.
+
+    Labels are measured per field. Fields with few are joined by broadcast, so
+    the rows stay where they are; one large field is joined by its text, several
+    are joined together as cells.
+    """
+    found = labels.filter(F.col("fieldName").isin(list(wanted.values()))).groupBy("fieldName")
+    sizes = {r.fieldName: (r.n, r.size) for r in found.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("label")).alias("size")).collect()}
+    left_rows, left_bytes, large = small_rows, small_bytes, {}
+    for i, name in sorted(wanted.items(), key=lambda item: sizes.get(item[1], (0, 0))):
+        n, size = sizes.get(name, (0, 0))
+        if n > left_rows or size > left_bytes:
+            large[i] = name
+            continue
+        left_rows, left_bytes = left_rows - n, left_bytes - size
+        df = df.join(F.broadcast(_of_field(labels, name, i)), F.col(f"`{name}`") == F.col(f"_label{i}"), "left").drop(f"_label{i}")
+    if len(large) > 1:
+        return _by_cells(df, labels, large)
+    for i, name in large.items():
+        own = _of_field(labels, name, i)
+        df = df.join(own, F.col(f"`{name}`").eqNullSafe(F.col(f"_label{i}")), "left").drop(f"_label{i}")
+    return df
+
+
+def encode(df: DataFrame, dictionary: DataFrame, fill: bool = False, **limits: int) -> DataFrame:
     """Columns turned into numbers, passed-through columns first.
 
     Only the dictionary's columns remain, in its order. ``fill`` sets missing
-    numbers to 0. The dictionary is fitted once and kept in the shared folder;
-    labels are joined, so a field may have any number of them.
+    numbers to 0. ``limits`` go to :func:`with_numbers`.
     """
-    stored = materialize(dictionary, "dictionary")
-    rows = dictionary_fields(stored)
-    labels = stored.select("fieldName", F.explode("fieldMap").alias("_label", "_number"))
-    numbered_rows = df
-    for i, row in enumerate(rows):
-        if row["fieldType"] == STRING_TYPE:
-            own = labels.filter(F.col("fieldName") == row["fieldName"]).select(
-                F.col("_label").alias(f"_label{i}"), F.col("_number").alias(f"_number{i}")
-            )
-            same = F.col(f"`{row['fieldName']}`") == F.col(f"_label{i}")
-            numbered_rows = numbered_rows.join(own, same, "left")
-    encoded = numbered_rows.select(*[_encoded(row, f"_number{i}").alias(row["fieldName"]) for i, row in enumerate(rows)])
+    rows = dictionary_fields(dictionary)
+    wanted = {i: row["fieldName"] for i, row in enumerate(rows) if row["fieldType"] == STRING_TYPE}
+    labels = dictionary.filter(F.col("label").isNotNull())
+    ready = with_numbers(df, labels, wanted, **limits) if wanted else df
+    encoded = ready.select(*[_encoded(row, f"_number{i}").alias(row["fieldName"]) for i, row in enumerate(rows)])
     if not fill:
         return encoded
     return encoded.na.fill(0.0, [row["fieldName"] for row in rows if row["fieldType"] != NO_TYPE])

@@ -8,14 +8,13 @@ from ledgerleaf.operators.clean import fill_zero
 from ledgerleaf.operators.dictionary import dictionary_lines, encode, fit_dictionary
 from ledgerleaf.operators.features import libsvm_table
 from ledgerleaf.operators.joins import join_tables
-from ledgerleaf.scratch import materialize
 from ledgerleaf.sinks.files import write_libsvm, write_text
 
 
 def fit(data: DataFrame, key: str, label: str) -> DataFrame:
     """The stored dictionary of a training table, fitted after its missing
     values are filled."""
-    return materialize(fit_dictionary(fill_zero(data), ignore=[key, label]), "dictionary")
+    return fit_dictionary(fill_zero(data), ignore=[key, label])
 
 
 def convert(
@@ -44,5 +43,5 @@ def export(data: DataFrame, path: str, key: str, label: str, dictionary: DataFra
     lines, used = convert(data, key, label, dictionary)
     write_libsvm(lines, path, key, data.columns)
     if dictionary is None:
-        write_text(dictionary_lines(used), f"{path}.obj", one_file=True)
+        write_text(dictionary_lines(used), f"{path}.obj")
     return used

@@ -111,17 +111,56 @@ def training(spark):
 
 
 def test_dictionary(training):
-    fitted = sorted(dictionary.fit_dictionary(training, ignore=["id", "y"]).collect(), key=lambda r: (r.key, r.fieldName))
-    assert [(r.key, r.fieldType, r.fieldName, r.fieldMap) for r in fitted] == [
-        (0, "NONE", "id", {}),
-        (0, "NONE", "y", {}),
-        (1, "STRING", "t", {"b": 1, "a": 2, "c": 3}),
-        (2, "DOUBLE", "n", {}),
-        (3, "DOUBLE", "x", {}),
-        (4, "DATE", "at", {}),
+    fitted = dictionary.fit_dictionary(training, ignore=["id", "y"])
+    assert fitted.schema == dictionary.SCHEMA
+    assert sorted(map(tuple, fitted.collect()), key=lambda r: (r[0], r[2], r[4] or 0)) == [
+        (0, "NONE", "id", None, None),
+        (0, "NONE", "y", None, None),
+        (1, "STRING", "t", "b", 1),
+        (1, "STRING", "t", "a", 2),
+        (1, "STRING", "t", "c", 3),
+        (2, "DOUBLE", "n", None, None),
+        (3, "DOUBLE", "x", None, None),
+        (4, "DATE", "at", None, None),
     ]
     short = dictionary.fit_dictionary(training, ignore=["id", "y"], limit=1)
-    assert {r.fieldName: r.fieldMap for r in short.collect()}["t"] == {"b": 1}
+    maps = {r.fieldName: r.fieldMap for r in dictionary.label_maps(short).collect()}
+    assert maps == {"id": {}, "y": {}, "t": {"b": 1}, "n": {}, "x": {}, "at": {}}
+
+
+def test_a_text_field_without_labels(spark):
+    df = spark.createDataFrame([(1, None, "a")], "id int, t string, u string")
+    fitted = dictionary.fit_dictionary(df, ignore=["id"])
+    assert {(r.fieldName, r.label) for r in fitted.collect()} == {("id", None), ("t", None), ("u", "a")}
+    assert [tuple(r) for r in dictionary.encode(df, fitted).collect()] == [(1, 0, 1)]
+
+
+def test_a_field_of_a_million_labels(spark):
+    """Labels are ranked, stored and joined without a list or map of them all."""
+    n = F.col("id")
+    name = F.concat(F.lit("name "), F.when(n >= 1_000_000, n - 1_000_000).otherwise(n))
+    df = spark.range(1_000_100).select("id", name.alias("t"), F.concat(F.lit("u"), n % 3).alias("u"))
+    fitted = dictionary.fit_dictionary(df, ignore=["id"])
+    assert "collect_list" not in fitted._jdf.queryExecution().optimizedPlan().toString()
+    assert fitted.filter("fieldName = 't'").count() == 1_000_000
+    got = dictionary.encode(df, fitted)
+    assert tuple(got.agg(F.count_distinct("t"), F.min("t"), F.max("t"), F.max("u")).first()) == (1_000_000, 1, 1_000_000, 3)
+    assert got.filter("t <= 100").groupBy("t").count().filter("count = 2").count() == 100
+    with pytest.raises(ValueError):
+        dictionary.label_maps(fitted)
+
+
+@pytest.mark.parametrize("limits", [{}, {"small_rows": 0}, {"small_rows": 3}])
+def test_fields_small_and_large_encode_alike(spark, rows, limits):
+    """By broadcast, by text and as cells; a hot label, repeated rows and nulls."""
+    text = lambda k: F.when(F.col("id") % 7 == k, F.lit(None)).otherwise(F.concat(F.lit("x"), F.col("id") % k))
+    hot = F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 40))
+    df = spark.range(2000).select((F.col("id") % 500).alias("id"), text(3).alias("a"), hot.alias("b.c"), text(5).alias("d"), F.lit("z").alias("_row1"))
+    fitted = dictionary.fit_dictionary(df.limit(1500).withColumnRenamed("b.c", "e"), ignore=["id"])
+    got = dictionary.encode(df.withColumnRenamed("b.c", "e"), fitted, **limits)
+    known = {(r.fieldName, r.label): r.number for r in fitted.collect()}
+    want = [(r[0], *[known.get((f, v), 0) for f, v in zip(("a", "e", "d", "_row1"), r[1:])]) for r in df.collect()]
+    assert rows(got) == sorted(want, key=lambda row: tuple((x is None, str(x)) for x in row))
 
 
 def test_encode_with_unknown_and_missing_labels(spark, training):
@@ -145,8 +184,8 @@ def test_dictionary_survives_the_file(spark, training, tmp_path):
 def test_all_labels_are_kept_unless_a_limit_is_given(spark):
     df = spark.range(900).select(F.concat(F.lit("v"), F.col("id") % 300).alias("t"))
     fitted = dictionary.fit_dictionary(df)
-    assert len(fitted.first().fieldMap) == 300
-    assert len(dictionary.fit_dictionary(df, limit=dictionary.TOP_LABELS).first().fieldMap) == dictionary.TOP_LABELS
+    assert fitted.count() == 300
+    assert dictionary.fit_dictionary(df, limit=dictionary.TOP_LABELS).count() == dictionary.TOP_LABELS
     assert sorted({r.t for r in dictionary.encode(df, fitted).collect()}) == list(range(1, 301))
 
 
