@@ -161,12 +161,18 @@ def feat_customer(spark, sf_dir):
 _CUT = "1998-01-01"
 
 
-def _both_feature_tables(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
-    recent = F.col("o_orderdate") >= F.lit(_CUT).cast("timestamp_ntz")
-    current = _customer_features(orders.filter(recent))
-    older = customers.prefixed(_customer_features(orders.filter(~recent)), customers.HISTORICAL, keep=["c_custkey"])
-    return current, older
+_ORDER_SPEC = customers.FeatureSpec(
+    key="c_custkey",
+    mode_columns=["o_orderpriority", "o_orderstatus"],
+    sum_columns=["o_totalprice"],
+    historical_sum_columns=["o_totalprice"],
+    scale=2,
+)
+
+
+def _order_features(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    return customers.plain_feature_table(orders, _ORDER_SPEC, F.col("o_orderdate") >= F.lit(_CUT).cast("timestamp_ntz"))
 
 
 def _assembled_sql(where, extra):
@@ -187,13 +193,13 @@ def _customer_bases(spark, sf_dir):
 @query("feat_assemble_train", _assembled_sql("c.c_acctbal >= 0", "c.c_acctbal AS target"))
 def feat_assemble_train(spark, sf_dir):
     train, test = _customer_bases(spark, sf_dir)
-    return customers.customer_tables(train, test, *_both_feature_tables(spark, sf_dir), "c_custkey", "target")[0]
+    return customers.customer_tables(train, test, _order_features(spark, sf_dir), "c_custkey", "target")[0]
 
 
 @query("feat_assemble_test", _assembled_sql("c.c_acctbal < 0", "0 AS target"))
 def feat_assemble_test(spark, sf_dir):
     train, test = _customer_bases(spark, sf_dir)
-    return customers.customer_tables(train, test, *_both_feature_tables(spark, sf_dir), "c_custkey", "target")[1]
+    return customers.customer_tables(train, test, _order_features(spark, sf_dir), "c_custkey", "target")[1]
 
 
 _JOB_SPEC = customers.FeatureSpec(
@@ -205,36 +211,87 @@ _JOB_SPEC = customers.FeatureSpec(
 )
 
 
-def _job_sql(where, sums, prefix):
-    source = f"(SELECT * FROM lineitem LEFT JOIN part ON l_partkey = p_partkey WHERE {where})"
-    shown = [f"{c} AS {prefix}{c}" for c in _JOB_SPEC.mode_columns]
+#: As many columns as a wide job has, of every type the lines have.
+_WIDE_SPEC = customers.FeatureSpec(
+    key="l_suppkey",
+    mode_columns=[
+        "l_returnflag", "l_linestatus", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_shipdate", "p_brand", "p_type", "p_size",
+    ],
+    sum_columns=[
+        "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber", "net", "taxed", "p_retailprice", "p_size",
+    ],
+    historical_sum_columns=["l_quantity", "l_extendedprice", "net"],
+    scale=2,
+)
+
+
+def _job_sql(spec, where, sums, prefix):
+    source = f"""(SELECT *, l_extendedprice * (1 - l_discount) AS net, l_extendedprice * (1 - l_discount) * (1 + l_tax) AS taxed
+      FROM lineitem LEFT JOIN part ON l_partkey = p_partkey WHERE {where})"""
+    shown = [f"{c} AS {prefix}{c}" for c in spec.mode_columns]
     shown += [f"{kind}_{c} AS {prefix}{kind}_{c}" for c in sums for kind in ("sum", "avg")]
     totals = ", ".join(
-        f"round(sum({c}), 2) AS sum_{c}, round(sum({c}), 2) / count({c}) AS avg_{c}" for c in sums
+        f"round(sum(CAST({c} AS DOUBLE)), 2) AS sum_{c}, round(sum(CAST({c} AS DOUBLE)), 2) / count({c}) AS avg_{c}" for c in sums
     )
-    parts = [f"({_mode_sql(source, 'l_suppkey', c)})" for c in _JOB_SPEC.mode_columns]
+    parts = [f"({_mode_sql(source, 'l_suppkey', c)})" for c in spec.mode_columns]
     parts.append(f"(SELECT l_suppkey, {totals} FROM {source} GROUP BY 1)")
     joined = parts[0] + "".join(f" JOIN {p} USING (l_suppkey)" for p in parts[1:])
     return f"SELECT l_suppkey, {', '.join(shown)} FROM {joined}"
 
 
-@query(
-    "job_customer_features",
-    f"""SELECT s.s_suppkey AS l_suppkey, a.* EXCLUDE (l_suppkey), b.* EXCLUDE (l_suppkey) FROM supplier s
-      LEFT JOIN ({_job_sql(f"l_shipdate >= TIMESTAMP '{_CUT}'", _JOB_SPEC.sum_columns, "")}) a
+def _supplier_sql(spec):
+    return f"""SELECT s.s_suppkey AS l_suppkey, a.* EXCLUDE (l_suppkey), b.* EXCLUDE (l_suppkey) FROM supplier s
+      LEFT JOIN ({_job_sql(spec, f"l_shipdate >= TIMESTAMP '{_CUT}'", spec.sum_columns, "")}) a
         ON s.s_suppkey = a.l_suppkey
-      LEFT JOIN ({_job_sql(f"l_shipdate < TIMESTAMP '{_CUT}'", _JOB_SPEC.historical_sum_columns, "historical__")}) b
-        ON s.s_suppkey = b.l_suppkey""",
-)
-def job_customer_features(spark, sf_dir):
-    """Suppliers as customers: current and older lines, enriched by part."""
-    lines = table(spark, sf_dir, "lineitem")
+      LEFT JOIN ({_job_sql(spec, f"l_shipdate < TIMESTAMP '{_CUT}'", spec.historical_sum_columns, "historical__")}) b
+        ON s.s_suppkey = b.l_suppkey"""
+
+
+def _supplier_features(spark, sf_dir, spec):
+    net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
+    lines = table(spark, sf_dir, "lineitem").withColumns({"net": net, "taxed": net * (1 + F.col("l_tax"))})
     part = table(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey")
     recent = F.col("l_shipdate") >= F.lit(_CUT).cast("timestamp_ntz")
-    current = customers.current_features(lines.filter(recent), part, "l_partkey", _JOB_SPEC, drop=["p_name"])
-    older = customers.historical_features(lines.filter(~recent), part, "l_partkey", _JOB_SPEC, drop=["p_name"])
+    made = customers.feature_table(lines, part, "l_partkey", spec, recent, drop=["p_name"])
     base = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"))
-    return features.assembled_base(base, "l_suppkey", current, older)
+    return features.assembled_base(base, "l_suppkey", made)
+
+
+@query("job_customer_features", _supplier_sql(_JOB_SPEC))
+def job_customer_features(spark, sf_dir):
+    """Suppliers as customers: current and older lines, enriched by part."""
+    return _supplier_features(spark, sf_dir, _JOB_SPEC)
+
+
+@query("job_customer_features_wide", _supplier_sql(_WIDE_SPEC))
+def job_customer_features_wide(spark, sf_dir):
+    """Ten most frequent values and nine sums of either period, in the same pass."""
+    return _supplier_features(spark, sf_dir, _WIDE_SPEC)
+
+
+_TYPED_SQL = """(SELECT *, [l_returnflag, p_brand] AS marks, {'brand': p_brand, 'size': p_size} AS piece
+  FROM lineitem LEFT JOIN part ON l_partkey = p_partkey)"""
+
+
+@query(
+    "feat_mode_typed",
+    f"""SELECT l_suppkey, l_shipdate, array_to_string(marks, '|') AS marks, piece.brand AS piece_brand, piece.size AS piece_size
+      FROM ({_mode_sql(_TYPED_SQL, 'l_suppkey', 'l_shipdate')})
+      JOIN ({_mode_sql(_TYPED_SQL, 'l_suppkey', 'marks')}) USING (l_suppkey)
+      JOIN ({_mode_sql(_TYPED_SQL, 'l_suppkey', 'piece')}) USING (l_suppkey)""",
+)
+def feat_mode_typed(spark, sf_dir):
+    """Most frequent time, list and record per supplier."""
+    piece = F.struct(F.col("p_brand").alias("brand"), F.col("p_size").alias("size"))
+    lines = _enriched(spark, sf_dir).withColumns({"marks": F.array("l_returnflag", "p_brand"), "piece": piece})
+    found = aggregates.modes(lines, "l_suppkey", ["l_shipdate", "marks", "piece"])
+    return found.select(
+        "l_suppkey",
+        "l_shipdate",
+        F.array_join("marks", "|").alias("marks"),
+        F.col("piece.brand").alias("piece_brand"),
+        F.col("piece.size").alias("piece_size"),
+    )
 
 
 @query(

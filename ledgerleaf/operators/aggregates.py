@@ -5,6 +5,7 @@ large."""
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -65,47 +66,81 @@ def mode(df: DataFrame, key: str, column: str) -> DataFrame:
     return counted.groupBy(key).agg(best.alias("_best")).select(key, F.col("_best.value").alias(column))
 
 
-def modes_and_sums(
-    df: DataFrame, key: str, mode_columns: Sequence[str], sum_columns: Sequence[str] = (), scale: int | None = None
+@dataclass(frozen=True)
+class Period:
+    """Rows that a set of features is made of: where ``rows`` holds (everywhere
+    without it), result names begin with ``prefix``."""
+
+    rows: Column | None
+    sum_columns: Sequence[str] = ()
+    prefix: str = ""
+
+
+def period_features(
+    df: DataFrame, key: str, mode_columns: Sequence[str], periods: Sequence[Period], scale: int | None = None
 ) -> DataFrame:
     """Most frequent value of each mode column, then ``sum_c`` and ``avg_c`` of
-    each sum column, per key and in one pass over ``df``.
-
-    The mode columns are laid under each other and counted together; the
-    numbers ride along with the first of them. The winners are put back side
-    by side in the second group, so there are two shuffles of combined rows
-    for any number of columns, and no join.
+    each sum column, per key and period, in one pass over ``df``.
+
+    A row belongs to the first period that takes it. The mode columns are laid
+    under each other, marked with period and slot, and counted together; the
+    numbers ride along with the first slot. A cell is a struct with one field
+    per data type, so values of any type that can be grouped are counted as they
+    are (arrays, structs and times too). The winners are put back side by side in
+    the second group, so there are two shuffles of combined rows for any number
+    of columns and periods, and no join. A key without rows in a period has nulls
+    there, a key without rows in any is left out.
     """
     if not mode_columns:
         raise ValueError("no mode columns; use sums_and_averages")
-    types = dict(df.dtypes)
+    kinds = {name: df.schema[name].dataType for name in mode_columns}
+    fields = {kind: f"t{i}" for i, kind in enumerate(dict.fromkeys(kinds.values()))}
+    numbers = list(dict.fromkeys(name for period in periods for name in period.sum_columns))
 
     def cell(slot: int, name: str) -> Column:
-        numbers = [
+        typed = [
+            (F.col(name) if kind == kinds[name] else F.lit(None).cast(kind)).alias(field) for kind, field in fields.items()
+        ]
+        riding = [
             (F.col(c).try_cast("double") if slot == 0 else F.lit(None).cast("double")).alias(f"v{j}")
-            for j, c in enumerate(sum_columns)
+            for j, c in enumerate(numbers)
         ]
-        return F.struct(F.lit(slot).alias("slot"), F.col(name).cast("string").alias("text"), *numbers)
+        return F.struct(F.lit(slot).alias("slot"), *typed, *riding)
 
+    taken = F.lit(None).cast("int")
+    for i, period in reversed(list(enumerate(periods))):
+        taken = F.lit(i) if period.rows is None else F.when(period.rows, i).otherwise(taken)
     cells = F.explode(F.array(*[cell(i, name) for i, name in enumerate(mode_columns)]))
     partial = [F.count(F.lit(1)).alias("_n")]
-    for j, _ in enumerate(sum_columns):
+    for j, _ in enumerate(numbers):
         partial += [F.sum(f"cell.v{j}").alias(f"_s{j}"), F.count(f"cell.v{j}").alias(f"_c{j}")]
-    counted = df.select(key, cells.alias("cell")).groupBy(key, "cell.slot", "cell.text").agg(*partial)
+    laid = df.select(F.col(key), taken.alias("_period"), cells.alias("cell")).filter(F.col("_period").isNotNull())
+    counted = laid.groupBy(key, "_period", "cell.slot", *[f"cell.{field}" for field in fields.values()]).agg(*partial)
 
     results, shown = [], []
-    for i, name in enumerate(mode_columns):
-        value = F.col("text").cast(types[name])
-        candidate = F.when(F.col("slot") == i, _rank_of_mode(F.col("_n"), value, value))
-        results.append(F.min(candidate).alias(f"_best{i}"))
-        shown.append(F.col(f"_best{i}.value").alias(name))
-    for j, name in enumerate(sum_columns):
-        total = F.sum(f"_s{j}") if scale is None else F.round(F.sum(f"_s{j}"), scale)
-        results += [total.alias(f"sum_{name}"), F.try_divide(total, F.sum(f"_c{j}")).alias(f"avg_{name}")]
-        shown += [F.col(f"sum_{name}"), F.col(f"avg_{name}")]
+    for p, period in enumerate(periods):
+        inside = F.col("_period") == p
+        for i, name in enumerate(mode_columns):
+            value = F.col(fields[kinds[name]])
+            results.append(F.min(F.when(inside & (F.col("slot") == i), _rank_of_mode(F.col("_n"), value, value))).alias(f"_best{p}_{i}"))
+            shown.append(F.col(f"_best{p}_{i}.value").alias(f"{period.prefix}{name}"))
+        for name in period.sum_columns:
+            j = numbers.index(name)
+            total = F.sum(F.when(inside, F.col(f"_s{j}")))
+            total = total if scale is None else F.round(total, scale)
+            both = (f"{period.prefix}sum_{name}", f"{period.prefix}avg_{name}")
+            results += [total.alias(both[0]), F.try_divide(total, F.sum(F.when(inside, F.col(f"_c{j}")))).alias(both[1])]
+            shown += [F.col(both[0]), F.col(both[1])]
     return counted.groupBy(key).agg(*results).select(key, *shown)
 
 
+def modes_and_sums(
+    df: DataFrame, key: str, mode_columns: Sequence[str], sum_columns: Sequence[str] = (), scale: int | None = None
+) -> DataFrame:
+    """:func:`period_features` of all rows."""
+    return period_features(df, key, mode_columns, [Period(None, sum_columns)], scale)
+
+
 def modes(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Most frequent value of each column per key, in one pass over ``df``."""
     return modes_and_sums(df, key, columns)

@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
-from ledgerleaf.operators.columns import prefixed
-from ledgerleaf.operators.features import assembled_base, customer_features
+from ledgerleaf.operators.aggregates import Period, period_features
+from ledgerleaf.operators.features import assembled_base
 from ledgerleaf.operators.joins import enrich
 
 # Prefix of the columns made from older transactions.
@@ -26,27 +26,27 @@ class FeatureSpec:
     scale: int | None = None
 
 
-def current_features(
-    transactions: DataFrame, dimension: DataFrame, dimension_key: str, spec: FeatureSpec, drop: Sequence[str] = ()
+def feature_table(
+    transactions: DataFrame, dimension: DataFrame, dimension_key: str, spec: FeatureSpec, recent: Column, drop: Sequence[str] = ()
 ) -> DataFrame:
+    """Current features where ``recent`` holds and, with fewer sums and prefixed
+    names, historical ones elsewhere (also where it is null).
+
+    The transactions are read, enriched and grouped once for both.
+    """
     facts = enrich(transactions, dimension, dimension_key, drop)
-    return customer_features(facts, spec.key, spec.mode_columns, spec.sum_columns, spec.scale)
+    return period_features(facts, spec.key, spec.mode_columns, _periods(spec, recent), spec.scale)
 
 
-def historical_features(
-    transactions: DataFrame, dimension: DataFrame, dimension_key: str, spec: FeatureSpec, drop: Sequence[str] = ()
-) -> DataFrame:
-    """As for current transactions, with fewer sums and prefixed names."""
-    facts = enrich(transactions, dimension, dimension_key, drop)
-    features = customer_features(facts, spec.key, spec.mode_columns, spec.historical_sum_columns, spec.scale)
-    return prefixed(features, HISTORICAL, keep=[spec.key])
-
-
-def customer_tables(
-    train: DataFrame, test: DataFrame, current: DataFrame, historical: DataFrame, key: str, target: str
-) -> tuple[DataFrame, DataFrame]:
-    """Train and test customers with both feature tables; the test target is 0."""
-    return (
-        assembled_base(train, key, current, historical),
-        assembled_base(test, key, current, historical, target=target),
-    )
+def _periods(spec: FeatureSpec, recent: Column) -> list[Period]:
+    return [Period(recent, spec.sum_columns), Period(None, spec.historical_sum_columns, f"{HISTORICAL}__")]
+
+
+def plain_feature_table(transactions: DataFrame, spec: FeatureSpec, recent: Column) -> DataFrame:
+    """:func:`feature_table` of transactions that need no dimension."""
+    return period_features(transactions, spec.key, spec.mode_columns, _periods(spec, recent), spec.scale)
+
+
+def customer_tables(train: DataFrame, test: DataFrame, features: DataFrame, key: str, target: str) -> tuple[DataFrame, DataFrame]:
+    """Train and test customers with their features; the test target is 0."""
+    return assembled_base(train, key, features), assembled_base(test, key, features, target=target)

@@ -158,3 +158,28 @@ def test_stop_list_of_any_length(spark, rows):
         got = words.remove_stop_words(texts, "t", stops)
         assert got.columns == ["id", "t", "words"]
         assert sorted(map(tuple, got.select("id", "words").collect()), key=str) == sorted(want, key=str)
+
+
+def test_modes_keep_their_types_and_periods(spark):
+    """Lists, records, times and missing values, against a window per column and period."""
+    n = F.col("id")
+    df = spark.range(900).select(
+        (n % 7).alias("k"),
+        F.array((n % 3).cast("string"), F.lit("x")).alias("marks"),
+        F.struct((n % 5).alias("a"), F.when(n % 4 == 0, n % 2).alias("b")).alias("piece"),
+        F.when(n % 6 > 0, F.timestamp_seconds(n % 4)).alias("at"),
+        (n % 11).cast("double").alias("x"),
+        F.when(n % 10 == 3, F.lit(None)).otherwise(n % 10 < 6).alias("recent"),
+    )
+    names = ["marks", "piece", "at", "x"]
+    periods = [aggregates.Period(F.col("recent"), ["x"]), aggregates.Period(~F.col("recent"), (), "old_")]
+    got = aggregates.period_features(df, "k", names, periods)
+    assert dict(got.dtypes)["at"] == "timestamp" and dict(got.dtypes)["old_marks"] == "array<string>"
+    for period in periods:
+        rows = df.filter(period.rows)
+        for name in names:
+            want = {tuple(r) for r in aggregates.mode(rows, "k", name).select("k", F.to_json(F.struct(name))).collect()}
+            column = F.to_json(F.struct(F.col(f"{period.prefix}{name}").alias(name)))
+            assert {tuple(r) for r in got.select("k", column).collect()} == want
+    sums = df.filter("recent").groupBy("k").agg(F.sum("x"))
+    assert sorted(map(tuple, got.select("k", "sum_x").collect())) == sorted(map(tuple, sums.collect()))

@@ -191,15 +191,32 @@ def test_train_tables_with_whole_test(spark):
 
 def test_customer_tables(spark):
     trans = spark.createDataFrame(
-        [("c1", "m1", "x", 1.0), ("c1", "m2", "x", 3.0), ("c2", "m9", None, 5.0)], "card string, m string, cat string, amount double"
+        [("c1", "m1", "x", 1.0, 1), ("c1", "m2", "x", 3.0, 1), ("c2", "m9", None, 5.0, 0), ("c1", "m1", "y", 7.0, 0), ("c4", "m1", "z", 2.0, None)],
+        "card string, m string, cat string, amount double, month int",
     )
     merchants = spark.createDataFrame([("m1", 10.0, "drop"), ("m2", 20.0, "drop")], "m string, sales double, cat string")
     spec = customers.FeatureSpec("card", ["cat"], ["amount", "sales"], ["amount"])
-    current = customers.current_features(trans, merchants, "m", spec, drop=["cat"])
-    older = customers.historical_features(trans, merchants, "m", spec, drop=["cat"])
-    assert older.columns == ["card", "historical__cat", "historical__sum_amount", "historical__avg_amount"]
-    base = spark.createDataFrame([("c1", 0.5), ("c3", 0.7)], "card string, target double")
-    train, test = customers.customer_tables(base, base.drop("target"), current, older, "card", "target")
+    made = customers.feature_table(trans, merchants, "m", spec, F.col("month") == 1, drop=["cat"])
+    assert made.columns == [
+        "card", "cat", "sum_amount", "avg_amount", "sum_sales", "avg_sales",
+        "historical__cat", "historical__sum_amount", "historical__avg_amount",
+    ]
+    base = spark.createDataFrame([("c1", 0.5), ("c3", 0.7), ("c4", 0.1)], "card string, target double")
+    train, test = customers.customer_tables(base, base.drop("target"), made, "card", "target")
     rows = {r.card: r for r in train.collect()}
     assert rows["c1"].sum_sales == 30.0 and rows["c1"].cat == "x" and rows["c3"].sum_amount is None
+    assert rows["c1"].historical__cat == "y" and rows["c1"].historical__sum_amount == 7.0
+    # A row of no known month is historical.
+    assert rows["c4"].cat is None and rows["c4"].historical__cat == "z"
     assert {r.target for r in test.collect()} == {0}
+
+
+def test_features_of_both_periods_read_and_join_the_facts_once(spark, tmp_path):
+    spark.range(500).selectExpr("id % 50 card", "id % 7 m", "id % 3 cat", "id * 1.0D amount", "id % 2 month").write.parquet(str(tmp_path / "t"))
+    spark.range(7).selectExpr("id m", "id * 2.0D sales").write.parquet(str(tmp_path / "d"))
+    trans, merchants = (spark.read.parquet(str(tmp_path / name)) for name in "td")
+    spec = customers.FeatureSpec("card", ["cat", "m"], ["amount", "sales"], ["amount"])
+    made = customers.feature_table(trans, merchants, "m", spec, F.col("month") == 1)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 2 and plan.count("Join") == 1
+    assert plan.count("Exchange hashpartitioning(card") == 2
