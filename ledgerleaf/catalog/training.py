@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ledgerleaf.catalog.evaluating import scored_lines
 from ledgerleaf.catalog.labeling import split_sql
 from ledgerleaf.catalog.registry import query, table
-from ledgerleaf.operators import evaluate, models
+from ledgerleaf.operators import boosting, evaluate, models
 from ledgerleaf.operators.labels import split_by_hash
 from ledgerleaf.scratch import fresh_path, materialize
 from ledgerleaf.sinks.files import write_scores
@@ -202,3 +202,72 @@ def ml_batch_score(spark, sf_dir):
     return scores.join(back, "vec_id").select(
         "vec_id", ((F.col("p") == F.col("prediction")) & (F.col("q") == F.col("probability"))).alias("stored"), likely.alias("consistent")
     )
+
+
+# Rounds and step of the regularised trees in the queries; the standing ones
+# (400 of 0.01) are the defaults of the operator.
+_ROUNDS, _ETA = 10, 0.2
+
+
+def _lists(rows):
+    return rows.withColumn("features", vector_to_array("features"))
+
+
+@query("ml_boost_regressor_l1")
+def ml_boost_regressor_l1(spark, sf_dir):
+    """Error per part of trees with the standing L1 term, least gain and depth."""
+    rows = _lists(_revenue(spark, sf_dir))
+    model = boosting.fit(rows.filter("split = 'train'"), "id", rounds=_ROUNDS, eta=_ETA)
+    report = models.error_report(boosting.score(model, rows, "id", "split", "label"))
+    return report.withColumn("leaves", F.lit(model.n_leaves()))
+
+
+@query("ml_boost_classifier_l1")
+def ml_boost_classifier_l1(spark, sf_dir):
+    """Confusion counts and measures per part."""
+    rows = _lists(_returns(spark, sf_dir))
+    model = boosting.fit(rows.filter("split = 'train'"), "id", objective="logistic", rounds=_ROUNDS, eta=_ETA)
+    scores = boosting.score(model, rows, "id", "split", "label").withColumnRenamed("prediction", "probability")
+    return models.classifier_report(scores)
+
+
+@query("ml_classifier_report")
+def ml_classifier_report(spark, sf_dir):
+    """Measures of the forest and of boosted trees per part, with the exact area
+    under the curve of the test rows."""
+    rows = _returns(spark, sf_dir)
+    training = _training(rows)
+    found = None
+    for name, model in (("forest", models.random_forest(training)), ("boosted", models.gradient_classifier(training))):
+        scores = materialize(_scored(model, rows), "scores")
+        area = evaluate.auc_exact(scores.filter("split = 'test'").select(F.col("probability").alias("score"), "label"))
+        mine = models.classifier_report(scores).union(area.select(F.lit("test"), F.lit("auc"), "auc"))
+        mine = mine.withColumn("model", F.lit(name))
+        found = mine if found is None else found.unionByName(mine)
+    return found
+
+
+@query("ml_regressor_report")
+def ml_regressor_report(spark, sf_dir):
+    """Root mean squared error per part, beside that of the mean."""
+    rows = _revenue(spark, sf_dir)
+    model = models.boosted_regressor_validated(_training(rows), "is_valid", maxIter=10, stepSize=0.1)
+    return models.error_report(_scored(model, rows))
+
+
+@query("ml_kmeans_report")
+def ml_kmeans_report(spark, sf_dir):
+    """Within-cluster squared error and the centres, number by number."""
+    rows = _vectors(spark, sf_dir)
+    report = models.cluster_report(models.clusters(models.balanced(rows, "vec_id")), rows)
+    return report.select("cluster", "rows", "squared_error", F.posexplode("centre").alias("position", "value"))
+
+
+@query("ml_logistic_report")
+def ml_logistic_report(spark, sf_dir):
+    """Objective history, ROC points and the area under them."""
+    rows = _returns(spark, sf_dir)
+    model = models.logistic(models.balanced(rows, "id"), regParam=0.01)
+    scores = _scored(model, rows).select(F.col("probability").alias("score"), "label")
+    area = evaluate.auc_exact(scores).select(F.lit("auc").alias("kind"), F.lit(0.0).alias("x"), F.col("auc").alias("y"))
+    return models.fit_report(model, rows).union(area)

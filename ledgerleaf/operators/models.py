@@ -112,3 +112,43 @@ def objective_rows(model: Model, data: DataFrame) -> DataFrame:
     """(step, objective): the value after each step of a logistic model."""
     rows = [(i, float(x)) for i, x in enumerate(model.summary.objectiveHistory)]
     return data.sparkSession.createDataFrame(rows, "step int, objective double")
+
+
+def classifier_report(scores: DataFrame, part: str = "split", threshold: float = 0.5) -> DataFrame:
+    """(part, metric, value): rows, confusion counts, accuracy, recall,
+    precision and F1 of scored rows (label, probability), per part, in one pass."""
+    hit, positive = F.col("probability") >= threshold, F.col("label") == 1
+    count = lambda condition: F.count_if(condition).cast("double")
+    counts = {"tp": count(hit & positive), "fp": count(hit & ~positive), "tn": count(~hit & ~positive), "fn": count(~hit & positive)}
+    grouped = scores.groupBy(part).agg(*[value.alias(name) for name, value in counts.items()])
+    tp, fp, tn, fn = (F.col(name) for name in counts)
+    measures = {
+        "rows": tp + fp + tn + fn,
+        **{name: F.col(name) for name in counts},
+        "accuracy": F.try_divide(tp + tn, tp + fp + tn + fn),
+        "recall": F.try_divide(tp, tp + fn),
+        "precision": F.try_divide(tp, tp + fp),
+        "f1": F.try_divide(2 * tp, 2 * tp + fp + fn),
+    }
+    cells = F.array(*[F.struct(F.lit(name).alias("metric"), value.alias("value")) for name, value in measures.items()])
+    return grouped.select(part, F.explode(cells).alias("m")).select(part, "m.*")
+
+
+def cluster_report(model: Model, data: DataFrame) -> DataFrame:
+    """(cluster, rows, squared_error, centre): the squared distance of each
+    cluster's rows to its centre, added up from the rows."""
+    value = vector_to_array("features")
+    centres = F.lit([[float(x) for x in c] for c in model.clusterCenters()])  # k short lists
+    placed = model.transform(data).select(F.col("prediction").alias("cluster"), value.alias("v"))
+    gap = F.zip_with("v", F.get(centres, F.col("cluster")), lambda a, b: (a - b) * (a - b))
+    cost = placed.groupBy("cluster").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(F.aggregate(gap, F.lit(0.0), lambda s, d: s + d)).alias("squared_error")
+    )
+    return cost.join(F.broadcast(centre_rows(model, data)), "cluster")
+
+
+def fit_report(model: Model, data: DataFrame) -> DataFrame:
+    """(kind, step, x, y) of a logistic model: the objective after each step,
+    and the ROC points of its training rows."""
+    history = objective_rows(model, data).select(F.lit("objective").alias("kind"), F.col("step").cast("double").alias("x"), F.col("objective").alias("y"))
+    return history.union(model.summary.roc.select(F.lit("roc"), "FPR", "TPR"))

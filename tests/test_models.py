@@ -84,3 +84,30 @@ def test_saved_model_scores_the_same(spark, data, rows):
         models.save_model(model, path)
     loaded = models.load_model(GBTClassificationModel, path)
     assert rows(models.scored(model, data, "id")) == rows(models.scored(loaded, data, "id"))
+
+
+def test_reports_hold_the_measures(spark, data):
+    """Each number against a second computation from the scores."""
+    model = models.random_forest(fit_rows(data))
+    scores = models.scored(model, data, "id", "split", "label")
+    got = {(r.split, r.metric): r.value for r in models.classifier_report(scores).collect()}
+    for part in ("train", "valid", "test"):
+        mine = scores.filter(F.col("split") == part).select(F.col("probability").alias("score"), "label")
+        ratios, counts = evaluate.ratios(mine).first(), evaluate.confusion(mine).first()
+        assert [got[part, m] for m in ("tp", "fp", "tn", "fn")] == [counts.tp, counts.fp, counts.tn, counts.fn]
+        for name in ("accuracy", "recall", "precision", "f1"):
+            assert got[part, name] == pytest.approx(ratios[name])
+
+    model = models.clusters(data)
+    report = models.cluster_report(model, data).collect()
+    assert sum(r.squared_error for r in report) == pytest.approx(model.summary.trainingCost)
+    assert sum(r.rows for r in report) == 1500 and all(len(r.centre) == 2 for r in report)
+
+    model = models.logistic(data, regParam=0.01)
+    rows = models.fit_report(model, data).collect()
+    history = [r.y for r in rows if r.kind == "objective"]
+    assert history == model.summary.objectiveHistory and history[-1] < history[0]
+    points = sorted((r.x, r.y) for r in rows if r.kind == "roc")
+    area = sum((b[0] - a[0]) * (b[1] + a[1]) / 2 for a, b in zip(points, points[1:]))
+    exact = evaluate.auc_exact(models.scored(model, data, "id", "label").select(F.col("probability").alias("score"), "label")).first()[0]
+    assert area == pytest.approx(exact, abs=0.01)
