@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from ledgerleaf.catalog.registry import query, table
-from ledgerleaf.operators import aggregates, sets
+from ledgerleaf.operators import aggregates, sets, statistics
 from ledgerleaf.operators.ordered import numbered
+from ledgerleaf.scratch import fresh_path
 
 
 def mean_text_sql(column):
@@ -118,6 +119,17 @@ def agg_summary_weighted(spark, sf_dir):
     return aggregates.column_statistics(lines, _STATISTICS, weight="l_linenumber", scale=8)
 
 
+@query("agg_summary_stored", _statistics_sql(_STATISTICS, "l_linenumber::DOUBLE"))
+def agg_summary_stored(spark, sf_dir):
+    """Partial statistics stored by year, a year at a time in the one pass over
+    it, merged when they are read."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("part", F.coalesce(F.year("l_shipdate"), F.lit(0)))
+    store = fresh_path(spark, "statistics")
+    partials = statistics.partial_statistics(lines, _STATISTICS, "l_linenumber", by=["part"])
+    partials.write.partitionBy("part").parquet(store)
+    return statistics.stored_statistics(spark, store, scale=8)
+
+
 @query("agg_observe_counter", "SELECT count(*) AS rows, CAST(sum(l_linenumber) AS BIGINT) AS total FROM lineitem")
 def agg_observe_counter(spark, sf_dir):
     lines = table(spark.newSession(), sf_dir, "lineitem").select("l_linenumber")

@@ -24,15 +24,25 @@ _RECORD_SCHEMA = "topic string, partition int, offset bigint, key string, value
 _ARRIVALS = 3
 
 
-def _in_batches(spark, sources, stream_of, job, schema, mode="append"):
+def _arrival(piece, n=_ARRIVALS):
+    """The arrival of a row: rows without a number come first, negative numbers
+    count round."""
+    return F.pmod(F.coalesce(piece, F.lit(0)), F.lit(n))
+
+
+def _arrival_sql(piece, n=_ARRIVALS):
+    return f"((coalesce({piece}, 0) % {n}) + {n}) % {n}"
+
+
+def _in_batches(spark, sources, stream_of, job, schema, mode="append", checkpoint=None):
     """Tables that arrive in pieces: a batch for each arrival, in one stream
     that is resumed. ``sources`` has a table and its piece number; ``stream_of``
     makes one stream of theirs."""
     inboxes = [fresh_path(spark, "inbox") for _ in sources]
-    output, checkpoint = fresh_path(spark, "batches"), fresh_path(spark, "progress")
+    output, checkpoint = fresh_path(spark, "batches"), checkpoint or fresh_path(spark, "progress")
     for arrival in range(_ARRIVALS):
         for (rows, piece), inbox in zip(sources, inboxes):
-            rows.filter(piece % _ARRIVALS == arrival).write.mode("append").parquet(inbox)
+            rows.filter(_arrival(piece) == arrival).write.mode("append").parquet(inbox)
         streams = [spark.readStream.schema(rows.schema).parquet(inbox) for (rows, _), inbox in zip(sources, inboxes)]
         jobs.start_batches(stream_of(*streams), job, output, checkpoint, mode=mode).awaitTermination()
     return jobs.stored_batches(spark, output, schema)
@@ -49,7 +59,7 @@ def _records(events):
     )
 
 
-_BATCHED_SQL = f"SELECT *, \"offset\" % {_ARRIVALS} AS batch_id FROM ({_RECORDS_SQL})"
+_BATCHED_SQL = f"SELECT *, {_arrival_sql('"offset"')} AS batch_id FROM ({_RECORDS_SQL})"
 
 
 @query("stream_records", _BATCHED_SQL)
@@ -69,12 +79,52 @@ def stream_offset_ranges(spark, sf_dir):
     return _in_batches(spark, [(events, F.col("event_id"))], _records, jobs.offset_ranges, schema)
 
 
+@query(
+    "stream_source_ranges",
+    f"""SELECT batch_id, n, CASE WHEN batch_id > 0 THEN batch_id - 1 END AS from_offset, batch_id AS until_offset
+      FROM (SELECT {_arrival_sql("event_id")} AS batch_id, count(*) AS n FROM events GROUP BY 1)""",
+)
+def stream_source_ranges(spark, sf_dir):
+    """The source's own ranges of each batch, beside the rows the batch took."""
+    checkpoint, events = fresh_path(spark, "progress"), table(spark, sf_dir, "events")
+    taken = _in_batches(spark, [(events, F.col("event_id"))], lambda s: s.select("event_id"), lambda b: b, "event_id bigint", checkpoint=checkpoint)
+    counts = taken.groupBy("batch_id").agg(F.count(F.lit(1)).alias("n"))
+    ranges = jobs.source_ranges(spark, checkpoint).select("batch_id", "from_offset", "until_offset")
+    return counts.join(ranges, "batch_id")
+
+
+#: Arrivals of the timed stream.
+_TIMED = 2
+
+
+@query("stream_timed_batches", f"SELECT event_id, user_id, {_arrival_sql('event_id', _TIMED)} AS batch_id FROM events")
+def stream_timed_batches(spark, sf_dir):
+    """A query that runs on a clock: what arrives after a trigger is the next
+    one's batch. It is stopped when its progress tells of all rows."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id")
+    inbox, output = fresh_path(spark, "inbox"), fresh_path(spark, "batches")
+    arrival, sent, running = _arrival(F.col("event_id"), _TIMED), 0, None
+    try:
+        for number in range(_TIMED):
+            mine = events.filter(arrival == number)
+            mine.write.mode("append").parquet(inbox)
+            sent += mine.count()
+            if running is None:
+                stream = spark.readStream.schema(events.schema).parquet(inbox)
+                running = jobs.start_batches(stream, lambda batch: batch, output, fresh_path(spark, "progress"), every="1 second")
+            jobs.run_until(running, sent)
+    finally:
+        if running is not None:
+            running.stop()
+    return jobs.stored_batches(spark, output, "event_id bigint, user_id bigint")
+
+
 _TEXT_WORDS_SQL = WORDS_SQL.format(t="text", s=" ", raw=" ")
 
 
 @query(
     "stream_word_count_batch",
-    f"""SELECT word, count(*) AS n, batch_id FROM (SELECT conv_id % {_ARRIVALS} AS batch_id, unnest({_TEXT_WORDS_SQL}) AS word
+    f"""SELECT word, count(*) AS n, batch_id FROM (SELECT {_arrival_sql("conv_id")} AS batch_id, unnest({_TEXT_WORDS_SQL}) AS word
       FROM conversations) GROUP BY word, batch_id""",
 )
 def stream_word_count_batch(spark, sf_dir):
@@ -92,8 +142,8 @@ def stream_tokenize(spark, sf_dir):
 
 @query(
     "stream_subtract",
-    f"""SELECT c_custkey AS custkey, c_custkey % {_ARRIVALS} AS batch_id FROM customer WHERE NOT EXISTS
-      (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderkey % {_ARRIVALS} = c_custkey % {_ARRIVALS})""",
+    f"""SELECT c_custkey AS custkey, {_arrival_sql("c_custkey")} AS batch_id FROM customer WHERE NOT EXISTS
+      (SELECT 1 FROM orders WHERE o_custkey IS NOT DISTINCT FROM c_custkey AND {_arrival_sql("o_orderkey")} = {_arrival_sql("c_custkey")})""",
 )
 def stream_subtract(spark, sf_dir):
     """Customers without an order in the same batch."""
@@ -124,7 +174,7 @@ def _seconds(counts):
 @query("stream_sliding_3_2", _sliding_sql(3_000_000, 2_000_000, 1_000_000))
 def stream_sliding_3_2(spark, sf_dir):
     events = _stream(spark, sf_dir, "events").select("ts")
-    return _seconds(windows.run_sliding_counts(events, "ts", "3 seconds", "2 seconds", "1 second"))
+    return _seconds(windows.run_sliding_counts(events, "ts", "3 seconds", "2 seconds", "1 second", lateness="60 days"))
 
 
 @query("stream_sliding_2_1", _sliding_sql(2_000_000, 1_000_000, 0))

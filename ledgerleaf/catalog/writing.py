@@ -19,13 +19,13 @@ def _name(label):
     return f"{label}_{uuid.uuid4().hex}"
 
 
-@query("sink_table_overwrite", "SELECT c_custkey, c_acctbal FROM customer WHERE c_custkey % 3 = 0")
+@query("sink_table_overwrite", "SELECT c_custkey, c_acctbal * 2 AS c_acctbal FROM customer")
 def sink_table_overwrite(spark, sf_dir):
-    """Replaced by other rows, then by a part of its own rows."""
+    """Replaced by other columns, then by its own rows with one changed."""
     name, customer = _name("replaced"), table(spark, sf_dir, "customer")
     tables.replace_table(customer.select("c_custkey", "c_name"), name, fresh_path(spark, "old"))
     stored = tables.replace_table(customer.select("c_custkey", "c_acctbal"), name, fresh_path(spark, "new"))
-    return tables.replace_table(stored.filter("c_custkey % 3 = 0"), name, fresh_path(spark, "own"))
+    return tables.replace_table(stored.withColumn("c_acctbal", F.col("c_acctbal") * 2), name, fresh_path(spark, "own"))
 
 
 @query("sink_table_create", "SELECT c_custkey, c_name FROM customer")
@@ -83,19 +83,22 @@ def dict_json_roundtrip(spark, sf_dir):
 @query(
     "sink_cells_upsert",
     """SELECT CAST(user_id AS VARCHAR) AS rowkey, event_type AS family, '' AS qualifier,
-       CAST(arg_max(value, event_id) AS VARCHAR) AS value, max(event_id) AS version FROM events
-       WHERE event_id % 2 = 0 OR event_type IN ('error', 'click') GROUP BY 1, 2""",
+       CAST(arg_max(value, event_id) AS VARCHAR) AS value, max(event_id) AS version FROM events GROUP BY 1, 2""",
 )
 def sink_cells_upsert(spark, sf_dir):
-    """Even events are stored first; odd ones of two families are put over
-    them, twice, as a batch that runs again would."""
-    everything, store = event_cells(spark, sf_dir), fresh_path(spark, "cells")
-    odd = (F.col("version") % 2 == 1) & F.col("family").isin("error", "click")
-    cells.put_cells(everything.filter(F.col("version") % 2 == 0), store, "0")
-    write = cells.cell_writer(store)
-    write(everything.filter(odd), 1)
-    write(everything.filter(odd), 1)
-    return cells.read_cells(spark, store)
+    """Four batches, so that the first level is merged: the even events, the odd
+    ones of most types, and those of two types put over them, one batch twice,
+    as a batch that runs again would."""
+    everything = event_cells(spark, sf_dir)
+    odd, later = F.pmod("version", F.lit(2)) == 1, F.col("family").isin("error", "click")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    store = cells.LevelStore(spark, _name("cells"), buckets)
+    write = store.writer()
+    write(everything.filter(~odd | F.col("version").isNull()), 0)
+    write(everything.filter(odd & ~later), 1)
+    for number in (2, 2, 3):
+        write(everything.filter(odd & (F.col("family") == ("error" if number == 2 else "click"))), number)
+    return store.read()
 
 
 @query("sink_points_csv", ROC_SQL + "SELECT fpr, tpr FROM pts")

@@ -232,6 +232,33 @@ def test_cells(spark):
     assert {r.rowkey: r.f1 for r in cells.scan_cells(merged, ["f1"]).collect()} == {"a": "0.5", "b": None, "c": "0.25"}
 
 
+def test_levelled_cell_store(spark, tmp_path):
+    """Newest versions over many batches; reads without an exchange; merges that
+    read one level; batches put again, before and after a merge."""
+    store = cell_sink.LevelStore(spark, "levelled_cells", buckets=4, per_level=3)
+    write, seen = store.writer(), {}
+    schema = cell_sink.CELL
+
+    def batch(number):
+        return [(f"r{(number * 5 + i) % 17}", f"f{i % 2}", "", f"v{number}.{i}", number * 10 + i % 7) for i in range(20)]
+
+    for number in (0, 1, 1, 2, 3, 4, 3, 5, 6, 7, 8, 0, 9):
+        write(spark.createDataFrame(batch(number), schema), number)
+        for rowkey, family, qualifier, value, version in batch(number):
+            key = (rowkey, family, qualifier)
+            seen[key] = max(seen.get(key, (-1, "")), (version, value))
+    got = {(r.rowkey, r.family, r.qualifier): (r.version, r.value) for r in store.read().collect()}
+    assert got == seen
+    levels = store.batches()
+    assert max(levels) == 2 and all(len(names) < 3 for names in levels.values())
+    plan = store.read()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SelectedBucketsCount" in plan
+    one = cell_sink.resolve_cells(spark.table(store.name).filter("level = 1"))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in one and "level" in one.split("PartitionFilters")[1].split("]")[0]
+    again = cell_sink.LevelStore(spark, store.name, buckets=4)
+    assert again.read().count() == len(seen)
+
+
 def test_vectors_from_mixed_columns(spark):
     df = spark.createDataFrame([(1, 3, 4.0, "5")], "a int, b int, c double, d string")
     row = features.labeled_points(df).first()

@@ -1,8 +1,12 @@
 """Known micro-batch sequences, one file per batch."""
 
+import re
+
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerleaf import catalog
 from ledgerleaf.functions.text import split_words
 from ledgerleaf.operators.words import word_counts
 from ledgerleaf.scratch import fresh_path
@@ -151,6 +155,69 @@ def test_batch_interval(spark):
         query.stop()
 
 
+def test_timed_batches_end_by_progress(spark):
+    """Two arrivals, two triggers of the clock, two numbers."""
+    path, output = fresh_path(spark, "feed"), fresh_path(spark, "out")
+    put = lambda *v: spark.createDataFrame([(x,) for x in v], "value string").write.mode("append").parquet(path)
+    put("a", "b")
+    query = jobs.start_batches(file_stream(spark, path), lambda b: b, output, fresh_path(spark, "ck"), every="300 milliseconds")
+    try:
+        jobs.run_until(query, 2)
+        put("c")
+        jobs.run_until(query, 3)
+        with pytest.raises(TimeoutError):
+            jobs.run_until(query, 4, seconds=0.5)
+    finally:
+        query.stop()
+    assert batches_of(jobs.stored_batches(spark, output, "value string"), "value") == {0: ["a", "b"], 1: ["c"]}
+
+
+def test_ranges_of_the_source(spark):
+    """Stored by batch, touching, and those of the query's progress."""
+    checkpoint = fresh_path(spark, "ck")
+    query = jobs.start_batches(feed(spark, texts(["a"], ["b", "c"], ["d"])), lambda b: b, fresh_path(spark, "out"), checkpoint)
+    query.awaitTermination()
+    rows = sorted(jobs.source_ranges(spark, checkpoint).collect(), key=lambda r: r.batch_id)
+    assert [r.batch_id for r in rows] == [0, 1, 2]
+    assert [r.from_offset for r in rows[1:]] == [r.until_offset for r in rows[:-1]]
+    told = {p["batchId"]: int(re.search(r"\d+", str(p["sources"][0]["endOffset"]))[0]) for p in query.recentProgress if p["numInputRows"]}
+    assert {r.batch_id: r.until_offset for r in rows} == told
+
+
+def test_ranges_of_record_sources(spark, tmp_path):
+    """Offsets as a record source stores them, beside a source of another kind."""
+    folder = tmp_path / "offsets"
+    folder.mkdir()
+    for batch, (a, b, c) in enumerate([(5, 3, 1), (9, 3, 2)]):
+        lines = ["v1", "{}", '{"t":{"0":%d,"1":%d}}' % (a, b), '{"logOffset":%d}' % c]
+        (folder / str(batch)).write_text("\n".join(lines))
+    got = {tuple(r) for r in jobs.source_ranges(spark, str(tmp_path)).collect()}
+    assert got == {
+        (0, 0, "t", 0, None, 5), (0, 0, "t", 1, None, 3), (0, 1, None, None, None, 1),
+        (1, 0, "t", 0, 5, 9), (1, 0, "t", 1, 3, 3), (1, 1, None, None, 1, 2),
+    }
+
+
+def test_rows_without_a_key_arrive(spark, tmp_path):
+    """Null and negative keys are in some batch, as the SQL has it."""
+    keys = [None, -1, -2, -3, 0, 1, 2, 5, None]
+    rows = [(k, k, "click", 1.0, f"p{i}", None) for i, k in enumerate(keys)]
+    spark.createDataFrame(rows, "event_id bigint, user_id bigint, event_type string, value double, props string, ts timestamp").write.parquet(str(tmp_path / "events.parquet"))
+    spark.createDataFrame([(k, "a b") for k in keys], "conv_id bigint, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    spark.createDataFrame([(k,) for k in keys], "c_custkey bigint").write.parquet(str(tmp_path / "customer.parquet"))
+    spark.createDataFrame([(1, None), (-2, -1), (7, 9)], "o_custkey bigint, o_orderkey bigint").write.parquet(str(tmp_path / "orders.parquet"))
+    con = duckdb.connect()
+    for name in ("events", "conversations", "customer", "orders"):
+        con.execute(f"create view {name} as select * from '{tmp_path}/{name}.parquet/*.parquet'")
+    known, sqls = catalog.queries(), catalog.oracle_sql()
+    for name in ("stream_records", "stream_offset_ranges", "stream_word_count_batch", "stream_subtract", "stream_timed_batches"):
+        df = known[name](spark, str(tmp_path))
+        columns = sorted(df.columns)
+        got = [tuple(r) for r in df.select(*columns).collect()]
+        want = con.sql(f"select {', '.join(chr(34) + c + chr(34) for c in columns)} from ({sqls[name]})").fetchall()
+        assert sorted(map(str, got)) == sorted(map(str, want)), name
+
+
 def test_single_file_and_kafka_options(spark):
     stream = file_stream(spark, "/root/testdata/sf0.001/events.parquet")
     assert jobs.run_batches(stream.select("event_id"), lambda b: b, "event_id bigint").count() == 1000
