@@ -5,25 +5,49 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerleaf.functions.text import has_digit, split_words
+from ledgerleaf.functions.text import drop_stop_words, has_digit, split_words
+from ledgerleaf.operators.joins import is_small
 from ledgerleaf.scratch import materialize
 
 _ROW = "_row_number"
+#: Stop words, and their bytes, that every task may hold.
+HELD_WORDS, HELD_BYTES = 10_000, 1 << 20
 #: Combinations of one row that are numbered together.
 COMBINATIONS_AT_ONCE = 4096
 
 
 def remove_stop_words(
-    df: DataFrame, text: str, stop_words: DataFrame, output: str = "words", separator: str = "|"
+    df: DataFrame,
+    text: str,
+    stop_words: DataFrame,
+    output: str = "words",
+    separator: str = "|",
+    held_words: int = HELD_WORDS,
+    held_bytes: int = HELD_BYTES,
 ) -> DataFrame:
     """Text without stop words and without words that hold a digit.
 
-    ``stop_words`` has one column and may have any size: the words of the texts
-    are joined against it. Rows are numbered here, so they may repeat each
-    other in every column. A list known to the driver is better served by
-    ``functions.text.drop_stop_words``.
+    ``stop_words`` has one column and may have any size. Only stop words that
+    occur in the texts matter: the texts' distinct words, combined before they
+    move, are joined with the list. If what is left is small, measured by words
+    and bytes, it becomes a hashed set in the generated code and the texts stay
+    where they are. Otherwise the words of the texts are joined (:func:`_joined_out`).
     """
+    names = [F.col(f"`{name}`") for name in df.columns]
     stops = stop_words.toDF("_stop").filter(F.col("_stop").isNotNull()).distinct()
+    if not is_small(stops, held_words, held_bytes):
+        spoken = df.select(F.explode(split_words(F.col(text), separator)).alias("_word")).distinct()
+        stops = materialize(spoken.join(stops, F.col("_word") == F.col("_stop"), "left_semi").toDF("_stop"), "stop-words")
+        if not is_small(stops, held_words, held_bytes):
+            return _joined_out(df, text, stops, output, separator)
+    held = sorted(row["_stop"] for row in stops.collect())
+    kept = F.array_join(drop_stop_words(split_words(F.col(text), separator), held), separator)
+    return df.select(*names, F.when(F.col(text).isNotNull(), kept).alias(output))
+
+
+def _joined_out(df: DataFrame, text: str, stops: DataFrame, output: str, separator: str) -> DataFrame:
+    """For stop words that no task can hold: every word of the texts meets them
+    in a join. Rows are numbered here, so they may repeat each other."""
     # Numbers are fixed by being written.
     rows = materialize(df.withColumn(_ROW, F.monotonically_increasing_id()), "texts")
     words = rows.select(_ROW, F.posexplode(split_words(F.col(text), separator)).alias("_at", "_word"))
