@@ -16,7 +16,7 @@ class names. The number of such pages is ``TRAINING_PAGES``; the model is a
 broadcast of fixed size. Pages are mapped without a shuffle.
 
 Scripts, styles, templates, form controls and the head are no text whatever the
-trees say. Formulas, text in drawings and what stands in for objects and scripts
+trees say; a control inside a paragraph does not divide it. Formulas, text in drawings and what stands in for objects and scripts
 are running text like that of any inline tag.
 Character references are decoded once, white space inside a block (a line break
 too) becomes one space, blocks are joined by a line feed.
@@ -50,24 +50,29 @@ from ledgerleaf.llm.trees import Boosted
 TRAINING_PAGES = 300
 LEAF = "#text"
 
+#: A comment (``<!-->`` and ``<!--->`` are whole ones), a declaration, or a tag
+#: with its attributes. Quotes count only at the start of a value; a value
+#: without them ends at white space or ``>``. No part is read twice.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>?", re.DOTALL
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>?|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)"
+    r"((?>[\s/]+|=?[^\s/>=]+(?>\s*=\s*(?>\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z)|[^\s>\"'][^\s>]*)?)?|=)*+)>?",
+    re.DOTALL,
 )
 NAMED = re.compile(r"(?:class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 PIECES = re.compile(r"[a-z]+")
 SENTENCE = re.compile(r"[.!?…:;,](?:\s|$)")
 
 RAW = frozenset("script style title textarea xmp iframe noembed noframes".split())
-SILENT = frozenset("head script style title textarea template button select option label input iframe".split())
+SILENT = frozenset("head script style title textarea input iframe".split())
+#: Silent with all they hold, but no boundary: the text around them runs on.
+HUSHED = frozenset("template button select datalist label".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset(
     "html head body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption pre"
-    " blockquote figure figcaption nav header footer aside form fieldset address details summary center hgroup dialog menu hr"
-    " template button select option label".split()
+    " blockquote figure figcaption nav header footer aside form fieldset address details summary center hgroup dialog menu hr".split()
 )
-KEEPS_P = frozenset("button select option label template".split())
-CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-WITHIN = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}, "option": {"select"}}
+CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}}
+WITHIN = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
 
 FOR_TEXT = frozenset("article content post entry main story text body page blog news single".split())
 AGAINST = frozenset(
@@ -106,9 +111,15 @@ class Page:
 
 
 def parse(source: str) -> Page:
+    """The page's tree, in time that grows with the source alone: where an open
+    tag stands is kept by tag, and nothing walks the stack."""
     page = Page()
     page.add("html", -1)
     stack = [0]
+    places: dict[str, list[int]] = {}  # of each open tag in the stack, but the top's
+    hush: list[str] = []  # open silent inline tags, the outer first
+    within_hush: Counter[str] = Counter()  # blocks opened inside them
+    hushed_at = firm = 0  # size of the stack where the outer one opened; how many are no labels
     run: list[str] = []
     links = linked = 0
 
@@ -121,22 +132,30 @@ def parse(source: str) -> Page:
             run.clear()
         linked = 0
 
+    def last(tags: frozenset | set) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+    def cut(depth: int) -> None:
+        nonlocal firm
+        flush()
+        while len(stack) > depth:
+            places[page.tag[stack.pop()]].pop()
+        if hush and len(stack) < hushed_at:
+            hush.clear()
+            within_hush.clear()
+            firm = 0
+
     def close(tags: frozenset | set, within: set) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            tag = page.tag[stack[depth]]
-            if tag in tags:
-                flush()
-                del stack[depth:]
-                return
-            if tag in within:
-                return
+        depth = last(tags)
+        if depth > last(within):
+            cut(depth)
 
     at = 0
     while at < len(source):
         found = TOKEN.search(source, at)
         if not found:
             break
-        if found.start() > at:
+        if found.start() > at and not hush:
             run.append(source[at : found.start()])
             if links:
                 linked += found.start() - at
@@ -146,16 +165,24 @@ def parse(source: str) -> Page:
             continue
         tag = tag.lower()
         if found[1]:
-            if tag == "a":
+            if tag in HUSHED:
+                if tag in hush:
+                    ended = ""
+                    while ended != tag:
+                        ended = hush.pop()
+                        firm -= ended != "label"
+                    if not hush:
+                        within_hush.clear()
+            elif hush and within_hush[tag]:
+                within_hush[tag] -= 1
+            elif tag == "a":
                 links = max(0, links - 1)
             elif tag in BLOCK:
-                for depth in range(len(stack) - 1, 0, -1):
-                    if page.tag[stack[depth]] == tag:
-                        flush()
-                        del stack[depth:]
-                        links = 0
-                        break
-                else:
+                depth = last({tag})
+                if depth:
+                    cut(depth)
+                    links = 0
+                elif not hush:
                     flush()
             continue
         if tag in RAW:
@@ -163,24 +190,38 @@ def parse(source: str) -> Page:
             stop = source.find(">", end.end()) + 1 if end else 0
             at = stop if stop else len(source)
             continue
-        if tag == "br":
+        if tag in HUSHED:
+            if not hush:
+                hushed_at = len(stack)
+            # A form control inside another is that one's text.
+            hush.append(tag)
+            firm += tag != "label"
+            continue
+        if hush and not firm and tag in BLOCK:
+            # What ends a paragraph, an item or a cell ends a label left open in it.
+            close({"p"}, {"td", "th", "table"})
+            close(CLOSES.get(tag, set()), WITHIN.get(tag, set()))
+        if hush:
+            if tag in BLOCK and tag not in VOID:
+                within_hush[tag] += 1
+        elif tag == "br":
             run.append(" ")
         elif tag == "a":
             links += 1
         elif tag in BLOCK and tag != "html":
             flush()
-            if tag not in KEEPS_P:
-                close({"p"}, {"td", "th", "table", "button"})
+            close({"p"}, {"td", "th", "table"})
             if tag in CLOSES:
                 close(CLOSES[tag], WITHIN[tag])
-            if tag == "body" and any(page.tag[n] == "head" for n in stack):
+            if tag == "body":
                 close({"head"}, set())
             names = " ".join(a or b or c for a, b, c in NAMED.findall(found[3])) if "=" in found[3] else ""
             node = page.add(tag, stack[-1], names.lower())
             if tag not in VOID and not found[3].endswith("/"):
+                places.setdefault(tag, []).append(len(stack))
                 stack.append(node)
                 links = 0
-    if at < len(source):
+    if at < len(source) and not hush:
         run.append(source[at:])
     flush()
     return page

@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import time
 
 import pytest
 
@@ -114,3 +115,51 @@ def test_copyright_mark_anywhere_in_a_leaf():
 )
 def test_formulas_drawings_and_fallbacks_are_text(model, source, text):
     assert dom.extract([source], model) == [text]
+
+
+def leaves(source):
+    return [t for t in dom.parse(source).text if t]
+
+
+@pytest.mark.parametrize(
+    "source,texts",
+    [
+        ("<p class=\"a\"\">Hello there</p><p>b", ["Hello there", "b"]),
+        ("<p data-x=it's>Hello <b>you</b></p><p class='x''>c", ["Hello you", "c"]),
+        ("<p class=\"a\"b='c'd=>one</p><p =x ==y \"\">two", ["one", "two"]),
+        ("<a href=\"x>y\">in</a> <img alt='a>b' src=q/>side", ["in side"]),
+        ("a<!-->b<!--->c<!-- x --!>d<!-- y -->e<!-- z", ["abcde"]),
+        ("<p>x < y and 3<4", ["x < y and 3<4"]),
+    ],
+)
+def test_stray_quotes_and_short_comments_lose_nothing(source, texts):
+    assert leaves(source) == texts
+
+
+@pytest.mark.parametrize(
+    "source,texts",
+    [
+        ("<p>one <label>two <b>x</b></label> three <button><div>no</div></button> four</p>", ["one three four"]),
+        ("<p>one <select><option>A<option>B</select> two <datalist><option>C</datalist> three", ["one two three"]),
+        ("<p>a <label>open<p>next</div><div>z</div>", ["a", "next", "z"]),
+        ("<ul><li>a <label>open<li>b</ul>c", ["a", "b", "c"]),
+        ("<div><label>x<p>y</p></div><p>back</p>", ["back"]),
+        ("<p>a <button>b</p>c</button><p>d", ["a", "c", "d"]),
+        ("<p>a</button> b</label>c", ["a bc"]),
+    ],
+)
+def test_controls_inside_a_paragraph_do_not_divide_it(source, texts):
+    assert leaves(source) == texts
+
+
+def test_time_grows_with_the_page_alone():
+    """Depth, attributes and stray signs in great numbers."""
+    def seconds(source):
+        start = time.perf_counter()
+        dom.parse(source)
+        return time.perf_counter() - start
+
+    page = dom.parse("<div>" * 200_000 + "deep")
+    assert page.text[-1] == "deep" and len(page.tag) == 200_002
+    for source in ("<div>" * 200_000, "<p " + "a " * 300_000 + ">", "<p " + "=" * 300_000, "<p a= " + " " * 300_000, "<" * 300_000, "<label>" * 100_000 + "<p>x" * 50_000):
+        assert seconds(source) < 6
