@@ -8,8 +8,8 @@ and a logistic layer weighs the responses. Training follows the gradient to the
 winning positions only (Adagrad).
 
 The model is fitted on a bounded sample of labelled rows, ``MAX_LABELLED`` of
-either class with texts of at most ``MAX_CHARS`` characters, chosen by a hash
-of the identifier; rows whose crc32(identifier) mod 5 is 0 are never used. Rows
+either class with texts of at most ``MAX_CHARS`` characters and ``MAX_BYTES``
+together, chosen by a hash of the identifier; rows whose crc32(identifier) mod 5 is 0 are never used. Rows
 where it is 1 set the thresholds: one for all, moved to 0.5, and one for each
 language. All of them that are labelled count, whatever the length of the text,
 in a histogram of scores, so a threshold lies on an edge of a bin, at most
@@ -17,7 +17,9 @@ in a histogram of scores, so a threshold lies on an edge of a bin, at most
 score. Scoring reads every whole text; the model is a broadcast of fixed size.
 
 Defined cases: a null or empty text has no words and gets the score of the bare
-bias. Rows without a label, or with a null identifier, train nothing; with no
+bias. Rows without a label, or with a null identifier, train nothing, and a null
+identifier is not held out; of several documents of one identifier the one whose
+text has the least hash is fitted; with no
 usable labels of both classes every score is 0. A language that has fewer than
 ``MIN_PER_LANGUAGE`` labelled rows among all that set the thresholds, or those
 of one class only, has the threshold 0.5; so has null. Repeated rows score alike.
@@ -41,6 +43,8 @@ from ledgerleaf.operators.joins import join_unique
 
 MAX_LABELLED = 2000
 MAX_CHARS = 50_000
+#: Of all texts that are fitted.
+MAX_BYTES = 32 << 20
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 1
 MIN_PER_LANGUAGE = 20
 #: Bins for one unit of log odds, and the log odds beyond which all share a bin.
@@ -250,16 +254,32 @@ def fold_of(doc_id):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame) -> list[tuple[bytes, int]]:
-    """(text, label) of the bounded sample that the model is fitted on."""
+    """(text, label) of the bounded sample that the model is fitted on: at most
+    ``2 * MAX_LABELLED`` texts of ``MAX_BYTES`` together, one for each
+    identifier and label however many documents share the identifier."""
     usable = labels.select("doc_id", F.col("toxic").alias("label")).filter(~fold_of(F.col("doc_id")).isin(HELD_OUT, CALIBRATION))
-    fits = docs.select("doc_id", "text").filter(F.length("text") <= MAX_CHARS)
     parts = []
     for label in (0, 1):
         mine = usable.filter(F.col("label") == label).dropDuplicates(["doc_id"])
         parts.append(mine.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED))
     # At most 2 * MAX_LABELLED rows.
-    chosen = parts[0].unionByName(parts[1])
-    rows = fits.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "label").collect()
+    chosen = F.broadcast(parts[0].unionByName(parts[1]))
+    fits = docs.select("doc_id", "text").filter(F.length("text") <= MAX_CHARS)
+    sized = fits.withColumns({"hash": F.xxhash64("text"), "size": F.octet_length("text")}).join(chosen, "doc_id")
+    one = sized.groupBy("doc_id", "label").agg(F.min(F.struct("hash", "size")).alias("t"))
+    found = one.select("doc_id", "label", "t.hash", "t.size", F.xxhash64("doc_id").alias("turn")).collect()
+    kept, held = [], 0
+    for row in sorted(found, key=lambda r: (r.turn, r.doc_id, r.label)):
+        if held + row.size <= MAX_BYTES:
+            held += row.size
+            kept.append((row.doc_id, row.label, row.hash))
+    if not kept:
+        return []
+    known = docs.sparkSession.createDataFrame(kept, f"known_id {docs.schema['doc_id'].dataType.simpleString()}, label int, known_hash bigint")
+    same = (F.col("doc_id") == F.col("known_id")) & (F.xxhash64("text") == F.col("known_hash"))
+    texts = fits.join(F.broadcast(known), same)
+    # Equal rows are one text again before any of them moves.
+    rows = texts.groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect()
     rows.sort(key=lambda r: (r.doc_id, r.label, r.text))
     return [(r.text.encode("utf-8", "surrogateescape"), r.label) for r in rows]
 
@@ -338,7 +358,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, model: TextCNN | None = None)
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = train(docs, table(spark, sf_dir, "labels"))
-    held_out = fold_of(F.col("doc_id")) == HELD_OUT
+    held_out = F.coalesce(fold_of(F.col("doc_id")) == HELD_OUT, F.lit(False))
     scored = score_column(docs, model, ["doc_id", "lang"])
     return scored.select(
         "doc_id",

@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from ledgerleaf.llm import toxicity as tox
 
@@ -97,3 +98,57 @@ def test_a_small_language_of_a_large_table_has_its_threshold(spark, documents, m
     of = lambda lang: tox.threshold(tox.F.lit(lang), model)
     got = spark.range(1).select(*[of(x).alias(str(x)) for x in ("xx", "rare", None)]).first()
     assert tuple(got) == (pytest.approx(model.languages["xx"]), 0.5, 0.5)
+
+
+def test_one_text_for_each_identifier(spark, documents, monkeypatch):
+    """3,000 rows of four identifiers give one text each, and bytes bound the rest."""
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 5 > 1][:4]
+    rows = [(ids[k % 4], f"text {k % 500}", "en") for k in range(3000)]
+    known = spark.createDataFrame([(i, k % 2) for k, i in enumerate(ids)], "doc_id bigint, toxic int")
+    got = tox.labelled_sample(documents(rows), known)
+    assert sorted(label for _, label in got) == [0, 0, 1, 1]
+    assert got == tox.labelled_sample(documents(rows[::-1]), known)
+    monkeypatch.setattr(tox, "MAX_BYTES", 20)
+    assert 0 < sum(len(text) for text, _ in tox.labelled_sample(documents(rows), known)) <= 20
+
+
+def test_best_cut_by_brute_force():
+    """Of all thresholds between bins, none has a better F1."""
+    rng = np.random.default_rng(8)
+    for _ in range(50):
+        number = rng.integers(-20, 20, 30)
+        n = rng.integers(1, 9, 30)
+        toxic = np.minimum(rng.integers(0, 9, 30), n)
+        low, high = number / 10, number / 10 + 0.05
+
+        def f1(cut):
+            above = low > cut
+            return 2 * toxic[above].sum() / max(1, n[above].sum() + toxic.sum())
+
+        cut = tox.best_cut(number, low, high, n, toxic)
+        assert f1(cut) >= max(f1(c) for c in np.arange(-3, 3, 0.1) + 0.07) - 1e-12
+
+
+def test_pooled_scores_by_brute_force(trained):
+    """Every window of every filter, one at a time."""
+    texts = [b"", b"one", b"some words of a text and words again", b"idiot you vile thing"]
+    words = tox.read_words(texts)
+    want = np.zeros((len(texts), len(trained.out)))
+    for t in range(len(texts)):
+        for start in range(words.starts[t], words.starts[t] + words.counts[t]):
+            for j, width in enumerate(tox.WIDTHS):
+                for f in range(tox.FILTERS):
+                    value = float(trained.bias[j][f])
+                    for k in range(width):
+                        vector = trained.tables[0][words.one[start + k]] + trained.tables[1][words.two[start + k]]
+                        value += float(vector @ trained.filters[j][k, :, f])
+                    want[t, j * tox.FILTERS + f] = max(want[t, j * tox.FILTERS + f], value)
+    assert np.allclose(trained.pooled(words), want, atol=1e-4)
+
+
+def test_null_identifiers_and_very_long_texts(spark, documents, trained):
+    rows = [(None, "kind words", "en"), (1, "word " * 400_000, "en")]
+    scored = {r.doc_id: r.score for r in tox.score_column(documents(rows), trained, ["doc_id"]).collect()}
+    assert set(scored) == {None, 1} and all(0 <= v <= 1 for v in scored.values())
+    held = documents(rows).select(F.coalesce(tox.fold_of(F.col("doc_id")) == tox.HELD_OUT, F.lit(False)).alias("h")).collect()
+    assert held[0].h is False
