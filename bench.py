@@ -2,7 +2,8 @@
 
 Reads $BENCH_SF_DIR (default /root/testdata/sf0.1), runs on
 local[$BENCH_CPUS] and prints one JSON line. Each query is run once to warm up
-and then timed over $BENCH_RUNS runs (default 3); the median is reported.
+and then timed over $BENCH_RUNS runs (default 3, one for runs of 20 s or more);
+the median is reported.
 """
 
 from __future__ import annotations
@@ -87,9 +88,9 @@ def main() -> None:
 
     seconds = {}
     for name in chosen:
+        # Every query is warmed up; one that takes long is then timed once.
         first = once(name)
-        # A query that takes long is not repeated: its spread is small.
-        timed = [once(name) for _ in range(runs)] if first < 20 else [first]
+        timed = [once(name) for _ in range(runs if first < 20 else 1)]
         seconds[name] = round(statistics.median(timed), 3)
     print(
         json.dumps(
