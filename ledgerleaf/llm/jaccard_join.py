@@ -21,8 +21,12 @@ when 100 * |A & B| >= 75 * |A | B|, and a component is what links connect.
    link can lie.
 3. Inside a neighbourhood signature trees find the links (signature_tree.py).
    A neighbourhood beyond ``UNIT_TOKENS`` is dealt over several tasks: chunks
-   first, then one document of each group of each chunk, and at last whatever
-   is still outside the largest group against every chunk. No pair is left out.
+   of sets of like size first, then one document of each group of each chunk,
+   and at last whatever is still outside the largest group. Before those texts
+   move, chunks and records are joined as numbers: by the tokens of step 2, of
+   which linked sets have one in common, and by the range of sizes and the
+   groups that a chunk holds them in. A text goes to the chunks that pass, so no
+   pair that can link is left out.
 4. Components of the links, and for every document the smallest identifier.
 
 Sets travel as texts and are computed again where they are compared; only the
@@ -243,8 +247,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(edges[:, 0]), pa.array(edges[:, 1])], ["a", "b"])
 
 
-def neighbourhood_edges(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """Edges (a, b) of digests: linked sets are always connected."""
+def rarest_shared(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(token, node): of two linked sets some token is always left under both."""
     shared = _by_token(rows).mapInArrow(_shared, "token bigint, node bigint, held bigint")
     sizes = sets.filter("n > 0").groupBy(F.col("d1").alias("node")).agg(F.min("n").alias("n"))
     # What the smallest set that can link to one of n asks for.
@@ -257,7 +261,11 @@ def neighbourhood_edges(rows: DataFrame, sets: DataFrame) -> DataFrame:
     )
     # Of two linked sets one of the rarest shared tokens of either is common.
     rarest = F.col("place") <= F.col("shared") - least + 1
-    rows = materialize(placed.join(sizes, "node").filter(rarest).select("token", "node"), "rarest-shared")
+    return materialize(placed.join(sizes, "node").filter(rarest).select("token", "node"), "rarest-shared")
+
+
+def neighbourhood_edges(rows: DataFrame) -> DataFrame:
+    """Edges (a, b) of digests: linked sets are always connected."""
     rare = _by_token(rows.filter("token >= 0")).select("token", "node").mapInArrow(_runs, "a bigint, b bigint")
     late = rows.filter("token < 0")
     # One row per frequent token: at most FREQUENT.
@@ -317,50 +325,90 @@ def _linked(dealt: DataFrame) -> DataFrame:
     return materialize(links, "links")
 
 
-def linked_records(plain: DataFrame, classes: DataFrame, edges: DataFrame, unit_tokens: int = UNIT_TOKENS) -> DataFrame:
-    """(node, root) of the class records that any link connects."""
+def linked_records(
+    plain: DataFrame, classes: DataFrame, edges: DataFrame, held: DataFrame, unit_tokens: int = UNIT_TOKENS
+) -> DataFrame:
+    """(node, root) of the class records that any link connects; ``held`` are the
+    rows (token, node) of which two linked sets always have a token in common."""
     homes = connected_components(edges).withColumnsRenamed({"node": "d1", "root": "home"})
-    leads = classes.select("rec", F.col("lead.id").alias("id"), "n", "d1", "d2")
+    leads = classes.select("rec", F.col("lead.id").alias("member_id"), F.col("lead.copies").alias("copies"), "n", "d1", "d2")
     members = homes.join(leads, "d1")
-    sizes = members.groupBy("home").agg(F.sum("n").alias("tokens"))
-    wide = sizes.filter(F.col("tokens") > unit_tokens)
-    chunks = F.coalesce(F.ceil(F.col("tokens") * 2 / F.lit(unit_tokens)), F.lit(1)).cast("bigint")
-    chunk = F.pmod(F.xxhash64("rec"), chunks)
-    all_single = wide.isEmpty()
-    placed = members.withColumn("tokens", F.lit(None).cast("bigint")) if all_single else members.join(wide, "home", "left")
-    placed = placed.withColumn("chunk", chunk).withColumn("chunks", chunks)
-    ids = placed.withColumnRenamed("id", "member_id")
-    texts = plain.join(ids, F.col("id").eqNullSafe(F.col("member_id"))).drop("id", "member_id")
-    own = texts.withColumn("grp", F.col("rec"))
-    if all_single:
-        # Each neighbourhood was one unit: its groups are the components.
-        return _linked(own.select("*", *_unit("home", F.lit(0), F.lit(0)))).withColumnsRenamed({"a": "node", "b": "root"})
+    sizes = members.groupBy("home").agg(F.sum("n").alias("tokens"), F.max("copies").alias("copies"))
+    most = sizes.agg(F.max("tokens").alias("tokens"), F.max("copies").alias("copies")).first()
+    if (most["tokens"] or 0) <= unit_tokens:
+        # Each neighbourhood is one unit: its groups are the components.
+        texts = _texts(plain, members, most["copies"])
+        return _linked(texts.select("*", F.col("rec").alias("grp"), *_unit("home", F.lit(0), F.lit(0)))).withColumnsRenamed(
+            {"a": "node", "b": "root"}
+        )
+    wide = sizes.filter(F.col("tokens") > unit_tokens).select("home")
+    members = _by_size(members, members.join(wide, "home", "left_semi"), unit_tokens, "chunk")
     # Wide neighbourhoods come back twice, so their texts are kept.
-    texts = materialize(own, "neighbourhood-texts")
-    links = _linked(texts.select("*", *_unit("home", "chunk", F.lit(0))))
+    texts = materialize(_texts(plain, members, most["copies"]), "neighbourhood-texts")
+    links = _linked(texts.select("*", F.col("rec").alias("grp"), *_unit("home", F.coalesce("chunk", F.lit(0)), F.lit(0))))
+    numbers = texts.filter("chunk IS NOT NULL").select("rec", "d1", "n", "home", "chunk").distinct()
     # One document of each group of each chunk.
-    grouped = _grouped(texts.filter("chunks > 1"), links)
+    grouped = _grouped(numbers, links)
     heads = grouped.groupBy("home", "chunk", "grp").agg(F.min("rec").alias("rec")).select("rec")
-    some = grouped.join(heads, "rec", "left_semi")
-    total = some.groupBy("home").agg(F.sum("n").alias("head_tokens"))
-    some = some.join(total, "home").withColumn(
-        "chunk", F.pmod(F.xxhash64("rec"), F.ceil(F.col("head_tokens") * 2 / F.lit(unit_tokens)).cast("bigint"))
+    some = grouped.join(heads, "rec", "left_semi").drop("chunk")
+    some = _by_size(some, some, unit_tokens, "chunk").select("rec", "grp", *_unit("home", "chunk", F.lit(1)))
+    links = links.union(_linked(_with_texts(some, texts)))
+    # Whatever is outside the largest group of its neighbourhood, against the chunks it can link to.
+    grouped = materialize(_grouped(numbers, links), "grouped-records")
+    groups = grouped.groupBy("home", "grp").agg(F.sum("n").alias("weight"))
+    largest = groups.groupBy("home").agg(F.max_by("grp", "weight").alias("main"))
+    outside = grouped.join(largest, "home").filter("grp != main").drop("main", "chunk")
+    outside = materialize(_by_size(outside, outside, unit_tokens, "own"), "outside-records")
+    crossed = _sent(grouped, "chunk", outside, "own", held).union(_sent(outside, "own", grouped, "chunk", held))
+    crossed = crossed.distinct().select("rec", "grp", *_unit("home", "own", "chunk"))
+    return connected_components(links.union(_linked(_with_texts(crossed, texts))))
+
+
+def _texts(plain: DataFrame, members: DataFrame, copies: int | None) -> DataFrame:
+    """Members with their texts; of equal rows under one identifier one is sent."""
+
+    def fetched(ids: DataFrame) -> DataFrame:
+        return plain.join(ids, F.col("id").eqNullSafe(F.col("member_id"))).drop("id", "member_id", "copies")
+
+    if (copies or 1) == 1:
+        return fetched(members)
+    again = fetched(members.filter("copies > 1"))
+    rest = [c for c in again.columns if c != "content"]
+    once = again.groupBy(*rest, F.xxhash64("content").alias("text_hash")).agg(F.any_value("content").alias("content"))
+    return fetched(members.filter("copies = 1")).unionByName(once.drop("text_hash"))
+
+
+def _by_size(rows: DataFrame, cut: DataFrame, unit_tokens: int, name: str) -> DataFrame:
+    """Column ``name``: parts of at most about ``unit_tokens`` for the homes of
+    ``cut`` (null for others), sets of like size together. A home has as many
+    bands as its sizes have steps of an eighth, so its bands are few."""
+    band = F.floor(F.log("n") / F.log(F.lit(1.125))).alias("band")
+    bands = cut.groupBy("home", band).agg(F.sum("n").alias("weight"))
+    earlier = Window.partitionBy("home").orderBy("band").rowsBetween(Window.unboundedPreceding, -1)
+    bands = bands.withColumn("before", F.coalesce(F.sum("weight").over(earlier), F.lit(0)))
+    third = F.lit(unit_tokens / 3)
+    placed = rows.withColumn("band", band).join(bands, ["home", "band"], "left")
+    within = F.pmod(F.xxhash64("rec"), F.ceil(F.col("weight") / third).cast("bigint"))
+    # A part gets the end of one band, whole bands and the start of another: a third each.
+    return placed.withColumn(name, F.floor(F.col("before") / third) + within).drop("band", "weight", "before")
+
+
+def _sent(rows: DataFrame, own: str, others: DataFrame, other: str, held: DataFrame) -> DataFrame:
+    """(home, rec, grp, own, chunk): each record with the parts of ``others`` in
+    which a set of another group, of a size that can link, holds one of its tokens."""
+    tokens = held.withColumnRenamed("node", "d1")
+    # What a part holds of a token: its sizes and groups.
+    signs = others.join(tokens, "d1").groupBy("home", F.col(other), "token").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("grp").alias("one"), F.max("grp").alias("another")
     )
-    links = links.union(_linked(some.select("*", *_unit("home", "chunk", F.lit(1)))))
-    # Whatever is outside the largest group of its neighbourhood, against every chunk.
-    grouped = materialize(_grouped(texts.filter("chunks > 1"), links), "grouped-texts")
-    groups = grouped.groupBy("home", "grp").agg(F.sum("n").alias("held"))
-    largest = groups.groupBy("home").agg(F.max_by("grp", "held").alias("main"))
-    outside = grouped.join(largest, "home").filter("grp != main").drop("main")
-    left = outside.groupBy("home").agg(F.sum("n").alias("out_tokens"))
-    parts = F.ceil(F.col("out_tokens") * 2 / F.lit(unit_tokens)).cast("bigint")
-    one = outside.join(left, "home").withColumn("own", F.pmod(F.xxhash64("rec"), parts))
-    one = one.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("chunks") - 1)))
-    every = grouped.join(left, "home").withColumn("own", F.explode(F.sequence(F.lit(0).cast("bigint"), parts - 1)))
-    every = every.withColumn("other", F.col("chunk"))
-    names = ["rec", "d1", "d2", "grp", "content"]
-    crossed = one.select(*names, *_unit("home", "own", "other")).union(every.select(*names, *_unit("home", "own", "other")))
-    return connected_components(links.union(_linked(crossed)))
+    near = (F.col("n") * SHARE[1] >= F.col("least") * SHARE[0]) & (F.col("most") * SHARE[1] >= F.col("n") * SHARE[0])
+    apart = (F.col("one") != F.col("grp")) | (F.col("another") != F.col("grp"))
+    found = rows.join(tokens, "d1").join(signs, ["home", "token"]).filter(near & apart)
+    return found.select("home", "rec", "grp", "own", "chunk").distinct()
+
+
+def _with_texts(dealt: DataFrame, texts: DataFrame) -> DataFrame:
+    return dealt.join(texts.select("rec", "d1", "d2", "content"), "rec")
 
 
 def _unit(first, second, third) -> list:
@@ -369,10 +417,10 @@ def _unit(first, second, third) -> list:
     ]
 
 
-def _grouped(texts: DataFrame, links: DataFrame) -> DataFrame:
-    """Texts with the group that the links so far put them in."""
+def _grouped(records: DataFrame, links: DataFrame) -> DataFrame:
+    """Records with the group that the links so far put them in."""
     roots = connected_components(links).withColumnRenamed("node", "rec")
-    return texts.drop("grp").join(roots, "rec", "left").withColumn("grp", F.coalesce("root", "rec")).drop("root")
+    return records.join(roots, "rec", "left").withColumn("grp", F.coalesce("root", "rec")).drop("root")
 
 
 def jaccard_records(docs: DataFrame, text: str = "text", row_id: str = "doc_id", unit_tokens: int = UNIT_TOKENS) -> DataFrame:
@@ -382,12 +430,11 @@ def jaccard_records(docs: DataFrame, text: str = "text", row_id: str = "doc_id",
     least = F.min(F.struct(F.col("id").isNull().alias("late"), "id", "rec"))
     # Equal sets are one class: one row each, combined before the shuffle. The
     # record of its first row stands for it.
-    classes = sets.filter("n > 0").groupBy("d1", "d2", "n").agg(
-        F.min(F.struct("rec", "id")).alias("lead"), least.alias("least")
-    )
+    each = sets.filter("n > 0").groupBy("d1", "d2", "n", "id").agg(F.min("rec").alias("rec"), F.count(F.lit(1)).alias("copies"))
+    classes = each.groupBy("d1", "d2", "n").agg(F.min(F.struct("rec", "id", "copies")).alias("lead"), least.alias("least"))
     classes = classes.withColumn("rec", F.col("lead.rec"))
-    edges = neighbourhood_edges(prefix_tokens(plain, Order(frequent_tokens(plain))), sets)
-    roots = linked_records(plain, classes, edges, unit_tokens)
+    held = rarest_shared(prefix_tokens(plain, Order(frequent_tokens(plain))), sets)
+    roots = linked_records(plain, classes, neighbourhood_edges(held), held, unit_tokens)
     classes = classes.join(roots, classes["rec"] == roots["node"], "left").withColumn("component", F.coalesce("root", "rec"))
     best = classes.groupBy("component").agg(F.min("least").alias("best"))
     named = materialize(classes.select("d1", "d2", "n", "component").join(best, "component"), "class-components")

@@ -155,3 +155,47 @@ def test_a_shared_identifier_fetches_each_text_once(documents, monkeypatch, iden
     got = join.jaccard_components(documents(rows)).collect()
     assert [(r.doc_id, r.component_id) for r in got] == [(ident, ident)] * 25
     assert fetched == [25]
+
+
+def test_equal_rows_under_one_identifier_deal_one_text(documents, monkeypatch):
+    words = [f"w{k}" for k in range(60)]
+    rows = [(1, " ".join(words))] * 500 + [(2, " ".join([*words, "end"]))]
+    dealt, linked = [], join._linked
+    monkeypatch.setattr(join, "_linked", lambda rows: dealt.append(rows.count()) or linked(rows))
+    assert found(join.jaccard_components(documents(rows).repartition(4))) == brute(rows)
+    assert dealt == [2]
+
+
+def test_an_unlinked_wide_neighbourhood_sends_few_texts(documents, monkeypatch):
+    """Each text has a third of its words in common with the next: one
+    neighbourhood of many chunks, no links."""
+    rng = random.Random(9)
+    shared = [[f"s{i}_{k}" for k in range(20 + i // 4)] for i in range(121)]
+    rows = []
+    for i in range(120):
+        own = [f"o{i}_{k}" for k in range(20 + i // 4)]
+        rows.append((i, " ".join(shared[i] + own + shared[i + 1])))
+    rng.shuffle(rows)
+    dealt, linked = [], join._linked
+    monkeypatch.setattr(join, "ASKED_ONE_IN", 1 << 30)
+    monkeypatch.setattr(join, "prefix_lengths", lambda n: n)
+    monkeypatch.setattr(join, "_linked", lambda rows: dealt.append(rows.select("unit1", "unit2", "unit3", "rec").collect()) or linked(rows))
+    made = join.jaccard_records(documents(rows).repartition(3), unit_tokens=1500).select("id", "n", "least_id")
+    assert found(made) == brute(rows)
+    chunks = len({r.unit2 for r in dealt[0]})
+    assert len(dealt) == 3 and len({r.unit1 for r in dealt[0]}) == 1 and chunks > 8
+    assert len(dealt[2]) < len(rows) * chunks / 2
+
+
+def test_parts_by_size_are_bounded_and_narrow(spark):
+    rng = random.Random(4)
+    rows = [(rng.randrange(2), k, rng.randrange(1, 400)) for k in range(4000)]
+    frame = spark.createDataFrame(rows, "home bigint, rec bigint, n bigint")
+    got = join._by_size(frame, frame.filter("home = 1"), 9000, "part").collect()
+    assert len(got) == len(rows) and all((r.part is None) == (r.home == 0) for r in got)
+    parts = {}
+    for r in got:
+        if r.home:
+            parts.setdefault(r.part, []).append(r.n)
+    assert max(map(sum, parts.values())) < 9000 and len(parts) < 4 * sum(map(sum, parts.values())) / 9000
+    assert all(max(p) <= 1.6 * min(p) for p in parts.values() if min(p) > 100)
