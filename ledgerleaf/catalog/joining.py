@@ -68,7 +68,22 @@ for _how in joins.JOIN_TYPES:
 def join_label_features(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    return joins.join_tables([labels, documents], "doc_id")
+    return joins.join_checked({"labels": labels, "documents": documents}, "doc_id")
+
+
+@query(
+    "join_repeated_keys",
+    """SELECT 'lineitem' AS table_name, '{"order_key":' || l_orderkey || '}' AS key_text, count(*) AS key_count
+       FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey HAVING count(*) > 1
+       UNION ALL
+       SELECT 'orders', '{"order_key":' || o_orderkey || '}', count(*)
+       FROM orders WHERE o_orderkey IS NOT NULL GROUP BY o_orderkey HAVING count(*) > 1""",
+)
+def join_repeated_keys(spark, sf_dir):
+    """What the fold join would refuse: keys that repeat in a table."""
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "order_key")
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_orderkey", "order_key")
+    return joins.repeated_keys({"lineitem": lines, "orders": orders}, "order_key")
 
 
 def _enriched(spark, sf_dir):

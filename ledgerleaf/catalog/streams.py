@@ -93,6 +93,9 @@ def stream_source_ranges(spark, sf_dir):
     return counts.join(ranges, "batch_id")
 
 
+#: How late a row of the tables may be: they span 30 days and arrive out of order.
+_LATENESS = "60 days"
+
 #: Arrivals of the timed stream.
 _TIMED = 2
 
@@ -154,6 +157,34 @@ def stream_subtract(spark, sf_dir):
     return _in_batches(spark, sources, both, jobs.subtract_sides("custkey"), "custkey bigint")
 
 
+@query(
+    "stream_windowed_subtract",
+    """WITH e AS (SELECT event_type, user_id, epoch_us(ts) // 21600000000 AS w FROM events WHERE ts IS NOT NULL)
+      SELECT w * 21600 AS start_second, user_id FROM e WHERE event_type = 'view' AND NOT EXISTS
+        (SELECT 1 FROM e AS p WHERE p.event_type = 'purchase' AND p.w = e.w AND p.user_id = e.user_id)""",
+)
+def stream_windowed_subtract(spark, sf_dir):
+    """Views by users without a purchase in the same six hours, from two streams
+    that arrive in pieces out of order.
+
+    The last piece of either stream has a closing row, far behind all others:
+    its watermark lets every window of the table out.
+    """
+    events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
+    closing = events.agg(F.max("ts").alias("ts")).filter(F.col("ts").isNotNull()).select(
+        F.lit(_ARRIVALS - 1).cast("bigint").alias("event_id"),
+        (F.col("ts") + F.expr(f"INTERVAL {_LATENESS} + INTERVAL 1 DAY")).alias("ts"),
+        F.lit(None).cast("bigint").alias("user_id"),
+    )
+    of = lambda kind: events.filter(F.col("event_type") == kind).drop("event_type").union(closing)
+    open_windows = lambda views, purchases: windows.windowed_subtract(
+        views, purchases, "ts", "user_id", "6 hours", _LATENESS, spread=["event_id"]
+    )
+    sources = [(of("view"), F.col("event_id")), (of("purchase"), F.col("event_id"))]
+    got = _in_batches(spark, sources, open_windows, lambda batch: batch, "start timestamp, end timestamp, user_id bigint")
+    return got.select(F.unix_seconds("start").alias("start_second"), "user_id")
+
+
 def _sliding_sql(length, slide, offset):
     """Window starts that cover each event, in whole microseconds."""
     steps = -(-length // slide)
@@ -174,13 +205,13 @@ def _seconds(counts):
 @query("stream_sliding_3_2", _sliding_sql(3_000_000, 2_000_000, 1_000_000))
 def stream_sliding_3_2(spark, sf_dir):
     events = _stream(spark, sf_dir, "events").select("ts")
-    return _seconds(windows.run_sliding_counts(events, "ts", "3 seconds", "2 seconds", "1 second", lateness="60 days"))
+    return _seconds(windows.run_sliding_counts(events, "ts", "3 seconds", "2 seconds", "1 second", lateness=_LATENESS))
 
 
 @query("stream_sliding_2_1", _sliding_sql(2_000_000, 1_000_000, 0))
 def stream_sliding_2_1(spark, sf_dir):
     events = _stream(spark, sf_dir, "events").select("ts")
-    return _seconds(windows.run_sliding_counts(events, "ts", "2 seconds", "1 second", lateness="60 days"))
+    return _seconds(windows.run_sliding_counts(events, "ts", "2 seconds", "1 second", lateness=_LATENESS))
 
 
 @query(

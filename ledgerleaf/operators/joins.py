@@ -3,7 +3,7 @@ measures as small and splits skewed keys at run time otherwise."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,13 +19,55 @@ BROADCAST_BYTES = 64 * 1024 * 1024
 def join_tables(tables: Sequence[DataFrame], key: str | Sequence[str], how: str = "left") -> DataFrame:
     """First table joined with each further one on ``key``.
 
-    Meant for tables with one row per key, which stay where their grouping put
-    them. Rows that repeat a key are joined with :func:`enrich`.
+    Meant for further tables that were grouped by the key: they have one row
+    per key and stay where their grouping put them. Tables from elsewhere are
+    joined with :func:`join_checked`, raw rows with :func:`enrich`.
     """
     if how not in JOIN_TYPES:
         raise ValueError(f"join type must be one of {JOIN_TYPES}, not {how!r}")
-    keys = [key] if isinstance(key, str) else list(key)
-    return reduce(lambda done, table: done.join(table, keys, how), tables)
+    return reduce(lambda done, table: done.join(table, _names(key), how), tables)
+
+
+def _names(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def repeated_keys(tables: Mapping[str, DataFrame], key: str | Sequence[str]) -> DataFrame:
+    """(table_name, key_text, key_count): the keys that a table has in more
+    than one row.
+
+    Only the key columns are read; counts combine before they move, so a key
+    that holds much of a table costs no more than another. A key with a missing
+    part meets nothing in a join and is never repeated.
+    """
+    if not tables:
+        raise ValueError("no tables to look for repeated keys in")
+    keys = _names(key)
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+    def of(name: str, table: DataFrame) -> DataFrame:
+        counts = table.filter(complete).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > 1)
+        text = F.to_json(F.struct(*keys))
+        return counts.select(F.lit(name).alias("table_name"), text.alias("key_text"), F.col("_n").alias("key_count"))
+
+    return reduce(DataFrame.union, [of(name, table) for name, table in tables.items()])
+
+
+def join_checked(tables: Mapping[str, DataFrame], key: str | Sequence[str], how: str = "left") -> DataFrame:
+    """:func:`join_tables` after a look at the keys of all further tables.
+
+    A key that repeats there would multiply rows, so it fails the call before
+    anything is joined. The first table may repeat keys; its rows come from
+    the source and not from a grouping, so one that holds much of the table is
+    split at run time.
+    """
+    named = list(tables.items())
+    if len(named) > 1:
+        # The first one found will do: one row comes to the driver.
+        found = repeated_keys(dict(named[1:]), key).first()
+        if found is not None:
+            raise ValueError(f"{found.table_name} has {found.key_count} rows with the key {found.key_text}")
+    return join_tables([table for _, table in named], key, how)
 
 
 def existing_tables(spark: SparkSession, names: Sequence[str]) -> list[str]:
@@ -34,11 +76,12 @@ def existing_tables(spark: SparkSession, names: Sequence[str]) -> list[str]:
 
 
 def join_catalog(spark: SparkSession, names: Sequence[str], key: str, how: str = "left") -> DataFrame:
-    """Fold join over the named tables; names without a table are skipped."""
+    """Fold join over the named tables; names without a table are skipped. A
+    further table that repeats a key fails the join."""
     found = existing_tables(spark, names)
     if not found:
         raise ValueError(f"none of the tables exists: {list(names)}")
-    return join_tables([spark.table(name) for name in found], key, how)
+    return join_checked({name: spark.table(name) for name in found}, key, how)
 
 
 def join_unique(rows: DataFrame, unique: DataFrame, key: str, how: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from ledgerleaf.operators.clean import fill_zero
 from ledgerleaf.operators.dictionary import dictionary_lines, encode, fit_dictionary
 from ledgerleaf.operators.features import libsvm_table
-from ledgerleaf.operators.joins import join_tables
+from ledgerleaf.operators.joins import join_checked
 from ledgerleaf.sinks.files import write_libsvm, write_text
 
 
@@ -32,8 +32,9 @@ def convert(
 def convert_labeled(
     features: DataFrame, labels: DataFrame, key: str, label: str, dictionary: DataFrame | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """As :func:`convert`, for labels kept in a table of their own."""
-    joined = join_tables([labels.select(key, label), features], key)
+    """As :func:`convert`, for labels kept in a table of their own. Features have
+    one row per key; a key that repeats fails."""
+    joined = join_checked({"labels": labels.select(key, label), "features": features}, key)
     return convert(joined, key, label, dictionary)
 
 

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerleaf.streaming.jobs import run_batches
 
+#: Pieces over which the rows of one window and value are dealt.
+PIECES = 16
+
 
 def sliding_counts(
     stream: DataFrame, at: str, length: str, slide: str, offset: str | None = None, lateness: str | None = None
@@ -40,23 +45,40 @@ def run_sliding_counts(
 
 
 def windowed_subtract(
-    left: DataFrame, right: DataFrame, at: str, column: str, length: str, lateness: str
+    left: DataFrame,
+    right: DataFrame,
+    at: str,
+    column: str,
+    length: str,
+    lateness: str,
+    spread: Sequence[str] = (),
+    pieces: int = PIECES,
 ) -> DataFrame:
     """Left rows whose value the right stream does not have in the same window
     of event time, as a stream (start, end, value).
 
     A row comes out once the watermarks of both streams have passed its
-    window; how the streams are cut into batches does not matter.
+    window; how the streams are cut into batches does not matter. Missing
+    values are equal to nothing and come out, as repeated left rows do; rows
+    without a time belong to no window and are left out.
+
+    A value that holds much of a window is dealt over ``pieces``: left rows by a
+    hash of their time and of the ``spread`` columns (those that tell rows of
+    one moment apart), the one right row of a window and value to each piece.
     """
 
     def windowed(stream: DataFrame, window: str, value: str) -> DataFrame:
-        timed = stream.select(F.col(at).cast("timestamp").alias("_at"), F.col(column).alias(value))
-        return timed.withWatermark("_at", lateness).select(F.window("_at", length).alias(window), value)
+        timed = stream.withColumn(at, F.col(at).cast("timestamp")).withWatermark(at, lateness)
+        piece = F.pmod(F.xxhash64(at, *[c for c in spread if c in stream.columns]), F.lit(pieces))
+        return timed.select(F.window(at, length).alias(window), F.col(column).alias(value), piece.alias(f"{window}_piece"))
 
     a = windowed(left, "w", column)
-    # One row per window and value is enough to take left rows away.
-    b = windowed(right, "_rw", "_right").dropDuplicates(["_rw", "_right"])
-    joined = a.join(b, (F.col("w") == F.col("_rw")) & (F.col(column) == F.col("_right")), "left_outer")
-    return joined.filter(F.col("_rw").isNull()).select(
+    # Twice, so that one task sees at most a row per piece of a hot value.
+    b = windowed(right, "r", "_right").dropDuplicates(["r", "_right", "r_piece"]).dropDuplicates(["r", "_right"])
+    every = F.explode(F.sequence(F.lit(0), F.lit(pieces - 1)).cast("array<bigint>"))
+    b = b.select("r", "_right", every.alias("r_piece"))
+    same = (F.col("w") == F.col("r")) & (F.col(column) == F.col("_right")) & (F.col("w_piece") == F.col("r_piece"))
+    joined = a.join(b, same, "left_outer")
+    return joined.filter(F.col("r").isNull()).select(
         F.col("w.start").alias("start"), F.col("w.end").alias("end"), column
     )

@@ -131,6 +131,37 @@ def test_join_types_and_missing_tables(spark):
         joins.join_catalog(spark, ["no_such_table"], "k")
 
 
+def test_repeated_keys_fail_the_fold(spark):
+    a = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, x string")
+    b = spark.createDataFrame([(1, "p"), (None, "q"), (None, "r")], "k int, y string")
+    c = spark.createDataFrame([(2, 1), (2, 2), (3, 1)], "k int, z int")
+    # The first table may repeat keys; missing keys are never repeated.
+    joined = joins.join_checked({"a": a, "b": b}, "k")
+    assert sorted((r.x, r.y) for r in joined.collect()) == [("a", "p"), ("b", "p"), ("c", None), ("d", None)]
+    assert joins.join_checked({"a": a, "b": b}, "k", "full").count() == 6
+    with pytest.raises(ValueError, match='c has 2 rows with the key {"k":2}'):
+        joins.join_checked({"a": a, "b": b, "c": c}, "k")
+    assert joins.join_checked({"a": a, "c": c.withColumnRenamed("z", "x2").dropDuplicates(["k"])}, "k").count() == 4
+    assert joins.join_checked({"a": a}, "k").count() == 4
+    found = joins.repeated_keys({"a": a, "b": b, "c": c}, "k")
+    assert sorted(map(tuple, found.collect())) == [("a", '{"k":1}', 2), ("c", '{"k":2}', 2)]
+    # Of two columns a key repeats only as a whole.
+    pairs = spark.createDataFrame([(1, "a"), (1, "b"), (1, None), (1, None), (1, "b")], "k int, x string")
+    assert [r.key_count for r in joins.repeated_keys({"p": pairs}, ["k", "x"]).collect()] == [2]
+    for name in ("a", "c"):
+        {"a": a, "c": c}[name].createOrReplaceTempView(f"fold_{name}")
+    with pytest.raises(ValueError, match="fold_c has 2 rows"):
+        joins.join_catalog(spark, ["fold_a", "fold_c"], "k")
+    with pytest.raises(ValueError):
+        joins.repeated_keys({}, "k")
+
+
+def test_only_keys_are_read_to_look_for_repeats(spark, tmp_path):
+    spark.createDataFrame([(1, "a", 2)], "k int, x string, y int").write.parquet(f"{tmp_path}/t")
+    plan = joins.repeated_keys({"t": spark.read.parquet(f"{tmp_path}/t")}, "k")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<k:int>" in plan and plan.count("Exchange hashpartitioning") == 1
+
+
 def test_broadcast_is_given_up_for_a_large_side(spark):
     a, b = spark.range(100), spark.range(50)
     small = joins.with_strategy(a, b, "id", "broadcast")._jdf.queryExecution().optimizedPlan().toString()

@@ -128,6 +128,36 @@ def test_subtract_per_window_of_event_time(spark):
     assert rows == [(0, "pandas"), (1, "hi holden"), (2, "bye")]
 
 
+def test_windowed_subtract_of_hot_missing_and_repeated_values(spark):
+    """Brute force over one hot value, missing values, missing times, repeated
+    rows and batches out of order."""
+    left = [(i % 4, i, "hot") for i in range(80)] + [(1, 200, "hot"), (1, 200, "hot"), (0, 201, None), (2, 202, "b"), (None, 203, "b")]
+    left += [(3, i, "c") for i in (300, 300, 301)]
+    right = [(0, i, "hot") for i in range(60)] + [(2, 400, "hot"), (1, 401, None), (3, 402, "b"), (0, 403, "c"), (None, 404, "c")]
+    gone = {(s, v) for s, _, v in right if s is not None and v is not None}
+    want = sorted((s, str(v)) for s, _, v in left if s is not None and (s, v) not in gone)
+
+    def arriving(rows):
+        stream = feed(spark, [rows[1::2], rows[::2], [(1000, 0, "end")]], "second int, n int, value string")
+        return stream.select(F.timestamp_seconds("second").alias("at"), "n", "value")
+
+    kept = windows.windowed_subtract(arriving(left), arriving(right), "at", "value", "1 second", "100 seconds", spread=["n"], pieces=3)
+    got = jobs.run_batches(kept, lambda b: b, "start timestamp, end timestamp, value string")
+    assert sorted((r.second, str(r.value)) for r in got.select(F.unix_seconds("start").alias("second"), "value").collect()) == want
+
+
+def test_a_hot_value_is_dealt_over_pieces(spark):
+    """The join asks for its rows by piece too, and one value's rows differ in theirs."""
+    at = F.timestamp_seconds(F.lit(5))
+    stream = lambda: feed(spark, [[(1, "a")]], "n int, value string").withColumn("at", at)
+    kept = windows.windowed_subtract(stream(), stream(), "at", "value", "1 second", "0 seconds", spread=["n"])
+    plan = kept._jdf.queryExecution().analyzed().toString()
+    assert "w_piece" in plan.split("Join LeftOuter")[1].splitlines()[0]
+    pieces = spark.range(1000).select(F.pmod(F.xxhash64(at, F.col("id").cast("int")), F.lit(windows.PIECES)).alias("p"))
+    sizes = [r["count"] for r in pieces.groupBy("p").count().collect()]
+    assert len(sizes) == windows.PIECES and max(sizes) < 120
+
+
 def test_offset_ranges(spark):
     records = [[("t", 0, 5), ("t", 0, 6), ("t", 1, 0)], [("t", 0, 7)]]
     stream = feed(spark, records, "topic string, partition int, offset bigint")
