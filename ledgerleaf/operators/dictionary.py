@@ -8,9 +8,10 @@ labels of a field, so a field may have any number of them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -85,16 +86,22 @@ def fit_dictionary(
     fields = [field for field in df.schema.fields if field.name not in set(ignore)]
     entries = [(0, NO_TYPE, name) for name in ignore]
     entries += [(i, field_type(field.dataType), field.name) for i, field in enumerate(fields, start=1)]
-    listed = df.sparkSession.createDataFrame(entries, "key int, fieldType string, fieldName string")
+    # One row per column of the table. An Arrow table becomes rows of the plan
+    # itself, which filters remove before anything runs.
+    types = {"key": pa.int32(), "fieldType": pa.string(), "fieldName": pa.string()}
+    columns = zip(*entries, strict=True) if entries else [[], [], []]
+    held = pa.table({name: pa.array(values, kind) for (name, kind), values in zip(types.items(), columns, strict=True)})
+    listed = df.sparkSession.createDataFrame(held)
     texts = [name for _, kind, name in entries if kind == STRING_TYPE]
     unlabelled = listed.withColumns({"label": F.lit(None).cast("string"), "number": F.lit(None).cast("int")})
     if not texts:
         return unlabelled
-    labels = materialize(rank_labels(df, texts, limit, by), "labels")
-    # One row per column of the table.
+    # Noted while the labels are written: at most one name per column.
+    noted = Observation()
+    ranked = rank_labels(df, texts, limit, by).observe(noted, F.collect_set("fieldName").alias("with_labels"))
+    labels = materialize(ranked, "labels")
     labelled = labels.join(F.broadcast(listed), "fieldName").select(*SCHEMA.fieldNames())
-    with_labels = [r.fieldName for r in labels.select("fieldName").distinct().collect()]
-    return labelled.unionByName(unlabelled.filter(~F.col("fieldName").isin(with_labels)))
+    return labelled.unionByName(unlabelled.filter(~F.col("fieldName").isin(noted.get["with_labels"])))
 
 
 def label_maps(dictionary: DataFrame) -> DataFrame:
@@ -115,9 +122,11 @@ def dictionary_lines(dictionary: DataFrame) -> DataFrame:
 
 
 def dictionary_fields(dictionary: DataFrame) -> list[Row]:
-    """Keys, types and names of the fields on the driver: one row per column of
-    the encoded table; labels stay where they are."""
-    rows = dictionary.select("key", "fieldType", "fieldName").distinct().collect()
+    """Keys, types and names of the fields on the driver, with the number of
+    their labels (``n``) and their bytes (``size``): one row per column of the
+    encoded table; labels stay where they are."""
+    labels = [F.count("label").alias("n"), F.coalesce(F.sum(F.octet_length("label")), F.lit(0)).alias("size")]
+    rows = dictionary.groupBy("key", "fieldType", "fieldName").agg(*labels).collect()
     return sorted(rows, key=lambda row: (row["key"] != 0, row["key"]))
 
 
@@ -154,18 +163,23 @@ def _by_cells(df: DataFrame, labels: DataFrame, wanted: dict[int, str]) -> DataF
     return rows.join(numbers, "_row", "left").drop("_row")
 
 
-def with_numbers(df: DataFrame, labels: DataFrame, wanted: dict[int, str], small_rows: int = BROADCAST_ROWS, small_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def with_numbers(
+    df: DataFrame,
+    labels: DataFrame,
+    wanted: dict[int, str],
+    sizes: Mapping[str, tuple[int, int]],
+    small_rows: int = BROADCAST_ROWS,
+    small_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
     """``df`` with the number of each wanted field's label as ``_number<i>``.
 
-    Labels are measured per field. Fields with few are joined by broadcast, so
+    ``sizes`` has the measured labels and bytes of each field. Fields with few are joined by broadcast, so
     the rows stay where they are; one large field is joined by its text, several
     are joined together as cells.
     """
-    found = labels.filter(F.col("fieldName").isin(list(wanted.values()))).groupBy("fieldName")
-    sizes = {r.fieldName: (r.n, r.size) for r in found.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("label")).alias("size")).collect()}
     left_rows, left_bytes, large = small_rows, small_bytes, {}
-    for i, name in sorted(wanted.items(), key=lambda item: sizes.get(item[1], (0, 0))):
-        n, size = sizes.get(name, (0, 0))
+    for i, name in sorted(wanted.items(), key=lambda item: sizes[item[1]]):
+        n, size = sizes[name]
         if n > left_rows or size > left_bytes:
             large[i] = name
             continue
@@ -188,7 +202,8 @@ def encode(df: DataFrame, dictionary: DataFrame, fill: bool = False, **limits: i
     rows = dictionary_fields(dictionary)
     wanted = {i: row["fieldName"] for i, row in enumerate(rows) if row["fieldType"] == STRING_TYPE}
     labels = dictionary.filter(F.col("label").isNotNull())
-    ready = with_numbers(df, labels, wanted, **limits) if wanted else df
+    sizes = {row["fieldName"]: (row["n"], row["size"]) for row in rows}
+    ready = with_numbers(df, labels, wanted, sizes, **limits) if wanted else df
     encoded = ready.select(*[_encoded(row, f"_number{i}").alias(row["fieldName"]) for i, row in enumerate(rows)])
     if not fill:
         return encoded

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions.text import drop_stop_words, has_digit, split_words
-from ledgerleaf.operators.joins import is_small
+from ledgerleaf.operators.joins import BROADCAST_BYTES, BROADCAST_ROWS, is_small
 from ledgerleaf.scratch import materialize
 
 _ROW = "_row_number"
@@ -24,20 +24,28 @@ def remove_stop_words(
     separator: str = "|",
     held_words: int = HELD_WORDS,
     held_bytes: int = HELD_BYTES,
+    broadcast_words: int = BROADCAST_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Text without stop words and without words that hold a digit.
 
     ``stop_words`` has one column and may have any size. Only stop words that
-    occur in the texts matter: the texts' distinct words, combined before they
-    move, are joined with the list. If what is left is small, measured by words
+    occur in the texts matter. A list measured as fit for a broadcast meets the
+    words of the texts where they are, and few of them move; a longer one is
+    joined with the texts' distinct words, combined before they move. If what is left is small, measured by words
     and bytes, it becomes a hashed set in the generated code and the texts stay
     where they are. Otherwise the words of the texts are joined (:func:`_joined_out`).
     """
     names = [F.col(f"`{name}`") for name in df.columns]
     stops = stop_words.toDF("_stop").filter(F.col("_stop").isNotNull()).distinct()
     if not is_small(stops, held_words, held_bytes):
-        spoken = df.select(F.explode(split_words(F.col(text), separator)).alias("_word")).distinct()
-        stops = materialize(spoken.join(stops, F.col("_word") == F.col("_stop"), "left_semi").toDF("_stop"), "stop-words")
+        spoken = df.select(F.explode(split_words(F.col(text), separator)).alias("_word"))
+        same = F.col("_word") == F.col("_stop")
+        if is_small(stops, broadcast_words, broadcast_bytes):
+            met = spoken.join(F.broadcast(stops), same, "left_semi").distinct()
+        else:
+            met = spoken.distinct().join(stops, same, "left_semi")
+        stops = materialize(met.toDF("_stop"), "stop-words")
         if not is_small(stops, held_words, held_bytes):
             return _joined_out(df, text, stops, output, separator)
     held = sorted(row["_stop"] for row in stops.collect())

@@ -110,6 +110,22 @@ def training(spark):
     return df.withColumn("at", F.col("at").cast("timestamp"))
 
 
+def test_dictionary_of_fields_without_labels(spark):
+    """Of no rows at all, of missing texts alone, and of no columns but passed-through ones."""
+    some = spark.createDataFrame([(1, None, "x"), (2, None, None)], "id int, a string, b string")
+    for df, want in (
+        (some, [(1, "a", None, None), (2, "b", "x", 1)]),
+        (some.drop("b"), [(1, "a", None, None)]),
+        (some.filter("id < 0"), [(1, "a", None, None), (2, "b", None, None)]),
+        (some.select("id"), []),
+    ):
+        for limit in (None, 3):
+            fitted = dictionary.fit_dictionary(df, ignore=["id"], limit=limit)
+            got = [(r.key, r.fieldName, r.label, r.number) for r in fitted.filter("key > 0").collect()]
+            assert sorted(got) == want
+            assert dictionary.encode(df, fitted).count() == df.count()
+
+
 def test_dictionary(training):
     fitted = dictionary.fit_dictionary(training, ignore=["id", "y"])
     assert fitted.schema == dictionary.SCHEMA

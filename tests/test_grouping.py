@@ -184,11 +184,12 @@ def test_stop_list_of_any_length(spark, rows):
     lines = [(1, "a|b|c1|a|d"), (2, "b"), (3, ""), (4, None), (5, "d||a|"), (1, "c|d"), (1, "c|d"), (None, "a|d")]
     texts = spark.createDataFrame(lines, "id int, t string")
     want = [(1, "a|a"), (2, ""), (3, ""), (4, None), (5, "|a"), (1, "c"), (1, "c"), (None, "a")]
-    for more, sizes in ((0, {}), (20_000, {}), (20_000, {"held_words": 1})):
+    sizes_tried = (0, {}), (20_000, {}), (20_000, {"broadcast_words": 1}), (20_000, {"broadcast_bytes": 1}), (20_000, {"held_words": 1})
+    for more, sizes in sizes_tried:
         stops = spark.createDataFrame([("b",), ("d",), (None,)], "w string").union(spark.range(more).select(F.concat(F.lit("z"), "id")))
         got = words.remove_stop_words(texts, "t", stops, **sizes)
         moved = "Exchange" in got._jdf.queryExecution().executedPlan().toString()
-        assert moved == bool(sizes)
+        assert moved == ("held_words" in sizes)
         assert got.columns == ["id", "t", "words"]
         assert sorted(map(tuple, got.select("id", "words").collect()), key=str) == sorted(want, key=str)
 
