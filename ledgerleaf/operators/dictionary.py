@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Observation, Row, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,12 +96,12 @@ def fit_dictionary(
     unlabelled = listed.withColumns({"label": F.lit(None).cast("string"), "number": F.lit(None).cast("int")})
     if not texts:
         return unlabelled
-    # Noted while the labels are written: at most one name per column.
-    noted = Observation()
-    ranked = rank_labels(df, texts, limit, by).observe(noted, F.collect_set("fieldName").alias("with_labels"))
-    labels = materialize(ranked, "labels")
+    labels = materialize(rank_labels(df, texts, limit, by), "labels")
+    # At most one name per column, from the stored labels. An observation of the
+    # rows above would stay in the session, and learners could then send no task.
+    with_labels = [row["fieldName"] for row in labels.select("fieldName").distinct().collect()]
     labelled = labels.join(F.broadcast(listed), "fieldName").select(*SCHEMA.fieldNames())
-    return labelled.unionByName(unlabelled.filter(~F.col("fieldName").isin(noted.get["with_labels"])))
+    return labelled.unionByName(unlabelled.filter(~F.col("fieldName").isin(with_labels)))
 
 
 def label_maps(dictionary: DataFrame) -> DataFrame:

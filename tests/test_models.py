@@ -5,7 +5,7 @@ from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from ledgerleaf.operators import evaluate, models
+from ledgerleaf.operators import dictionary, evaluate, models
 from ledgerleaf.operators.labels import split_by_hash
 from ledgerleaf.scratch import fresh_path
 
@@ -111,3 +111,12 @@ def test_reports_hold_the_measures(spark, data):
     area = sum((b[0] - a[0]) * (b[1] + a[1]) / 2 for a, b in zip(points, points[1:]))
     exact = evaluate.auc_exact(models.scored(model, data, "id", "label").select(F.col("probability").alias("score"), "label")).first()[0]
     assert area == pytest.approx(exact, abs=0.01)
+
+
+def test_learners_run_after_a_dictionary(spark):
+    """Fitting a dictionary leaves nothing in the session that tasks cannot take."""
+    rows = spark.range(300).select("id", F.concat(F.lit("p"), F.col("id") % 3).alias("part"), (F.col("id") % 2).cast("double").alias("label"))
+    assert dictionary.fit_dictionary(rows.drop("label"), ignore=["id"]).filter("label is not null").count() == 3
+    rows = rows.withColumn("features", array_to_vector(F.array(F.col("id").cast("double"), F.rand(1))))
+    assert models.scored(models.random_forest(models.balanced(rows, "id")), rows, "id").count() == 300
+    assert models.logistic(rows).summary.areaUnderROC >= 0.5
