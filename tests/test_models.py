@@ -120,3 +120,34 @@ def test_learners_run_after_a_dictionary(spark):
     rows = rows.withColumn("features", array_to_vector(F.array(F.col("id").cast("double"), F.rand(1))))
     assert models.scored(models.random_forest(models.balanced(rows, "id")), rows, "id").count() == 300
     assert models.logistic(rows).summary.areaUnderROC >= 0.5
+
+
+def test_boosted_trees_learn_from_weighed_cells(spark, monkeypatch):
+    """The learner gets fewer rows, of the same weight and sums, and grows the
+    trees that it grows from the rows."""
+    rows = spark.range(6000).select("id", (F.col("id") % 7).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"))
+    rows = rows.withColumns({"label": (F.col("a") * F.col("b") > 9).cast("double"), "target": F.col("a") * 2 - F.col("b") + F.col("id") % 3})
+    rows = rows.withColumns({"features": array_to_vector(F.array("a", "b")), "is_valid": F.col("id") % 4 == 0})
+    given, ready = [], models._ready
+    monkeypatch.setattr(models, "_ready", lambda data, estimator: given.append(data) or ready(data, estimator))
+    fits = (
+        lambda: models.gradient_classifier(rows, maxIter=3),
+        lambda: models.boosted_regressor_validated(rows, "is_valid", labelCol="target", maxIter=3, stepSize=0.5),
+        lambda: models.gradient_regressor(rows, labelCol="target", maxIter=3),
+    )
+    grouped = [fit() for fit in fits]
+    for data, label in zip(given, ("label", "target", "target")):
+        got = data.agg(F.count(F.lit(1)), F.sum("weight"), F.sum(F.col("weight") * F.col(label))).first()
+        assert got[0] <= 3000 and got[1] == pytest.approx(6000) and got[2] == pytest.approx(rows.agg(F.sum(label)).first()[0])
+    square = given[1].agg(F.sum(F.col("weight") * F.col("target") ** 2)).first()[0]
+    assert square == pytest.approx(rows.agg(F.sum(F.col("target") ** 2)).first()[0])
+    monkeypatch.setattr(models, "weighed", lambda *args: None)
+    for model, plain in zip(grouped[:2], [fit() for fit in fits[:2]]):
+        both = models.scored(model, rows, "id").join(models.scored(plain, rows, "id").select("id", F.col("prediction").alias("other")), "id")
+        assert both.filter(F.abs(F.col("prediction") - F.col("other")) > 1e-9).count() == 0
+
+
+def test_rows_that_share_no_cell_stay_rows(spark):
+    rows = spark.range(400).select(F.rand(1).alias("label"), array_to_vector(F.array(F.rand(2), F.rand(3), F.rand(4))).alias("features"))
+    assert models.weighed(rows, models.GBTRegressor(), mean=True) is None
+    assert models.weighed(rows.limit(0), models.GBTRegressor(), mean=True) is None
