@@ -87,3 +87,20 @@ def test_classes_and_tables_without_labels(spark, table):
     assert not none.trees and not none.bounds
     with pytest.raises(ValueError):
         boosting.fit(table, "id", objective="other")
+
+
+def test_cells_grow_the_trees_of_their_rows(spark, monkeypatch):
+    """Both ways draw the same rows; the levels read cells, which are few."""
+    rows = spark.range(3000).select("id", ((F.col("id") % 11) * 2 - F.col("id") % 5).cast("double").alias("label"))
+    rows = rows.withColumn("features", F.array((F.col("id") % 11).cast("double"), (F.col("id") % 5).cast("double")))
+    seen, histogram = [], boosting._histogram
+    monkeypatch.setattr(boosting, "REFRESH", 2)
+    monkeypatch.setattr(boosting, "_histogram", lambda drawn, *rest: seen.append(drawn) or histogram(drawn, *rest))
+    for data, objective in ((rows, "squared"), (rows.withColumn("label", (F.col("label") > 6).cast("double")), "logistic")):
+        monkeypatch.setattr(boosting, "CELL_ROWS", 2)
+        one = boosting.fit(data, "id", objective=objective, rounds=3, depth=2, eta=0.3, gamma=0.0)
+        assert seen[0].count() <= 55
+        monkeypatch.setattr(boosting, "CELL_ROWS", 10**9)
+        two = boosting.fit(data, "id", objective=objective, rounds=3, depth=2, eta=0.3, gamma=0.0)
+        for a, b in zip(one.trees, two.trees, strict=True):
+            assert np.array_equal(a.feature, b.feature) and np.array_equal(a.cut, b.cut) and np.allclose(a.value, b.value, atol=1e-9)
