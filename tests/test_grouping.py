@@ -217,3 +217,11 @@ def test_modes_keep_their_types_and_periods(spark):
             assert {tuple(r) for r in got.select("k", column).collect()} == want
     sums = df.filter("recent").groupBy("k").agg(F.sum("x"))
     assert sorted(map(tuple, got.select("k", "sum_x").collect())) == sorted(map(tuple, sums.collect()))
+
+
+def test_rows_of_a_key_meet_before_they_become_cells(spark):
+    rows = spark.range(100).select((F.col("id") % 5).alias("k"), (F.col("id") % 3).alias("v"))
+    found = aggregates.modes_and_sums(rows, "k", ["v"], ["v"])
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate explode") < plan.index("RebalancePartitions")
+    assert found.count() == 5
