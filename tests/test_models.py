@@ -151,3 +151,18 @@ def test_rows_that_share_no_cell_stay_rows(spark):
     rows = spark.range(400).select(F.rand(1).alias("label"), array_to_vector(F.array(F.rand(2), F.rand(3), F.rand(4))).alias("features"))
     assert models.weighed(rows, models.GBTRegressor(), mean=True) is None
     assert models.weighed(rows.limit(0), models.GBTRegressor(), mean=True) is None
+
+
+def test_a_task_holds_no_more_of_a_larger_table(spark, monkeypatch):
+    """Training rows are dealt over tasks by their number and width, wherever the
+    learner's rows lie; each row comes once."""
+    monkeypatch.setattr(models, "TASK_NUMBERS", 20_000, raising=False)
+    made = F.array(*[F.rand(k) for k in range(4)])
+    for n in (10_000, 40_000):
+        rows = spark.range(n).select("id", (F.col("id") % 2).cast("double").alias("label"), array_to_vector(made).alias("features"))
+        dealt = models.balanced(rows, "id").groupBy(F.spark_partition_id().alias("part")).agg(F.count("id").alias("n"), F.sum("id").alias("s")).collect()
+        assert max(part.n for part in dealt) <= 1_300
+        assert sum(part.n for part in dealt) == n and sum(part.s for part in dealt) == n * (n - 1) // 2
+    few = models.balanced(rows.limit(50), "id")
+    assert few.rdd.getNumPartitions() == 1 and few.count() == 50
+    assert models.balanced(rows.limit(0), "id").count() == 0
