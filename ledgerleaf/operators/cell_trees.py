@@ -1,6 +1,6 @@
 """What tasks and driver do to grow and apply the trees of :mod:`stepped`.
 
-Tasks import this file alone, so it needs no more than numpy and Arrow."""
+Tasks import this file, so it needs none of the learners."""
 
 from __future__ import annotations
 
